@@ -11,7 +11,8 @@ from apportia.functions import dates
 from apportia.operators import spans
 from apportia.operators.spans import Measure
 
-SECOND = F.expr("INTERVAL 1 SECOND")
+def one_second() -> Column:
+    return F.expr("INTERVAL 1 SECOND")
 
 
 def changed_rows(
@@ -34,7 +35,7 @@ def close_validity(
     """Validity ends one second before the next start; the last row stays open."""
     span = spans.month_span(start) if span is None else span
     nxt = spans.next_row(df, keys, [start], span, [start], "__next")
-    return nxt.withColumn(stop, F.col(f"__next.{start}") - SECOND).drop("__next")
+    return nxt.withColumn(stop, F.col(f"__next.{start}") - one_second()).drop("__next")
 
 
 def daily_versions(

@@ -70,10 +70,13 @@ def municipality(
 
 # --- as-of registry -------------------------------------------------------------------------
 
-_TICK = F.expr("INTERVAL 0.000001 SECOND")
 _FOREVER = "9999-12-31 00:00:00"
 
 
+def _tick() -> Column:
+    return F.expr("INTERVAL 0.000001 SECOND")
+
+
 def without_overlaps(
     registry: DataFrame, keys: list[str], start: str, stop: str, tie: list[str]
 ) -> DataFrame:
@@ -102,7 +105,7 @@ def without_overlaps(
     mixed = marked.where(~F.col("__alone")).select(*cols, "__stop")
 
     bounds = mixed.select(
-        *keys, F.explode(F.array(F.col(start), F.col("__stop") + _TICK)).alias("__at")
+        *keys, F.explode(F.array(F.col(start), F.col("__stop") + _tick())).alias("__at")
     ).distinct()
     left = bounds.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__at")
     on = [F.col(f"__k_{k}") == F.col(k) for k in keys]
@@ -112,7 +115,7 @@ def without_overlaps(
     place = F.struct(F.col(start), F.col("__stop"), *[F.col(c) for c in tie])
     winner = live.groupBy(*keys, "__at").agg(F.max_by(row, place).alias("__row"))
     pieces = spans.next_row(winner, keys, ["__at"], spans.month_span("__at"), ["__at"], "__after")
-    next_at = F.col("__after.__at") - _TICK
+    next_at = F.col("__after.__at") - _tick()
     end = F.least(F.col("__row.__stop"), next_at)
     rest = [c for c in cols if c not in (*keys, start, stop)]
     split = pieces.select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from apportia.operators import spans
-from apportia.operators.history import SECOND
+from apportia.operators.history import one_second
 
 
 def new_rows(stored: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
@@ -86,7 +86,7 @@ def merge_validity(
             F.when(
                 closing,
                 F.struct(
-                    F.col("__start").alias("start"), (F.col("start") - SECOND).alias("stop"),
+                    F.col("__start").alias("start"), (F.col("start") - one_second()).alias("stop"),
                     F.col("__kind").alias(kind), F.lit("close").alias("action"),
                 ),
             ),

@@ -10,19 +10,19 @@ from apportia.functions import rules
 from apportia.operators import joins, rollups
 
 
-def settle(
-    docs: DataFrame, items: DataFrame, op_codes: DataFrame, keys: list[str]
-) -> DataFrame:
-    """Documents with appropriation, participating value and exclusion reason.
+def roll_items(items: DataFrame, op_codes: DataFrame, keys: list[str]) -> DataFrame:
+    """Items flagged against the code list and reduced to one row per document."""
+    flagged = joins.participation_flag(items, op_codes, "op_code", "code", "code_participates")
+    return rollups.participation_split(flagged, keys)
+
 
-    ``docs`` has cancelled and, per side, status, regime and rural. Items are flagged against the
-    small code list and reduced to one row per document before they meet the documents.
+def settle(docs: DataFrame) -> DataFrame:
+    """Appropriation, participating value and exclusion reason of rolled-up documents.
+
+    Takes the columns of ``roll_items`` plus cancelled and, per side, status, regime and rural.
     """
-    flagged = joins.participation_flag(items, op_codes, "op_code", "code", "code_participates")
-    split = rollups.participation_split(flagged, keys)
-    out = docs.join(split, keys)
     sides = [(f"{s}_status", f"{s}_regime", f"{s}_rural") for s in ("entry", "exit")]
-    out = out.withColumn("appropriation", rules.appropriation(*sides))
+    out = docs.withColumn("appropriation", rules.appropriation(*sides))
     parties_out = rules.both_parties_out(sides[0][:2], sides[1][:2])
     return rollups.settle(out, [(F.col("cancelled"), K.CANCELLED), (parties_out, K.PARTIES_OUT)])
 

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
 
-def struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(), "date": T.DateType(),
+}
+
+
+def struct(columns: str) -> T.StructType:
+    """Struct from ``name type`` pairs; needs no running session."""
+    out = T.StructType()
+    for name, kind, p, q in re.findall(r"(\w+) (\w+)(?:\((\d+),(\d+)\))?", columns):
+        out.add(name, T.DecimalType(int(p), int(q)) if kind == "decimal" else _TYPES[kind])
+    return out
 
 
 DOCUMENT = struct(
