@@ -1,4 +1,10 @@
 """All named queries; importing the modules registers them."""
 
-from apportia.retail import results_queries, scan_queries  # noqa: F401
+from apportia.retail import (  # noqa: F401
+    function_queries,
+    history_queries,
+    join_queries,
+    results_queries,
+    scan_queries,
+)
 from apportia.retail.registry import ORACLE, QUERIES  # noqa: F401

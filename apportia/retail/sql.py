@@ -69,7 +69,7 @@ PARTS = {
         FROM events WHERE event_type = 'signup'""",
     "purchases": f"""SELECT event_id AS doc_id, user_id AS entry_reg, '{HOME}' AS entry_state, ts AS emitted_at,
         CAST(value AS DECIMAL(17,2)) AS total FROM events WHERE event_type = 'purchase'""",
-    "change_log": """SELECT user_id AS reg, ts AS at,
+    "change_log": """SELECT user_id AS reg, ts AS "at",
         CASE event_type WHEN 'signup' THEN 'status' WHEN 'click' THEN 'regime' WHEN 'view' THEN 'muni' ELSE 'activity' END AS attr,
         CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS old, event_id AS seq,
         CASE WHEN event_type = 'error' THEN CASE WHEN value < 15 THEN 1 ELSE -1 END END AS activities,
