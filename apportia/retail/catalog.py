@@ -6,5 +6,6 @@ from apportia.retail import (  # noqa: F401
     join_queries,
     results_queries,
     scan_queries,
+    sink_queries,
 )
 from apportia.retail.registry import ORACLE, QUERIES  # noqa: F401

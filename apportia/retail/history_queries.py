@@ -211,7 +211,7 @@ def municipality_undo(spark, sf):
     return history.municipality_undo(log, streets, "reg", "at").select("reg", "at", "old")
 
 
-LEDGER = """h AS (SELECT o_custkey AS reg, substr(o_orderpriority, 1, 1) AS code, CAST(1 + o_totalprice // 100000 AS BIGINT) AS percent,
+LEDGER = """h AS (SELECT o_custkey AS reg, substr(o_orderpriority, 1, 1) AS code, CAST(1 + floor(o_totalprice / 100000) AS BIGINT) AS percent,
         CASE WHEN o_orderstatus = 'P' THEN 0 ELSE year(o_orderdate) * 100 + month(o_orderdate) END AS s,
         CASE WHEN o_orderstatus = 'O' THEN 0 ELSE year(o_orderdate) * 100 + month(o_orderdate) END AS t, o_orderdate FROM orders),
     ledger AS (SELECT reg, code, CASE WHEN s = 0 THEN DATE '1900-01-01' ELSE date_trunc('month', o_orderdate)::DATE END AS "at", percent FROM h
