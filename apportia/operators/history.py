@@ -260,12 +260,12 @@ def replay(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(f"__undo_{c}") for c in counts],
     )
     measures = {
-        f"__next_{a}": Measure(F.col(f"__old_{a}"), "last", inclusive=False) for a in attrs
+        f"__next_{a}": Measure(F.col(f"__old_{a}"), "last", inclusive=False, reverse=True) for a in attrs
     }
     measures |= {
-        f"__later_{c}": Measure(F.col(f"__undo_{c}"), "sum", inclusive=False) for c in counts
+        f"__later_{c}": Measure(F.col(f"__undo_{c}"), "sum", inclusive=False, reverse=True) for c in counts
     }
-    seen = spans.running(wide, [key], [at], span(at), measures, reverse=True)
+    seen = spans.running(wide, [key], [at], span(at), measures)
     today = current.select(
         F.col(key).alias("__key"), *[F.col(c).alias(f"__now_{c}") for c in (*attrs, *counts)]
     )
@@ -303,8 +303,10 @@ def municipality_undo(log: DataFrame, streets: DataFrame, key: str, at: str) ->
     )
     line = spans.running(
         wide, [key], [at], spans.day_span(at),
-        {"__own": Measure(F.col("own"), "last"), "__street": Measure(F.col("by_street"), "last")},
-        reverse=True,
+        {
+            "__own": Measure(F.col("own"), "last", reverse=True),
+            "__street": Measure(F.col("by_street"), "last", reverse=True),
+        },
     )
     known = F.coalesce(
         F.nullif(F.col("__own"), F.lit("0")), F.nullif(F.col("__street"), F.lit("0")), F.lit("0")

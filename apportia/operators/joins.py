@@ -93,9 +93,12 @@ def without_overlaps(
     order = [start, "__stop", *tie]
     span = spans.month_span(start)
     seen = spans.running(
-        base, keys, order, span, {"__before": Measure(F.col("__stop"), "max", inclusive=False)}
+        base, keys, order, span,
+        {
+            "__before": Measure(F.col("__stop"), "max", inclusive=False),
+            "__after": spans.following([start]),
+        },
     )
-    seen = spans.next_row(seen, keys, order, span, [start], "__after")
     after = F.col(f"__after.{start}")
     alone = (F.col("__before").isNull() | (F.col("__before") < F.col(start))) & (
         after.isNull() | (F.col("__stop") < after)
@@ -136,46 +139,45 @@ def as_of(
     stop: str,
     take: dict[str, str],
     tie: list[str],
-    span=spans.day_span,
+    window: tuple[str, str] | None = None,
+    disjoint: bool = False,
 ) -> DataFrame:
     """Registry row in force at each document's time, latest start first; unmatched rows stay.
 
     ``on`` maps document column to registry column, ``take`` registry column to new name.
-    Documents and versions are merged into one timeline per key and the last version is carried
-    forward, so the work is linear in both sides, the documents are shuffled once, and a party
-    holding a large share of them is spread over its days.
+    Overlaps are resolved on the registry, so a document meets at most one version and is never
+    regrouped: it is shuffled once, or not at all when the registry is small enough to broadcast.
+    ``disjoint`` says the registry has no overlaps already.
+
+    ``window`` gives the dates most documents fall in. Versions are then listed by month and the
+    month joins the key, which spreads a party holding many documents over the months. Months
+    outside the window are read as its first or last one, so any window gives the same rows.
     """
     reg_keys = list(on.values())
-    versions = without_overlaps(
-        registry.select(*dict.fromkeys([*reg_keys, start, stop, *take, *tie])),
-        reg_keys, start, stop, tie,
-    )
-    t = docs.schema[at].dataType.simpleString()
-    names = [f"__k{i}" for i in range(len(on))]
-    # Parties without a key match nothing; they keep a key of their own so that none is null.
-    doc_keys = [F.coalesce(F.col(d).cast("string"), F.lit("\u0000")).alias(n) for d, n in zip(on, names)]
-    ver_keys = [F.col(r).cast("string").alias(n) for r, n in zip(reg_keys, names)]
-    payload = F.struct(
-        F.col(stop).cast(t).alias("__stop"), *[F.col(c).alias(n) for c, n in take.items()]
-    )
-    # Never-dated documents sort first and find no version.
-    when = F.coalesce(F.col(at), F.lit("0001-01-01 00:00:00").cast(t))
-    left = docs.select(
-        *doc_keys, when.alias("__at"), F.lit(1).alias("__side"), F.struct(*docs.columns).alias("__doc")
-    )
+    versions = registry.select(*dict.fromkeys([*reg_keys, start, stop, *take, *tie]))
+    if not disjoint:
+        versions = without_overlaps(versions, reg_keys, start, stop, tie)
     right = versions.select(
-        *ver_keys, F.col(start).cast(t).alias("__at"), F.lit(0).alias("__side"), payload.alias("__ver")
-    )
-    line = left.unionByName(right, allowMissingColumns=True)
-    carried = spans.running(
-        line, names, ["__at", "__side"], span("__at"), {"__now": Measure(F.col("__ver"), "last")}
-    ).where(F.col("__side") == 1)
-    live = F.col(f"__doc.{at}").isNotNull() & (
-        F.col("__now.__stop").isNull() | (F.col(f"__doc.{at}") <= F.col("__now.__stop"))
+        *[F.col(r).alias(f"__r{i}") for i, r in enumerate(reg_keys)],
+        F.col(start).alias("__from"), F.col(stop).alias("__to"),
+        *[F.col(c).alias(f"__take_{n}") for c, n in take.items()],
     )
-    return carried.select(
-        *[F.col(f"__doc.{c}").alias(c) for c in docs.columns],
-        *[F.when(live, F.col(f"__now.{n}")).alias(n) for n in take.values()],
+    cond = [F.col(d) == F.col(f"__r{i}") for i, d in enumerate(on)]
+    left = docs
+    if window:
+        low, high = (int(w[:4]) * 12 + int(w[5:7]) for w in window)
+        month = lambda c: F.greatest(
+            F.least(F.year(c) * 12 + F.month(c), F.lit(high)), F.lit(low)
+        )
+        last = F.coalesce(month(F.col("__to")), F.lit(high))
+        months = F.sequence(month(F.col("__from")), F.greatest(last, month(F.col("__from"))))
+        right = right.withColumn("__month", F.explode(months))
+        left = docs.withColumn("__doc_month", month(F.col(at)))
+        cond.append(F.col("__doc_month") == F.col("__month"))
+    cond.append(F.col("__from") <= F.col(at))
+    cond.append(F.col("__to").isNull() | (F.col(at) <= F.col("__to")))
+    return left.join(right, cond, "left").select(
+        *docs.columns, *[F.col(f"__take_{n}").alias(n) for n in take.values()]
     )
 
 

@@ -18,11 +18,15 @@ from apportia.functions.codes import col
 
 @dataclass(frozen=True)
 class Measure:
-    """``kind`` is max, sum or last (last non-null); ``inclusive`` counts the current row."""
+    """``kind`` is max, sum or last (last non-null); ``inclusive`` counts the current row.
+
+    ``reverse`` runs from the end of the group towards its start.
+    """
 
     value: Column
     kind: str
     inclusive: bool = True
+    reverse: bool = False
 
 
 _SPAN = "__span"
@@ -30,54 +34,46 @@ _CARRY = "__carry"
 
 
 def running(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    span: Column,
-    measures: dict[str, Measure],
-    reverse: bool = False,
+    df: DataFrame, keys: list[str], order: list[str], span: Column, measures: dict[str, Measure]
 ) -> DataFrame:
     """Add running measures.
 
     ``order`` must be total and ``span`` must not decrease along it. Keys and span must not be
     null: the carry join is a plain equality so that it keeps the partitioning of the window.
     """
-    ordering = [F.col(c).desc_nulls_last() if reverse else F.col(c).asc_nulls_first() for c in order]
-    in_span = W.partitionBy(*keys, _SPAN).orderBy(*ordering)
-    cut = df.withColumn(_SPAN, span)
+    def along(cols: list[str], reverse: bool) -> list[Column]:
+        return [F.col(c).desc_nulls_last() if reverse else F.col(c).asc_nulls_first() for c in cols]
 
+    cut = df.withColumn(_SPAN, span)
     local = cut
     for name, m in measures.items():
         last_row = W.currentRow if m.inclusive else -1
-        frame = in_span.rowsBetween(W.unboundedPreceding, last_row)
-        local = local.withColumn(name, _over(m, frame))
+        in_span = W.partitionBy(*keys, _SPAN).orderBy(*along(order, m.reverse))
+        local = local.withColumn(name, _over(m, in_span.rowsBetween(W.unboundedPreceding, last_row)))
 
     place = F.struct(*[F.col(c) for c in order])
     summary = cut.groupBy(*keys, _SPAN).agg(
-        *[_summary(m, place, reverse).alias(f"{_CARRY}_{name}") for name, m in measures.items()]
-    )
-    span_order = F.col(_SPAN).desc_nulls_last() if reverse else F.col(_SPAN).asc_nulls_first()
-    before = (
-        W.partitionBy(*keys).orderBy(span_order).rowsBetween(W.unboundedPreceding, -1)
+        *[_summary(m, place).alias(f"{_CARRY}_{name}") for name, m in measures.items()]
     )
-    carries = summary.select(
-        *keys,
-        _SPAN,
+
+    def before(reverse: bool):
+        w = W.partitionBy(*keys).orderBy(*along([_SPAN], reverse))
+        return w.rowsBetween(W.unboundedPreceding, -1)
+
+    right = summary.select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys],
+        F.col(_SPAN).alias("__k_span"),
         *[
-            _over(Measure(F.col(f"{_CARRY}_{n}"), m.kind), before).alias(f"{_CARRY}_{n}")
+            _over(Measure(F.col(f"{_CARRY}_{n}"), m.kind), before(m.reverse)).alias(f"{_CARRY}_{n}")
             for n, m in measures.items()
         ],
     )
-    right = carries.select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys],
-        F.col(_SPAN).alias("__k_span"),
-        *[f"{_CARRY}_{n}" for n in measures],
-    )
     on = [F.col(k) == F.col(f"__k_{k}") for k in keys] + [F.col(_SPAN) == F.col("__k_span")]
     joined = local.join(right, on, "left")
-    for name, m in measures.items():
-        joined = joined.withColumn(name, _merge(m.kind, F.col(name), F.col(f"{_CARRY}_{name}")))
-    return joined.select(*df.columns, *measures)
+    return joined.select(
+        *df.columns,
+        *[_merge(m.kind, F.col(n), F.col(f"{_CARRY}_{n}")).alias(n) for n, m in measures.items()],
+    )
 
 
 def _over(m: Measure, frame) -> Column:
@@ -88,13 +84,13 @@ def _over(m: Measure, frame) -> Column:
     return F.last(m.value, ignorenulls=True).over(frame)
 
 
-def _summary(m: Measure, place: Column, reverse: bool) -> Column:
+def _summary(m: Measure, place: Column) -> Column:
     if m.kind == "max":
         return F.max(m.value)
     if m.kind == "sum":
         return F.sum(m.value)
     at = F.when(m.value.isNotNull(), place)
-    return F.min_by(m.value, at) if reverse else F.max_by(m.value, at)
+    return F.min_by(m.value, at) if m.reverse else F.max_by(m.value, at)
 
 
 def _merge(kind: str, local: Column, carry: Column) -> Column:
@@ -129,10 +125,12 @@ def previous_row(df, keys, order, span, cols: list[str], name="previous") -> Dat
 
 
 def next_row(df, keys, order, span, cols: list[str], name="following") -> DataFrame:
-    row = F.struct(*[F.col(c) for c in cols])
-    return running(
-        df, keys, order, span, {name: Measure(row, "last", inclusive=False)}, reverse=True
-    )
+    return running(df, keys, order, span, {name: following(cols)})
+
+
+def following(cols: list[str]) -> Measure:
+    """The next row's columns, as a measure."""
+    return Measure(F.struct(*[F.col(c) for c in cols]), "last", inclusive=False, reverse=True)
 
 
 def forward_fill(df, keys, order, span, cols: list[str]) -> DataFrame:

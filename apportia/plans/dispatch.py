@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from apportia.operators import sinks
 from apportia.plans import energy, goods, ledger, references, ticket, transport
+from apportia.session import cut_lineage
 from apportia.sources import tables
 
 KINDS = ("goods", "consumer", "transport", "energy", "ticket", "ledger")
@@ -13,14 +14,14 @@ KINDS = ("goods", "consumer", "transport", "energy", "ticket", "ledger")
 
 def prepare(
     spark: SparkSession, kind: str, catalog: tables.Catalog, window: tuple[str, str], run_id: int,
-    registry: DataFrame | None = None, key: str | None = None, where: str | None = None,
+    registry: DataFrame | None = None, key: str | None = None, where: str | None = None, store=lambda df: df,
 ) -> tuple[DataFrame, DataFrame | None]:
     """(documents, items) of a kind for a whole window; a window of many days is one job."""
     read = lambda name: tables.read_section(spark, catalog, name, window, key, where)
     if kind in ("goods", "consumer"):
         ref = references.load(spark, catalog)
         return goods.load(
-            spark, catalog, ref, registry, run_id, window, key, where, "55" if kind == "goods" else "65"
+            spark, catalog, ref, registry, run_id, window, key, where, "55" if kind == "goods" else "65", store
         )
     if kind == "transport":
         names = ("transport_doc", "transport_value", "transport_event")
@@ -44,7 +45,7 @@ def load(
 
     A window must hold whole months, as whole partitions are replaced.
     """
-    documents, items = prepare(spark, kind, catalog, window, run_id, registry)
+    documents, items = prepare(spark, kind, catalog, window, run_id, registry, store=cut_lineage)
     counts = {"documents": sinks.replace_partitions(documents, documents_path, ["doc_type", "period"]).get["rows"]}
     if items is not None:
         periods = documents.select("access_key", "period").distinct()

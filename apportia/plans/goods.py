@@ -77,12 +77,13 @@ SECTIONS = (
 
 def run(
     parts: dict[str, DataFrame], ref: References, registry: DataFrame, run_id: int, model: str = "55",
-    home: str = K.HOME_STATE, cols: tuple[str, str] = ("valid_from", "valid_to"),
+    home: str = K.HOME_STATE, window: tuple[str, str] | None = None, store=lambda df: df,
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, items) in the unified layout, participating documents only.
 
-    Items are flagged and rolled up before the documents are joined; the registry is looked up
-    for participating documents only.
+    Items are flagged and rolled up before the documents are joined. ``registry`` must have no
+    overlapping versions (``joins.without_overlaps``). The items are those of the documents, which
+    ``store`` may materialise so that they are not computed for each of the two results.
     """
     items = chain.apply_to_items(prepare_items(parts), ref).withColumn(
         "item_doc_type", F.lit(None).cast("int")
@@ -97,7 +98,7 @@ def run(
         }
     )
     for side in ("entry", "exit"):
-        docs = attach_registry(docs, registry, side, *cols)
+        docs = attach_registry(docs, registry, side, window)
     rural = F.coalesce(F.col("entry_rural"), F.lit(False)) | F.coalesce(F.col("exit_rural"), F.lit(False))
     docs = docs.withColumn(
         "reason",
@@ -108,16 +109,19 @@ def run(
     docs = docs.withColumn("appropriation", side_appropriation())
     kept = docs.where(F.col("reason").isNull())
     doc_type = K.ISSUED_INVOICE if model == "55" else K.CONSUMER_INVOICE
-    documents = chain.project_documents(kept, doc_type, run_id)
+    documents = store(chain.project_documents(kept, doc_type, run_id))
     items_kept = joins.keep_matching(items, documents, ["access_key"])
     return documents, chain.project_items(items_kept, doc_type, run_id)
 
 
-def attach_registry(docs: DataFrame, registry: DataFrame, side: str, start: str, stop: str) -> DataFrame:
+def attach_registry(
+    docs: DataFrame, registry: DataFrame, side: str, window: tuple[str, str] | None
+) -> DataFrame:
     """Registry attributes in force at emission, prefixed by the side."""
     return joins.as_of(
-        docs, registry, {f"{side}_state": "state", f"{side}_reg": "reg"}, "emitted_at", start, stop,
+        docs, registry, {f"{side}_state": "state", f"{side}_reg": "reg"}, "emitted_at", "valid_from", "valid_to",
         {"status": f"{side}_status", "regime": f"{side}_regime", "rural": f"{side}_rural"}, ["muni"],
+        window, disjoint=True,
     )
 
 
@@ -130,6 +134,8 @@ def side_appropriation():
 def load(
     spark: SparkSession, catalog: tables.Catalog, ref: References, registry: DataFrame, run_id: int,
     window: tuple[str, str], key: str | None = None, where: str | None = None, model: str = "55",
+    store=lambda df: df,
 ) -> tuple[DataFrame, DataFrame]:
     parts = {n: tables.read_section(spark, catalog, n, window, key, where) for n in SECTIONS}
-    return run(parts, ref, registry, run_id, model)
+    live = joins.without_overlaps(registry, ["state", "reg"], "valid_from", "valid_to", ["muni"])
+    return run(parts, ref, store(live), run_id, model, window=window, store=store)

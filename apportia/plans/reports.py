@@ -80,7 +80,7 @@ def regime_study(
         & (F.col("reason").isNull() | (F.col("reason") != K.CANCELLED))
         & (F.col("direction") == (1 if side == "exit" else 0))
         & (F.length("tax_no") > 11)
-    ).withColumn("base", F.substring("tax_no", 1, 8))
+    ).drop("value_added").withColumn("base", F.substring("tax_no", 1, 8))
     value = (
         items.where(F.col("reason").isNull() & F.col("op_code").cast("int").isin(*op_codes))
         .groupBy("access_key", "doc_type").agg(F.sum("value_added").alias("value_added"))

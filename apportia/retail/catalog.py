@@ -4,6 +4,7 @@ from apportia.retail import (  # noqa: F401
     function_queries,
     history_queries,
     join_queries,
+    load_queries,
     results_queries,
     scan_queries,
     sink_queries,
