@@ -11,6 +11,7 @@ from apportia import constants as K
 from apportia.functions.codes import col
 from apportia.operators import spans
 from apportia.operators.spans import Measure
+from apportia.session import small
 
 
 def fan_in(base: DataFrame, parts: list[DataFrame], on: list[str]) -> DataFrame:
@@ -26,9 +27,13 @@ def keep_matching(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
 def participation_flag(
     df: DataFrame, codes: DataFrame, on: str, code: str, flag: str
 ) -> DataFrame:
-    """True where the code is in the reference, false otherwise."""
+    """True where the code is in the reference, false otherwise.
+
+    The code list is broadcast when its counted size allows, so that rows are not shuffled by a
+    key that has few values.
+    """
     ref = codes.select(F.col(code).alias("__code")).distinct().withColumn("__hit", F.lit(True))
-    joined = df.join(ref, F.col(on) == F.col("__code"), "left")
+    joined = df.join(small(ref), F.col(on) == F.col("__code"), "left")
     return joined.withColumn(flag, F.coalesce("__hit", F.lit(False))).drop("__code", "__hit")
 
 
@@ -58,7 +63,7 @@ def municipality(
     right = munis.select(
         F.col("muni").alias("__muni"), F.col("state").alias("__state"), F.col("name").alias("__name")
     )
-    out = df.join(right, F.col(code) == F.col("__muni"), "left")
+    out = df.join(small(right), F.col(code) == F.col("__muni"), "left")
     found = F.col("__state")
     out = out.withColumn(
         state, F.coalesce(found, F.col(document_state)) if document_state else found

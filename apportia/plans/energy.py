@@ -9,6 +9,7 @@ from apportia import constants as K
 from apportia.functions import codes, rules
 from apportia.operators import joins, rollups
 from apportia.plans import rules as chain
+from apportia.session import small
 
 
 def totals(sources: list[DataFrame]) -> DataFrame:
@@ -49,7 +50,7 @@ def flag_items(items: DataFrame, op_codes: DataFrame, classes: DataFrame) -> Dat
     c = classes.select(
         F.col("energy_class").alias("__class"), "direction", F.lit(True).alias("class_ok")
     )
-    out = out.join(c, F.col("energy_class") == F.col("__class"), "left").drop("__class")
+    out = out.join(small(c), F.col("energy_class") == F.col("__class"), "left").drop("__class")
     out = out.withColumn("class_ok", F.coalesce("class_ok", F.lit(False)))
     return out.withColumns(
         {

@@ -9,12 +9,13 @@ from apportia import schemas
 from apportia.functions import codes, dates, rules
 from apportia.operators import joins, sinks
 from apportia.plans.references import References
+from apportia.session import small
 
 
 def flag_codes(df: DataFrame, ref: DataFrame, code: str, flag: str) -> DataFrame:
     """Participation flag from a normalised (code, participates) reference; unknown is false."""
     r = ref.select(F.col("code").alias("__code"), F.col("participates").alias("__part"))
-    out = df.join(r, F.col(code) == F.col("__code"), "left")
+    out = df.join(small(r), F.col(code) == F.col("__code"), "left")
     return out.withColumn(flag, F.coalesce("__part", F.lit(False))).drop("__code", "__part")
 
 

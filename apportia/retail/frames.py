@@ -7,6 +7,8 @@ change logs.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +26,13 @@ COUNTED_CODES = tuple(d + s for d in ("1", "5") for s in COUNTED_SUFFIXES)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return _read(spark, spark.sparkContext.applicationId, f"{sf}/{name}.parquet")
+
+
+@lru_cache(maxsize=256)
+def _read(spark: SparkSession, application: str, path: str) -> DataFrame:
+    """One schema lookup per table and application."""
+    return spark.read.parquet(path)
 
 
 def publish(df: DataFrame) -> DataFrame:
@@ -52,7 +60,7 @@ def part_of(amount: Column, rate: str) -> Column:
 
 
 def codes_frame(spark: SparkSession, codes: tuple[str, ...] = COUNTED_CODES) -> DataFrame:
-    return spark.createDataFrame([(c,) for c in codes], "code string")
+    return spark.range(0, 1, 1, 1).select(F.explode(F.array(*[F.lit(c) for c in codes])).alias("code"))
 
 
 def munis(spark: SparkSession, sf: str) -> DataFrame:
