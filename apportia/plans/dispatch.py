@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from apportia import constants as K
 from apportia.operators import sinks
 from apportia.plans import energy, goods, ledger, references, ticket, transport
 from apportia.session import cut_lineage
@@ -14,20 +15,21 @@ KINDS = ("goods", "consumer", "transport", "energy", "ticket", "ledger")
 
 def prepare(
     spark: SparkSession, kind: str, catalog: tables.Catalog, window: tuple[str, str], run_id: int,
-    registry: DataFrame | None = None, key: str | None = None, where: str | None = None, store=lambda df: df,
+    registry: DataFrame | None = None, key: str | None = None, where: str | None = None,
+    home: str = K.HOME_STATE, store=lambda df: df,
 ) -> tuple[DataFrame, DataFrame | None]:
     """(documents, items) of a kind for a whole window; a window of many days is one job."""
     read = lambda name: tables.read_section(spark, catalog, name, window, key, where)
     if kind in ("goods", "consumer"):
         ref = references.load(spark, catalog)
         return goods.load(
-            spark, catalog, ref, registry, run_id, window, key, where, "55" if kind == "goods" else "65", store
+            spark, catalog, ref, registry, run_id, window, key, where, "55" if kind == "goods" else "65", home, store
         )
     if kind == "transport":
         names = ("transport_doc", "transport_value", "transport_event")
-        return transport.run({n: read(n) for n in names}, run_id), None
+        return transport.run({n: read(n) for n in names}, run_id, home), None
     if kind == "energy":
-        return energy.run(read("energy_doc"), [read("energy_total")], read("energy_event"), run_id), None
+        return energy.run(read("energy_doc"), [read("energy_total")], read("energy_event"), run_id, home), None
     if kind == "ticket":
         names = ("ticket_doc", "ticket_event", "ticket_detail", "ticket_trip", "ticket_payment", "ticket_component")
         return ticket.run({n: read(n) for n in names}, references.load(spark, catalog), run_id)
@@ -39,13 +41,13 @@ def prepare(
 
 def load(
     spark: SparkSession, kind: str, catalog: tables.Catalog, window: tuple[str, str], run_id: int,
-    documents_path: str, items_path: str, registry: DataFrame | None = None,
+    documents_path: str, items_path: str, registry: DataFrame | None = None, home: str = K.HOME_STATE,
 ) -> dict[str, int]:
     """Load a window and replace its documents and items by (type, period).
 
     A window must hold whole months, as whole partitions are replaced.
     """
-    documents, items = prepare(spark, kind, catalog, window, run_id, registry, store=cut_lineage)
+    documents, items = prepare(spark, kind, catalog, window, run_id, registry, home=home, store=cut_lineage)
     counts = {"documents": sinks.replace_partitions(documents, documents_path, ["doc_type", "period"]).get["rows"]}
     if items is not None:
         periods = documents.select("access_key", "period").distinct()

@@ -134,8 +134,8 @@ def side_appropriation():
 def load(
     spark: SparkSession, catalog: tables.Catalog, ref: References, registry: DataFrame, run_id: int,
     window: tuple[str, str], key: str | None = None, where: str | None = None, model: str = "55",
-    store=lambda df: df,
+    home: str = K.HOME_STATE, store=lambda df: df,
 ) -> tuple[DataFrame, DataFrame]:
     parts = {n: tables.read_section(spark, catalog, n, window, key, where) for n in SECTIONS}
     live = joins.without_overlaps(registry, ["state", "reg"], "valid_from", "valid_to", ["muni"])
-    return run(parts, ref, store(live), run_id, model, window=window, store=store)
+    return run(parts, ref, store(live), run_id, model, home, window, store)
