@@ -133,3 +133,10 @@ STUDY_ENTRY_CODES = (
     2255, 2256, 2257, 2401, 2403, 2651, 2652, 2653, 3101, 3102, 3127, 3129,
     3652,
 )
+
+# Columns of the registry change log that move an attribute: (table, column).
+LOG_STATUS = ("CCE_CONTRIBUINTE", "INDI_SITUACAO_CADASTRAL")
+LOG_MUNICIPALITY = ("GEN_ENDERECO", "CODG_MUNICIPIO")
+LOG_STREET = ("GEN_ENDERECO", "CODG_LOGRADOURO")
+LOG_ACTIVITY_ADDED = ("CCE_CONTRIB_CNAEF", "ID_CONTRIB_CNAEF")
+LOG_ACTIVITY_REMOVED = ("CCE_CONTRIB_CNAEF", "ID_SUBCLASSE_CNAEF")

@@ -312,3 +312,52 @@ def municipality_undo(log: DataFrame, streets: DataFrame, key: str, at: str) ->
         F.nullif(F.col("__own"), F.lit("0")), F.nullif(F.col("__street"), F.lit("0")), F.lit("0")
     )
     return line.select(key, at, F.lit("muni").alias("attr"), known.alias("old"), F.lit(0).alias("seq"))
+
+
+def log_rows(
+    raw: DataFrame, held: DataFrame, rural: DataFrame, streets: DataFrame, regimes: DataFrame
+) -> DataFrame:
+    """Change log in the form ``replay`` takes, from the registry's own log and the regime events.
+
+    ``raw`` has (reg, at, seq, table, column, kind, new, old), ``held`` the activity rows
+    (activity_id, subclass), ``rural`` the rural subclasses, ``regimes`` the result of
+    ``regime_changes`` with ``drop_all``. Undoing an insert takes an activity away, undoing a
+    delete gives it back; the two municipality columns become one attribute.
+    """
+    from apportia import constants as K
+
+    def is_(pair: tuple[str, str]) -> Column:
+        return (F.col("table") == pair[0]) & (F.col("column") == pair[1])
+
+    attr = (
+        F.when(is_(K.LOG_STATUS), "status").when(is_(K.LOG_MUNICIPALITY), "muni").when(is_(K.LOG_STREET), "street")
+    )
+    plain = raw.withColumn("attr", attr)
+    moves = municipality_undo(
+        plain.where(F.col("attr").isin("muni", "street")).select("reg", "at", "attr", "old"), streets, "reg", "at"
+    )
+    status = plain.where(F.col("attr") == "status").select("reg", "at", "attr", "old", "seq")
+    regime = regimes.select(
+        "reg", F.col("at").cast(raw.schema["at"].dataType), F.lit("regime").alias("attr"),
+        F.when(F.col("regime") == "2", "3").otherwise("2").alias("old"), F.lit(0).alias("seq"),
+    )
+    added = raw.where(is_(K.LOG_ACTIVITY_ADDED) & (F.col("kind") == "I"))
+    removed = raw.where(is_(K.LOG_ACTIVITY_REMOVED) & (F.col("kind") == "D"))
+    added = added.join(
+        held.select(F.col("activity_id").cast("string").alias("new"), F.col("subclass").cast("string").alias("__subclass")),
+        "new", "left",
+    ).withColumn("activities", F.lit(-1).cast("bigint"))
+    removed = removed.withColumns({"__subclass": F.col("old"), "activities": F.lit(1).cast("bigint")})
+    cols = ["reg", "at", "seq", "__subclass", "activities"]
+    ref = rural.select(F.col("code").cast("string").alias("__code")).distinct()
+    moved = (
+        added.select(*cols).unionByName(removed.select(*cols))
+        .join(ref, F.col("__subclass") == F.col("__code"), "left")
+        .select(
+            "reg", "at", F.lit("activity").alias("attr"), F.lit(None).cast("string").alias("old"), "seq", "activities",
+            F.when(F.col("__code").isNotNull(), F.col("activities")).alias("rural_activities"),
+        )
+    )
+    return reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), [moved, status, moves, regime]
+    )

@@ -45,6 +45,16 @@ def attach(
     return df.join(right, F.col(on) == F.col("__key"), "left").drop("__key")
 
 
+def product_id(items: DataFrame, products: DataFrame, code: str, first, last) -> DataFrame:
+    """Id of the product code among the references valid over a whole window."""
+    from apportia.functions.codes import product_code
+    from apportia.functions.dates import covers
+
+    live = products.where(covers("start", "stop", first, last)).groupBy("code").agg(F.max("id").alias("id"))
+    coded = items.withColumn("__product", product_code(code))
+    return attach(coded, live, "__product", "code", {"id": "product_id"}).drop("__product")
+
+
 def latest_reference(ref: DataFrame, code: str, start: str, tie: list[str]) -> DataFrame:
     """Row with the latest start per code, null starts last."""
     return spans.best_row(ref, [code], [F.col(start).isNotNull(), start, *tie])

@@ -85,6 +85,10 @@ def reset_reason(
     return out.withColumn(column, F.when(~hit, F.col(column))).select(*target.columns)
 
 
+def delete_keys(target: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    return target.join(keys.select(*on).distinct(), on, "left_anti")
+
+
 def split_participating(df: DataFrame, column: str = "reason") -> tuple[DataFrame, DataFrame]:
     """(participating, excluded) rows; the excluded ones have their own table."""
     return df.where(F.col(column).isNull()), df.where(F.col(column).isNotNull())

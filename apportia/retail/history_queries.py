@@ -333,3 +333,31 @@ def union_missing(spark, sf):
     a = o.where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("total"))
     b = o.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("product"))
     return a.unionByName(b, allowMissingColumns=True)
+
+
+@query(f"""WITH raw AS (SELECT user_id AS reg, ts, event_type, event_id, value, CAST(floor(value) AS INTEGER) % 4 AS m FROM events),
+    act AS (SELECT reg, ts, event_id AS seq, CASE WHEN event_type = 'signup' THEN -1 ELSE 1 END AS activities,
+        CASE WHEN CASE WHEN event_type = 'signup' THEN p_size % 7 ELSE m END = 3 THEN CASE WHEN event_type = 'signup' THEN -1 ELSE 1 END END AS rural_activities
+        FROM raw LEFT JOIN part ON p_partkey = event_id WHERE event_type IN ('signup', 'error'))
+    SELECT reg, {text('ts')} AS "at", 'activity' AS attr, NULL AS old, CAST(activities AS BIGINT) AS activities, CAST(rural_activities AS BIGINT) AS rural_activities FROM act
+    UNION ALL SELECT reg, {text('ts')}, 'status', CAST(m AS VARCHAR), NULL, NULL FROM raw WHERE event_type = 'purchase'
+    UNION ALL SELECT reg, {text('ts')}, 'muni', CAST(COALESCE(first_value(NULLIF(m, -1) IGNORE NULLS) OVER (PARTITION BY reg ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS VARCHAR),
+        NULL, NULL FROM raw WHERE event_type = 'click'""")
+def registry_log(spark, sf):
+    """Raw registry log to replay rows: status, municipality and activities held."""
+    from apportia import constants as K
+
+    e, kind = R.table(spark, sf, "events"), F.col("event_type")
+    named = {"signup": K.LOG_ACTIVITY_ADDED, "error": K.LOG_ACTIVITY_REMOVED, "purchase": K.LOG_STATUS, "click": K.LOG_MUNICIPALITY}
+    pick = lambda i: F.coalesce(*[F.when(kind == k, F.lit(v[i])) for k, v in named.items()], F.lit("OTHER"))
+    raw = e.select(
+        F.col("user_id").alias("reg"), F.col("ts").alias("at"), F.col("event_id").alias("seq"), pick(0).alias("table"), pick(1).alias("column"),
+        F.when(kind == "error", "D").otherwise("I").alias("kind"), F.col("event_id").cast("string").alias("new"),
+        (F.floor("value").cast("int") % 4).cast("string").alias("old"),
+    )
+    held = R.table(spark, sf, "part").select(F.col("p_partkey").alias("activity_id"), (F.col("p_size") % 7).alias("subclass"))
+    rural = spark.range(3, 4).select(F.col("id").cast("string").alias("code"))
+    streets = R.table(spark, sf, "nation").select(F.col("n_name").alias("street"), F.col("n_nationkey").alias("muni"))
+    none = periods(spark, sf).where("false")
+    regimes = history.regime_changes(none, "reg", "start", "stop", "option_no", drop_all=True)
+    return history.log_rows(raw, held, rural, streets, regimes).drop("seq")

@@ -267,3 +267,20 @@ def version_apply(spark, sf):
     """Stored table after the difference equals the incoming one."""
     stored, incoming = two_versions(spark, sf)
     return versions.apply_difference(stored, versions.difference(stored, incoming, KEYS, VALUES), KEYS)
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, f.id AS product_id, c_name AS name FROM lineitem JOIN part ON l_partkey = p_partkey
+    LEFT JOIN (SELECT lpad(regexp_replace(p_brand, '[^0-9]', '', 'g'), 8, '0') AS code, MAX(p_partkey) AS id FROM part WHERE p_size > 45 GROUP BY 1) f
+        ON f.code = lpad(regexp_replace(p_brand, '[^0-9]', '', 'g'), 8, '0')
+    LEFT JOIN customer ON c_custkey = l_suppkey""")
+def batch_lookups(spark, sf):
+    """Product id among valid references, and a party lookup."""
+    p = R.table(spark, sf, "part")
+    ref = p.select(
+        F.col("p_partkey").alias("id"), codes.product_code("p_brand").alias("code"), F.lit("2020-01-01").cast("date").alias("start"),
+        F.when(F.col("p_size") <= 45, F.lit("2020-06-30").cast("date")).alias("stop"),
+    )
+    items = R.table(spark, sf, "lineitem").join(p.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    out = joins.product_id(items, ref, "p_brand", "2020-03-01", "2020-12-31")
+    out = joins.attach(out, R.table(spark, sf, "customer"), "l_suppkey", "c_custkey", {"c_name": "name"})
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "product_id", "name")
