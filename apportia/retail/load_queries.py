@@ -45,7 +45,6 @@ def goods_catalog(spark, sf) -> dict:
         F.sum(R.part_of(gross, "l_tax")).alias("tax"),
     )
     when = o.select(key.alias("chavenfe"), at.alias("ide_dhemi_nums"))
-    rows = rows.join(when, "chavenfe")
     e = R.table(spark, sf, "events")
     pairs = lambda *p: spark.createDataFrame(list(p), "code string, participates string")
     return {
@@ -59,12 +58,12 @@ def goods_catalog(spark, sf) -> dict:
             F.concat(F.lit("IE "), F.col("o_orderkey") % 1000).alias("ie"),
         ),
         "goods_total": base(F.col("o_totalprice").alias("vnf")),
-        "goods_item": rows.select(
+        "goods_item": rows.join(when, "chavenfe").select(
             "chavenfe", "ide_dhemi_nums", "det_nitem", F.when(F.col("s") == "O", "5.101").otherwise("1949").alias("cfop"),
             F.col("det_nitem").cast("string").alias("ncm"), "qcom", "vprod", "vdesc",
         ),
-        "goods_item_tax": rows.select("chavenfe", "ide_dhemi_nums", "det_nitem", F.col("qcom").alias("icms10_vicmsst")),
-        "goods_item_ipi": rows.where("r = 'R'").select("chavenfe", "ide_dhemi_nums", "det_nitem", F.col("tax").alias("ipitrib_vipi")),
+        "goods_item_tax": rows.select("chavenfe", "det_nitem", F.col("qcom").alias("icms10_vicmsst")),
+        "goods_item_ipi": rows.where("r = 'R'").select("chavenfe", "det_nitem", F.col("tax").alias("ipitrib_vipi")),
         "op_codes": pairs(("5101", "S"), ("5102", "sim"), ("1949", "N"), ("1949", "?")),
         "products": pairs(("1", "S"), ("00000002", "TRUE"), ("3", "N")),
         "params": spark.createDataFrame([("usar_x", "1"), ("use_municipalities", "nao")], "name string, value string"),
