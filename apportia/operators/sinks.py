@@ -32,6 +32,14 @@ def zero_keys_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
     )
 
 
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The greatest row per key: the same one on every run, unlike an arbitrary duplicate."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    return df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("__row")).select(*keys, "__row.*").select(*df.columns)
+
+
 # --- pure forms: the table after the write -------------------------------------------------
 
 
@@ -43,8 +51,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def insert_new(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Target plus the source rows whose key it does not have."""
-    new = source.join(target.select(*keys), keys, "left_anti").dropDuplicates(keys)
+    """Target plus the source rows whose key it does not have, the greatest row per key."""
+    new = one_per_key(source.join(target.select(*keys), keys, "left_anti"), keys)
     return target.unionByName(new, allowMissingColumns=True)
 
 
@@ -60,7 +68,10 @@ def replace_keys(target: DataFrame, source: DataFrame, keys: DataFrame, on: list
 def update_columns(
     target: DataFrame, changes: DataFrame, keys: list[str], cols: list[str]
 ) -> DataFrame:
-    """Take the listed columns from ``changes`` where the key is there, nulls included."""
+    """Take the listed columns from ``changes`` where the key is there, nulls included.
+
+    ``changes`` has one row per key.
+    """
     right = changes.select(
         *keys, *[F.col(c).alias(f"__new_{c}") for c in cols], F.lit(True).alias("__hit")
     )

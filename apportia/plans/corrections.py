@@ -35,7 +35,8 @@ def op_codes_changed(
 
 
 def registry_changed(
-    docs: DataFrame, registry: DataFrame, start: str = "valid_from", stop: str = "valid_to"
+    docs: DataFrame, registry: DataFrame, start: str = "valid_from", stop: str = "valid_to",
+    window: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Documents with registry row, appropriation and reason 11 taken again at emission time.
 
@@ -43,15 +44,16 @@ def registry_changed(
     documents stay cancelled, reason 11 is set or lifted, a lifted document without value has
     reason 12.
     """
+    live = joins.without_overlaps(registry, ["state", "reg"], start, stop, ["muni"])
     out = docs
     for side in ("entry", "exit"):
         out = joins.as_of(
-            out, registry, {f"{side}_state": "state", f"{side}_reg": "reg"}, "emitted_at", start, stop,
+            out, live, {f"{side}_state": "state", f"{side}_reg": "reg"}, "emitted_at", start, stop,
             {
                 "id": f"{side}_id", "status": f"{side}_status", "regime": f"{side}_regime",
                 "rural": f"{side}_rural",
             },
-            ["muni"],
+            ["muni"], window, disjoint=True,
         )
     sides = [(f"{s}_status", f"{s}_regime", f"{s}_rural") for s in ("entry", "exit")]
     both = rules.both_parties_out(sides[0][:2], sides[1][:2])

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from apportia import constants as K
 from apportia.operators import sinks
 from apportia.plans import energy, goods, ledger, references, ticket, transport
+from apportia.plans.store import PARTITIONS
 from apportia.session import cut_lineage
 from apportia.sources import tables
 
-KINDS = ("goods", "consumer", "transport", "energy", "ticket", "ledger")
+DOC_TYPE = {
+    "goods": K.ISSUED_INVOICE, "consumer": K.CONSUMER_INVOICE, "transport": K.TRANSPORT, "energy": K.ENERGY,
+    "ticket": K.TICKET, "ledger": K.LEDGER,
+}
 
 
 def prepare(
@@ -45,12 +50,19 @@ def load(
 ) -> dict[str, int]:
     """Load a window and replace its documents and items by (type, period).
 
-    A window must hold whole months, as whole partitions are replaced.
+    A window must hold whole months, as whole partitions are replaced. A month that no longer has
+    any document keeps the rows of the earlier run; ``left_over`` counts them, ``store.clear``
+    removes them.
     """
     documents, items = prepare(spark, kind, catalog, window, run_id, registry, home=home, store=cut_lineage)
-    counts = {"documents": sinks.replace_partitions(documents, documents_path, ["doc_type", "period"]).get["rows"]}
+    counts = {"documents": sinks.replace_partitions(documents, documents_path, PARTITIONS).get["rows"]}
+    if counts["documents"] == 0:
+        return counts
+    stored = spark.read.parquet(documents_path).where(F.col("doc_type") == DOC_TYPE[kind])
     if items is not None:
-        periods = documents.select("access_key", "period").distinct()
-        placed = items.join(periods, "access_key")
-        counts["items"] = sinks.replace_partitions(placed, items_path, ["doc_type", "period"]).get["rows"]
+        # The keys just written are read back rather than computed again.
+        keys = stored.where(F.col("run_id") == run_id).select("access_key", "period").distinct()
+        counts["items"] = sinks.replace_partitions(items.join(keys, "access_key"), items_path, PARTITIONS).get["rows"]
+    periods = [int(w[:4]) * 100 + int(w[5:7]) for w in window]
+    counts["left_over"] = stored.where(F.col("period").between(*periods) & (F.col("run_id") != run_id)).count()
     return counts

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from apportia import constants as K
 from apportia.functions import codes, dates, rules
-from apportia.operators import joins, rollups
+from apportia.operators import joins, rollups, sinks
 from apportia.plans import rules as chain
 from apportia.plans.references import References
 
@@ -38,7 +38,7 @@ def run(
     flagged = chain.apply_to_items(items(rows), ref).withColumn("item_doc_type", F.lit(0))
     rolled = rollups.item_rollup(flagged, "access_key")
     heads = keyed(docs).withColumn("emitted_at", F.col("emitted_on").cast("timestamp"))
-    heads = heads.dropDuplicates(["access_key"])
+    heads = sinks.one_per_key(heads, ["access_key"])
     placed = joins.in_period(heads, periods.select("start", "stop"), "emitted_on", "start", "stop")
     marked = placed.groupBy("access_key", "emitted_at", "total").agg(F.bool_or("in_period").alias("in_period"))
     out = joins.fan_in(marked, [rolled], ["access_key"]).withColumns(

@@ -17,7 +17,7 @@ def load_options(
 ) -> DataFrame:
     """Option table after a load: new periods are added, known ones updated."""
     fresh = extracts.option_periods(simplified, micro, registrations, first, last)
-    return sinks.upsert(stored, fresh.dropDuplicates(OPTION_KEYS), OPTION_KEYS)
+    return sinks.upsert(stored, sinks.one_per_key(fresh, OPTION_KEYS), OPTION_KEYS)
 
 
 def load_declarations(

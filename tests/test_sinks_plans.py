@@ -183,6 +183,7 @@ def test_load_a_window_twice(spark, rows, tmp_path):
     counts = load()
     first = rows(spark.read.parquet(docs), "access_key", "value_added", "appropriation")
     assert counts["documents"] == len(first) > 0 and counts["items"] == spark.read.parquet(items).count()
+    assert counts["left_over"] == 0
     assert load() == counts and rows(spark.read.parquet(docs), "access_key", "value_added", "appropriation") == first
 
 
