@@ -63,7 +63,8 @@ def month_end(c: Column | str) -> Column:
 
 
 def add_days(c: Column | str, days: int, seconds: int = 0) -> Column:
-    return col(c).cast("timestamp") + F.make_dt_interval(days=F.lit(days), secs=F.lit(seconds))
+    """Calendar days on the wall clock, whatever the session's time zone."""
+    return col(c).cast("timestamp_ntz") + F.make_dt_interval(days=F.lit(days), secs=F.lit(seconds))
 
 
 def between(c: Column | str, first, last) -> Column:
