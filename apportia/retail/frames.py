@@ -43,7 +43,8 @@ def publish(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            # Not date_format: that would read wall-clock times in the session's zone.
+            c = F.substring(c.cast("string"), 1, 19)
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         out.append(c.alias(f.name))
