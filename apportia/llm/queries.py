@@ -7,11 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apportia.llm import mixing, topk
-from apportia.llm.common import table
+from apportia.llm import langid, mixing, topk, toxicity
+from apportia.llm.common import remainder_of_id, table
 from apportia.llm.sql import MIX_SQL, TOP_SQL
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document, learnt from two thirds of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    weights = toxicity.model(docs, labels.where(remainder_of_id("doc_id", 3) != 1))
+    return toxicity.scored(docs, weights).select(
+        "doc_id", (remainder_of_id("doc_id", 3) == 1).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten nearest vectors, by integer inner product, of each vector whose id is divisible by 100."""
     vectors = table(spark, sf_dir, "embeddings").select(
@@ -20,12 +31,21 @@ def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.where("id % 100 = 0"), vectors)
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, learnt from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    machines = langid.model(docs.where(remainder_of_id("doc_id", 4) != 2))
+    return langid.predicted(docs, machines).select(
+        "doc_id", (remainder_of_id("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_top_k, op7_source_mix)
+    f.__name__: f for f in (op3_toxicity, op5_top_k, op6_language, op7_source_mix)
 }
 ORACLE: dict[str, str] = {"op5_top_k": TOP_SQL, "op7_source_mix": MIX_SQL}
