@@ -79,7 +79,7 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, seed: int = SEED, share: floa
 
     A null source is a source of its own; null and empty texts have size 0 and nothing is taken of them;
     repeated rows each count; an empty table gives no rows; columns besides doc_id, text and source are
-    not read. Windows over documents stay within shards, whose size grows with the root of the source.
+    not read. Documents are dealt by source and shard, not by source; windows over them stay within shards, whose size grows with the root of the source.
     """
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")).cast("binary"))
     sized = docs.select("doc_id", "source", words_of("text").alias("size"))
@@ -107,7 +107,7 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, seed: int = SEED, share: floa
     before = F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     part = lambda words: F.least(F.col("size"), F.greatest(words, F.lit(0)))
     return (
-        dealt.withColumn("before", before).join(quotas, ["key", "shard"])
+        dealt.repartition("key", "shard").withColumn("before", before).join(quotas, ["key", "shard"])
         .select(
             "doc_id", "size", "source_size", "target",
             (part(F.col("quota") - F.col("before")) + part(F.col("quota") - F.col("shard_size") - F.col("before")))
