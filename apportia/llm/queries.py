@@ -7,17 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apportia.llm import langid, mixing, topk, toxicity
+from apportia.llm import decontamination, jaccard, langid, lines, mixing, topk, toxicity, wrappers
 from apportia.llm.common import remainder_of_id, table
 from apportia.llm.sql import MIX_SQL, TOP_SQL
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return wrappers.extracted(table(spark, sf_dir, "pages"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of each document, learnt from two thirds of the labelled ones."""
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
     weights = toxicity.model(docs, labels.where(remainder_of_id("doc_id", 3) != 1))
-    return toxicity.scored(docs, weights).select(
+    return docs.select("doc_id", toxicity.score_of("text", weights).alias("score")).select(
         "doc_id", (remainder_of_id("doc_id", 3) == 1).alias("held_out"), "score",
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
     )
@@ -45,7 +50,31 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that each document keeps after aligned blocks of earlier documents are deleted from it."""
+    total = lambda f: F.aggregate("gone", F.lit(0), lambda s, b: s + f(b))
+    return lines.deduplicated(table(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").alias("doc_id"), total(lambda b: b["lines"]).cast("long").alias("n_removed"),
+        F.size("gone").cast("long").alias("n_blocks"), F.length("kept").cast("long").alias("n_kept_chars"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents repeat."""
+    return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, copies and links of every document."""
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_toxicity, op5_top_k, op6_language, op7_source_mix)
+    f.__name__: f
+    for f in (
+        op1_main_text, op3_toxicity, op5_top_k, op6_language, op7_source_mix, op8_line_dedup, op9_decontamination,
+        op10_jaccard_join,
+    )
 }
 ORACLE: dict[str, str] = {"op5_top_k": TOP_SQL, "op7_source_mix": MIX_SQL}

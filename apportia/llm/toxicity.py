@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from apportia.llm.common import chunks
@@ -111,13 +111,19 @@ def model(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return np.array([r[0] for r in found], dtype=np.int64), np.array([r[1] for r in found], dtype=np.float64)
 
 
-def scorer(slots: np.ndarray, weights: np.ndarray) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def score(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def score_of(text: str, weights: tuple[np.ndarray, np.ndarray]) -> Column:
+    """Score of a text column, over whole texts.
+
+    Null and empty texts hold no word and get the score of the bias; without labels every score is 0.5.
+    """
+    slots, values = weights
+
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         dense = np.zeros(2**BITS + 1)
-        dense[slots] = weights
+        dense[slots] = values
         some, words = dense != 0, Words()
-        for rows in batches:
-            texts = rows["text"].fillna("").tolist()
+        for batch in batches:
+            texts = batch.fillna("").tolist()
             total = np.full(len(texts), dense[2**BITS])
             for start, end in chunks(texts, CHARS_AT_ONCE):
                 hits = [(s[m], o[m]) for s, o in slots_of(texts[start:end], words) for m in [some[s]]]
@@ -125,15 +131,6 @@ def scorer(slots: np.ndarray, weights: np.ndarray) -> Callable[[Iterable[pd.Data
                     pairs = np.unique(np.concatenate([o * 2**BITS + s for s, o in hits]))
                     own = pairs >> BITS
                     total[start:end] += np.bincount(own, dense[pairs & (2**BITS - 1)], minlength=end - start)
-            yield rows.drop(columns="text").assign(score=logistic(total))
-
-    return score
+            yield pd.Series(logistic(total))
 
-
-def scored(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id and score of each row, over its whole text.
-
-    Null and empty texts hold no word and get the score of the bias; repeated rows are each scored; without
-    labels every score is 0.5; columns besides doc_id and text are not read.
-    """
-    return docs.select("doc_id", "text").mapInPandas(scorer(*weights), "doc_id long, score double")
+    return F.pandas_udf(score, "double", F.PandasUDFType.SCALAR_ITER)(F.col(text))
