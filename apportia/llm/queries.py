@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apportia.llm import decontamination, jaccard, langid, lines, mixing, topk, toxicity, wrappers
+from apportia.llm import decontamination, jaccard, langid, lines, mixing, substrings, topk, toxicity, wrappers
 from apportia.llm.common import remainder_of_id, table
 from apportia.llm.sql import MIX_SQL, TOP_SQL
 
@@ -28,6 +28,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes that each document keeps when strings of 400 bytes that start anywhere else are removed."""
+    return substrings.without_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten nearest vectors, by integer inner product, of each vector whose id is divisible by 100."""
     vectors = table(spark, sf_dir, "embeddings").select(
@@ -73,7 +81,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_main_text, op3_toxicity, op5_top_k, op6_language, op7_source_mix, op8_line_dedup, op9_decontamination,
+        op1_main_text, op3_toxicity, op4_substring_dedup, op5_top_k, op6_language, op7_source_mix, op8_line_dedup, op9_decontamination,
         op10_jaccard_join,
     )
 }
