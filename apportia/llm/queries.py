@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apportia.llm import decontamination, jaccard, langid, lines, mixing, substrings, topk, toxicity, wrappers
+from apportia.llm import decontamination, jaccard, langid, lines, mixing, pii, substrings, topk, toxicity, wrappers
 from apportia.llm.common import remainder_of_id, table
 from apportia.llm.sql import MIX_SQL, TOP_SQL
 
@@ -17,6 +17,18 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extracted(table(spark, sf_dir, "pages"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans, and those that the trees add."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii.found_in(docs, pii.fit(docs))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *[F.size(pii.of_kind("base", k)).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.concat(F.col("base"), *[pii.of_kind("added", k) for k in pii.GENERATORS])).alias("spans"),
+    )
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of each document, learnt from two thirds of the labelled ones."""
     docs = table(spark, sf_dir, "documents")
@@ -81,7 +93,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_main_text, op3_toxicity, op4_substring_dedup, op5_top_k, op6_language, op7_source_mix, op8_line_dedup, op9_decontamination,
+        op1_main_text, op2_pii, op3_toxicity, op4_substring_dedup, op5_top_k, op6_language, op7_source_mix, op8_line_dedup, op9_decontamination,
         op10_jaccard_join,
     )
 }
