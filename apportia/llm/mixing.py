@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from apportia.llm.common import stored
+
 WEIGHTS = (5, 2, 1)
 BLOCK_WORDS, DOCS_UNIT, SEED = 16, 64, 17
 WORD = r"[^\x20\x09-\x0D]+"
@@ -83,7 +85,7 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, seed: int = SEED, share: floa
     """
     order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")).cast("binary"))
     sized = docs.select("doc_id", "source", words_of("text").alias("size"))
-    keyed = sized.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
+    keyed = stored(sized.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))))
     sources = keyed.groupBy("key").agg(
         F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count("*").alias("n_docs")
     )
@@ -98,6 +100,7 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, seed: int = SEED, share: floa
     dealt = (
         keyed.withColumn("order", order).join(given, "key")
         .withColumn("shard", F.conv(F.substring("order", 1, 8), 16, 10).cast("long") % F.col("n_shards"))
+        .repartition("key", "shard")
     )
     shards = dealt.groupBy("key", "shard", "source_quota").agg(F.sum("size").alias("shard_size"))
     quotas = apportion(shards, ["key"], "shard", "shard_size", "source_quota").select(
@@ -107,7 +110,7 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, seed: int = SEED, share: floa
     before = F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     part = lambda words: F.least(F.col("size"), F.greatest(words, F.lit(0)))
     return (
-        dealt.repartition("key", "shard").withColumn("before", before).join(quotas, ["key", "shard"])
+        dealt.withColumn("before", before).join(quotas, ["key", "shard"])
         .select(
             "doc_id", "size", "source_size", "target",
             (part(F.col("quota") - F.col("before")) + part(F.col("quota") - F.col("shard_size") - F.col("before")))
