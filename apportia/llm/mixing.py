@@ -36,7 +36,7 @@ def targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0, weights: tu
         sizes.withColumn("at", F.row_number().over(order)).withColumn("weight", w)
         .withColumn("full", F.lit(float(most)) * F.col("source_size"))
         .withColumn("level", level)
-        .withColumn("level", F.min(F.when(F.col("level") <= F.col("full") / F.col("weight"), F.col("level"))).over(everything))
+        .withColumn("level", F.max(F.when(F.col("level") <= F.col("full") / F.col("weight"), F.col("level"))).over(everything))
         .withColumn("target", F.least("full", F.coalesce(F.col("level") * F.col("weight"), F.col("full"))).cast("double"))
         .drop("at", "weight", "full", "level")
     )

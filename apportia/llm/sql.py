@@ -31,7 +31,7 @@ WITH d AS (
              - coalesce(sum(full_size) OVER f, 0)) / (CAST(sum(weight) OVER () AS DOUBLE) - coalesce(CAST(sum(weight) OVER f AS DOUBLE), 0)) AS lev
   FROM w WINDOW f AS (ORDER BY full_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), t AS (
-  SELECT *, least(full_size, coalesce(min(CASE WHEN lev <= full_size / weight THEN lev END) OVER () * weight, full_size)) AS target FROM l
+  SELECT *, least(full_size, coalesce(max(CASE WHEN lev <= full_size / weight THEN lev END) OVER () * weight, full_size)) AS target FROM l
 ), m AS (SELECT *, CAST(round(sum(target) OVER () / 16) AS BIGINT) AS seats FROM t
 ), q1 AS (
   SELECT key, target, seats, k, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, key) AS r

@@ -1,15 +1,58 @@
-"""Documents to a training mix: each stage reads what the one before it has kept."""
+"""Documents to a training mix: each stage reads what the one before it has kept.
+
+Every stage but the last returns the columns of documents. No stage but the first two looks at or changes
+what a document is apart from the columns it names; rows with a null doc_id pass them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from apportia.llm import mixing
+from apportia.llm import decontamination, jaccard, lines, mixing, toxicity
 from apportia.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+TOXIC = 0.7
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below 0.7, learnt from the labelled ones; null and empty texts stay."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return docs.where(toxicity.score_of("text", toxicity.model(docs, labels)) < TOXIC)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents less the blocks of lines that earlier ones hold; one of which nothing is left goes.
+
+    n_chars, where there is such a column, is counted again for texts that changed.
+    """
+    found = lines.deduplicated(docs)
+    changed = F.size("gone") > 0
+    column = {"text": F.col("kept"), "n_chars": F.when(changed, F.length("kept").cast("long")).otherwise(F.col("row.n_chars"))}
+    return found.where(~changed | (F.trim(F.col("kept")) != "")).select(*[
+        column.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns
+    ])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each class of near copies; of rows with one id, that of the least text."""
+    found = jaccard.classes(docs)
+    copies = stored(found.where("doc_id <> class_id").select("doc_id").distinct())
+    twice = stored(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
+    kept = docs.join(copies, "doc_id", "left_anti")
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    one = kept.join(twice, "doc_id", "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), nth.alias("nth"))
+    once = kept.join(twice, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return once.unionByName(one.where("nth = 1").select("row.*"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that repeat no benchmark item."""
+    hit = decontamination.overlaps(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(stored(hit), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,7 +60,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("mix", mix)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic), ("line_dedup", drop_repeated_lines), ("jaccard_join", drop_near_copies),
+    ("decontamination", drop_contaminated), ("mix", mix),
+]
+#: The first stage learns its weights, which SQL cannot express.
 ORACLE_SQL = None
 
 
