@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from apportia.llm.common import chunks, stored
 from apportia.llm.toxicity import TOKENS, Words
 
-#: Words at 1 must be equal, words at 0 are ignored. Each has six ones.
-MASKS = ("111111", "1110111", "1111011", "11011011")
+#: Words at 1 must be equal, words at 0 are ignored. Of any 13 aligned words with at most two unequal, the
+#: first two masks find one place or more; the third helps with items shorter than that.
+MASKS = ("111111", "11001010011", "1110111")
 WINDOW, SHARE, CHARS_AT_ONCE, FILTER_BITS = 13, 0.8, 3_000_000, 27
 REACH = WINDOW
 WIDTH = 2 * REACH + max(map(len, MASKS))
@@ -116,8 +117,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, filter_bits: int = FILTER_BI
     """Benchmark items that documents repeat: doc_id, item_id, n_hits, matched, first_word, last_word.
 
     An overlap is a run of 13 aligned words (of all words of a shorter item) of which 80 % are equal, with
-    a hit of a mask in or beside it. Words are runs of letters and digits in lower case. Items of fewer
-    than six words cannot be hit and are not looked for. matched is the most equal words of a run.
+    a hit of a mask in or beside it, which every run of 13 has. Items of fewer than 13 words are found where
+    six equal words lie under a mask, items of fewer than six words never. Words are runs of letters and
+    digits in lower case. matched is the most equal words of a run.
 
     Seeds of the benchmark set bits in a filter of fixed size, which every task gets; only seeds of
     documents that pass it are shuffled to the exact join. Null and empty texts overlap nothing, repeated
@@ -152,6 +154,7 @@ def brute_overlaps(docs: list[tuple[int, str | None]], items: list[tuple[int, st
             a = words(text)
             for shift in range(-len(b), len(a)):
                 equal = [0 <= shift + j < len(a) and a[shift + j] == b[j] for j in range(len(b))]
-                if any(sum(equal[s : s + WINDOW]) >= need for s in range(max(1, len(b) - WINDOW + 1))) and len(b) >= 6:
+                hit = any(all(equal[s + k] for k, c in enumerate(m) if c == "1") for m in MASKS for s in range(len(b) - len(m) + 1))
+                if hit and any(sum(equal[s : s + WINDOW]) >= need for s in range(max(1, len(b) - WINDOW + 1))):
                     out.add((d, i))
     return out
