@@ -87,10 +87,16 @@ EVENT_CANCEL = ("110111",)
 EVENT_CORRECTION = ("110110",)
 EVENT_VOID = ("110112",)
 EVENT_SUBSTITUTE = ("110140", "110160", "240650")
-EVENT_CANCEL_TEXT = ("CANCEL",)
-EVENT_CORRECTION_TEXT = ("CORRECAO", "CORREÇÃO", "CCE", "CARTA")
-EVENT_VOID_TEXT = ("INUTIL",)
-EVENT_SUBSTITUTE_TEXT = ("SUBSTITUI", "SUBST", "SUBSTITUIÇÃO")
+# What an event does to its document, by its code or by a word of its text.
+EVENT_KINDS = ("cancelled", "substituted", "corrected", "voided")
+EVENT_KIND_OF_CODE = (
+    dict.fromkeys(EVENT_CANCEL, "cancelled") | dict.fromkeys(EVENT_SUBSTITUTE, "substituted")
+    | dict.fromkeys(EVENT_CORRECTION, "corrected") | dict.fromkeys(EVENT_VOID, "voided")
+)
+EVENT_KIND_OF_WORD = {
+    "CANCEL": "cancelled", "CARTA": "corrected", "CCE": "corrected", "CORRECAO": "corrected", "CORREÇÃO": "corrected",
+    "INUTIL": "voided", "SUBST": "substituted",
+}
 TRANSPORT_SUBSTITUTE = ("110165", "110170")
 TRANSPORT_VOID = ("110",)
 ENERGY_SUBSTITUTE = ("110112",)

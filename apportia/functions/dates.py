@@ -18,17 +18,17 @@ def parse_ledger_date(c: Column | str) -> Column:
 
 
 def coerce_timestamp(c: Column | str) -> Column:
-    """14 or 8 digits, epoch milliseconds (13 digits or more) or seconds, or parseable text."""
-    s = F.trim(col(c).cast("string"))
-    n = F.length(s)
-    as_long = s.try_cast("bigint")
-    return (
-        F.when(s.rlike(r"^\d{14}$"), F.try_to_timestamp(s, F.lit("yyyyMMddHHmmss")))
-        .when(s.rlike(r"^\d{8}$"), F.try_to_timestamp(s, F.lit("yyyyMMdd")))
-        .when(s.rlike(r"^\d{1,20}$") & (n >= 13), F.timestamp_millis(as_long))
-        .when(s.rlike(r"^\d{1,20}$"), F.timestamp_seconds(as_long))
-        .otherwise(s.try_cast("timestamp"))
-    )
+    """Time from a number or a text.
+
+    The count of digits tells what a number is: 8 or 14 are a calendar date or time, filled up to the
+    second; 13 and more are milliseconds, all others seconds since 1970. Other text is parsed.
+    """
+    told = F.trim(col(c).cast("string"))
+    count = F.when(told.rlike(r"^\d+$"), F.length(told)).otherwise(0)
+    calendar = F.try_to_timestamp(F.rpad(told, 14, "0"), F.lit("yyyyMMddHHmmss"))
+    unit = F.when(count < 13, 1_000_000).otherwise(1_000).cast("bigint")
+    since_1970 = F.timestamp_micros(F.try_multiply(told.try_cast("bigint"), unit))
+    return F.when(count.isin(8, 14), calendar).when(count > 0, since_1970).otherwise(told.try_cast("timestamp"))
 
 
 def coerce_date(c: Column | str) -> Column:

@@ -76,34 +76,31 @@ def settle(
     return out.withColumn("reason", final.cast("int")).drop("__reason", "__hit", "__in", "item_reason")
 
 
-def normalised_events(
-    events: DataFrame, key: str, kind: str, at: str,
-    substitute: tuple[str, ...] = K.EVENT_SUBSTITUTE, void: tuple[str, ...] = K.EVENT_VOID,
-) -> DataFrame:
-    """Event kind by code or by words in its text; events without a document key go."""
-    k = F.col(kind).cast("string")
-    return (
-        events.select(
-            F.trim(F.col(key).cast("string")).alias("access_key"),
-            F.col(at).alias("at"),
-            (codes.code_in(k, K.EVENT_CANCEL) | codes.text_has(k, K.EVENT_CANCEL_TEXT)).alias("cancelled"),
-            (codes.code_in(k, substitute) | codes.text_has(k, K.EVENT_SUBSTITUTE_TEXT)).alias("substituted"),
-            (codes.code_in(k, K.EVENT_CORRECTION) | codes.text_has(k, K.EVENT_CORRECTION_TEXT)).alias("corrected"),
-            (codes.code_in(k, void) | codes.text_has(k, K.EVENT_VOID_TEXT)).alias("voided"),
-        )
-        .where(F.col("access_key").isNotNull() & (F.col("access_key") != ""))
-    )
+def classified_events(events: DataFrame, key: str, kind: str, at: str) -> DataFrame:
+    """access_key, at and kinds: what the code or the words of each event do to its document.
+
+    Events without a document key go.
+    """
+    told = F.upper(F.col(kind).cast("string"))
+    by_word = [F.when(told.contains(word), F.lit(k)) for word, k in K.EVENT_KIND_OF_WORD.items()]
+    by_code = codes.lookup(codes.digits_only(told), K.EVENT_KIND_OF_CODE)
+    return events.select(
+        codes.blank_to_null(F.col(key).cast("string")).alias("access_key"), F.col(at).alias("at"),
+        F.array_compact(F.array(by_code, *by_word)).alias("kinds"),
+    ).where("access_key is not null")
+
+
+def kind_flags(kinds: str = "kinds") -> dict[str, Column]:
+    """One flag per kind of event."""
+    return {k: F.array_contains(kinds, k) for k in K.EVENT_KINDS}
 
 
 def collapse_events(events: DataFrame, key: str = "access_key") -> DataFrame:
-    """One row per document: flags, last cancellation, last event."""
+    """One row per document of classified events: flags, last cancellation, last event."""
+    flags = kind_flags()
     return events.groupBy(key).agg(
-        F.max(F.when(F.col("cancelled"), F.col("at"))).alias("cancelled_at"),
-        F.bool_or("cancelled").alias("cancelled"),
-        F.bool_or("substituted").alias("substituted"),
-        F.bool_or("corrected").alias("corrected"),
-        F.bool_or("voided").alias("voided"),
-        F.max("at").alias("last_event_at"),
+        *[F.bool_or(hit).alias(k) for k, hit in flags.items()],
+        F.max(F.when(flags["cancelled"], F.col("at"))).alias("cancelled_at"), F.max("at").alias("last_event_at"),
     )
 
 

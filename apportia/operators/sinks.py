@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from apportia import schemas
+from apportia.session import cut_lineage
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -127,7 +129,7 @@ def assign_ids(
 
     Keys are numbered inside buckets and each bucket starts after the ones before it, so nothing
     is sorted in one task. The bucket is a hash of the key; a bucket that rises with the key
-    numbers them in key order.
+    numbers them in key order and must be a number.
     """
     fresh = keys.select(key).where(F.col(key).isNotNull()).distinct()
     if key_map is not None:
@@ -138,9 +140,16 @@ def assign_ids(
         "__rank", F.row_number().over(W.partitionBy("__bucket").orderBy(key)).cast("bigint")
     )
     counts = placed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    # One row per bucket is left: a few thousand.
-    before = W.partitionBy(F.lit(0)).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select("__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    # Offsets in two levels: ranges of buckets, then buckets within their range. With the ranges of a
+    # thousand buckets each, both stay small.
+    upto = lambda w: F.coalesce(F.sum("__n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.withColumn("__range", F.floor(F.col("__bucket") / 1024))
+    ranges = counts.groupBy("__range").agg(F.sum("__n").alias("__n"))
+    ranges = ranges.select("__range", upto(W.partitionBy(F.lit(0)).orderBy("__range")).alias("__start"))
+    offsets = (
+        counts.withColumn("__base", upto(W.partitionBy("__range").orderBy("__bucket"))).join(ranges, "__range")
+        .select("__bucket", (F.col("__base") + F.col("__start")).alias("__base"))
+    )
     if key_map is not None:
         top = key_map.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
     else:
@@ -170,16 +179,53 @@ def write(
     return seen
 
 
-def replace_partitions(
-    df: DataFrame, path: str, partition_by: list[str], files: int = 8
-) -> Observation:
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> Observation:
     """Replace exactly the partitions the frame holds; running it again changes nothing.
 
-    Rows are brought together by partition value and a hash of the row, so that one large
-    partition is written by several tasks, and always by the same split after a lost task.
+    Rows are brought together by partition value; adaptive execution splits large partitions by size.
+    """
+    return write(df.hint("rebalance", *partition_by), path, "overwrite", partition_by)
+
+
+def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """A stored table, or None where nothing has been stored yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def replace_rows(
+    spark: SparkSession, rows: DataFrame, path: str, partition_by: list[str], touched: Column,
+    gone: Column | DataFrame, on: list[str] | None = None,
+) -> int:
+    """Put rows in the place of those that are gone; returns how many were put in.
+
+    ``gone`` is a condition, or the keys ``on`` whose rows go. Only partitions that meet ``touched``, a
+    condition on partition columns, are read and written again; one that is left without rows is deleted.
     """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files))
-    return write(df.repartition(*partition_by, spread), path, "overwrite", partition_by)
+    new = cut_lineage(rows)
+    old = stored_rows(spark, path)
+    if old is None:
+        write(new.hint("rebalance", *partition_by), path, "overwrite", partition_by)
+        return new.count()
+    old = old.where(touched)
+    had = old.select(*partition_by).distinct().collect()
+    kept = old.where(~F.coalesce(gone, F.lit(False))) if isinstance(gone, Column) else old.join(gone, on, "left_anti")
+    out = cut_lineage(kept.select(*new.columns).unionByName(new))
+    write(out.hint("rebalance", *partition_by), path, "overwrite", partition_by)
+    has = {tuple(r) for r in out.select(*partition_by).distinct().collect()}
+    for row in had:
+        if tuple(row) not in has:
+            remove_partition(spark, path, row.asDict())
+    return new.count()
+
+
+def remove_partition(spark: SparkSession, path: str, values: dict[str, object]) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path("/".join([path, *[f"{k}={v}" for k, v in values.items()]]))
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def clear_partitions(spark: SparkSession, path: str, out: str, keep: Column, partition_by: list[str]) -> None:
@@ -243,7 +289,7 @@ def run_event(
                 ]
             )
         ).alias("c"),
-        F.lit(note[:4000]).alias("note"),
+        F.lit(note).alias("note"),
     )
     align(base.select("*", "c.counter", "c.amount"), schemas.RUN_EVENT).write.mode("append").parquet(path)
 

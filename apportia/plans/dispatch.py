@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apportia import constants as K
+from apportia.functions import dates
 from apportia.operators import sinks
 from apportia.plans import energy, goods, ledger, references, ticket, transport
 from apportia.plans.store import PARTITIONS
@@ -24,7 +25,7 @@ def prepare(
     home: str = K.HOME_STATE, store=lambda df: df,
 ) -> tuple[DataFrame, DataFrame | None]:
     """(documents, items) of a kind for a whole window; a window of many days is one job."""
-    read = lambda name: tables.read_section(spark, catalog, name, window, key, where)
+    read = lambda name: tables.read_section(spark, catalog, name, window, key, where)
     if kind in ("goods", "consumer"):
         ref = references.load(spark, catalog)
         return goods.load(
@@ -48,21 +49,24 @@ def load(
     spark: SparkSession, kind: str, catalog: tables.Catalog, window: tuple[str, str], run_id: int,
     documents_path: str, items_path: str, registry: DataFrame | None = None, home: str = K.HOME_STATE,
 ) -> dict[str, int]:
-    """Load a window and replace its documents and items by (type, period).
+    """Load a window and put its documents and items in the place of those stored for it.
 
-    A window must hold whole months, as whole partitions are replaced. A month that no longer has
-    any document keeps the rows of the earlier run; ``left_over`` counts them, ``store.clear``
-    removes them.
+    The window may be any span of time: documents emitted in it, of this type, go with their items, also
+    if the load yields none; the rest of a month stays. Returns the rows put in.
     """
     documents, items = prepare(spark, kind, catalog, window, run_id, registry, home=home, store=cut_lineage)
-    counts = {"documents": sinks.replace_partitions(documents, documents_path, PARTITIONS).get["rows"]}
-    if counts["documents"] == 0:
-        return counts
-    stored = spark.read.parquet(documents_path).where(F.col("doc_type") == DOC_TYPE[kind])
-    if items is not None:
-        # The keys just written are read back rather than computed again.
-        keys = stored.where(F.col("run_id") == run_id).select("access_key", "period").distinct()
-        counts["items"] = sinks.replace_partitions(items.join(keys, "access_key"), items_path, PARTITIONS).get["rows"]
+    documents = cut_lineage(documents)
+    inside = dates.between("emitted_at", *window) & (F.col("doc_type") == DOC_TYPE[kind])
     periods = [int(w[:4]) * 100 + int(w[5:7]) for w in window]
-    counts["left_over"] = stored.where(F.col("period").between(*periods) & (F.col("run_id") != run_id)).count()
+    touched = (F.col("doc_type") == DOC_TYPE[kind]) & F.col("period").between(*periods)
+    placed = documents.select("access_key", "period").distinct()
+    keys = placed.select("access_key")
+    old = sinks.stored_rows(spark, documents_path)
+    if old is not None:
+        keys = keys.unionByName(old.where(touched & inside).select("access_key")).distinct()
+    keys = cut_lineage(keys)
+    counts = {"documents": sinks.replace_rows(spark, documents, documents_path, PARTITIONS, touched, inside)}
+    if items is not None:
+        rows = items.join(placed, "access_key")
+        counts["items"] = sinks.replace_rows(spark, rows, items_path, PARTITIONS, touched, keys, ["access_key"])
     return counts

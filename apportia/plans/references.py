@@ -34,7 +34,7 @@ def normalise_codes(ref: DataFrame, to_code, width: int) -> DataFrame:
 
 def load(spark: SparkSession, catalog: tables.Catalog) -> References:
     bundle = tables.read_references(spark, catalog)
-    events = rollups.normalised_events(bundle["events"], "access_key", "kind", "at")
+    events = rollups.classified_events(bundle["events"], "access_key", "kind", "at")
     return References(
         normalise_codes(bundle["op_codes"], codes.op_code, 4),
         normalise_codes(bundle["products"], codes.product_code, 8),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +17,17 @@ def store_value_added(
     docs: DataFrame, registry: DataFrame, munis: DataFrame, path: str, run_id: int,
     window: tuple[str, str], home: str = K.HOME_STATE,
 ) -> int:
-    """Value added of the window's documents; replaces the periods it computes."""
+    """Value added of the months of the window; replaces those months, emptied ones included.
+
+    The window is the first day of a month and the last day of one: a stored month is a sum over all its days.
+    """
+    first, last = (date.fromisoformat(d) for d in window)
+    if first.day != 1 or (last + timedelta(days=1)).day != 1 or last < first:
+        raise ValueError(f"window {window} does not hold whole months")
     va = results.value_added(docs.where(dates.between_days("emitted_at", *window)), registry, munis, home)
     rows = sinks.align(va.withColumn("run_id", F.lit(run_id)), schemas.VALUE_ADDED)
-    return sinks.replace_partitions(rows, path, ["period"], files=1).get["rows"]
+    inside = F.col("period").between(first.year * 100 + first.month, last.year * 100 + last.month)
+    return sinks.replace_rows(docs.sparkSession, rows, path, ["period"], inside, inside)
 
 
 def store_index(
@@ -31,5 +40,5 @@ def store_index(
         {"stage": F.lit(stage), "index_type": F.lit(K.INDEX_FULL), "run_id": F.lit(run_id)}
     )
     return sinks.replace_partitions(
-        sinks.align(rows, schemas.SHARE_INDEX), path, ["year", "stage", "index_type"], files=1
+        sinks.align(rows, schemas.SHARE_INDEX), path, ["year", "stage", "index_type"]
     ).get["rows"]

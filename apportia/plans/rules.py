@@ -9,13 +9,12 @@ from apportia import schemas
 from apportia.functions import codes, dates, rules
 from apportia.operators import joins, sinks
 from apportia.plans.references import References
-from apportia.session import small
 
 
 def flag_codes(df: DataFrame, ref: DataFrame, code: str, flag: str) -> DataFrame:
     """Participation flag from a normalised (code, participates) reference; unknown is false."""
     r = ref.select(F.col("code").alias("__code"), F.col("participates").alias("__part"))
-    out = df.join(small(r), F.col(code) == F.col("__code"), "left")
+    out = df.join(r, F.col(code) == F.col("__code"), "left")
     return out.withColumn(flag, F.coalesce("__part", F.lit(False))).drop("__code", "__part")
 
 
@@ -60,7 +59,7 @@ def project_documents(docs: DataFrame, doc_type: int | None, run_id: int) -> Dat
     """Unified document layout, trimmed key, period from the emission time, null for no reason."""
     out = docs.withColumns(
         {
-            "access_key": codes.text("access_key", 44),
+            "access_key": codes.text("access_key"),
             "period": dates.period("emitted_at"),
             "run_id": F.lit(run_id),
             "reason": F.nullif(F.col("reason").cast("int"), F.lit(0)),
@@ -74,7 +73,7 @@ def project_documents(docs: DataFrame, doc_type: int | None, run_id: int) -> Dat
 def project_items(items: DataFrame, doc_type: int, run_id: int) -> DataFrame:
     out = items.withColumns(
         {
-            "access_key": codes.text("access_key", 44), "run_id": F.lit(run_id),
+            "access_key": codes.text("access_key"), "run_id": F.lit(run_id),
             "doc_type": F.lit(doc_type),
         }
     )

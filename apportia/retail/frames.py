@@ -7,8 +7,6 @@ change logs.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,13 +24,7 @@ COUNTED_CODES = tuple(d + s for d in ("1", "5") for s in COUNTED_SUFFIXES)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return _read(spark, spark.sparkContext.applicationId, f"{sf}/{name}.parquet")
-
-
-@lru_cache(maxsize=256)
-def _read(spark: SparkSession, application: str, path: str) -> DataFrame:
-    """One schema lookup per table and application."""
-    return spark.read.parquet(path)
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def publish(df: DataFrame) -> DataFrame:
@@ -44,7 +36,8 @@ def publish(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             # Not date_format: that would read wall-clock times in the session's zone.
-            c = F.substring(c.cast("string"), 1, 19)
+            t = c.cast("string")
+            c = F.rpad(F.when(t.contains("."), t).otherwise(F.concat(t, F.lit("."))), 26, "0")
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         out.append(c.alias(f.name))

@@ -282,7 +282,7 @@ def kinds():
 def event_types(spark, sf):
     """Event kind by code or by words."""
     e = R.table(spark, sf, "events").withColumn("kind", kinds())
-    return rollups.normalised_events(e, "user_id", "kind", "ts")
+    return rollups.classified_events(e, "user_id", "kind", "ts").select("access_key", "at", *[c.alias(k) for k, c in rollups.kind_flags().items()])
 
 
 @query("""SELECT o_orderkey, CASE WHEN CAST(o_orderkey AS VARCHAR) LIKE '52%' THEN 10 ELSE 2 END AS doc_type FROM orders""")

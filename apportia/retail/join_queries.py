@@ -112,7 +112,7 @@ COLLAPSED = f"""SELECT CAST(event_id // 3 AS VARCHAR) AS access_key, {text("MAX(
 
 def collapsed(spark, sf):
     e = R.table(spark, sf, "events").withColumns({"kind": kinds(), "doc": F.floor(F.col("event_id") / 3)})
-    return rollups.collapse_events(rollups.normalised_events(e, "doc", "kind", "ts"))
+    return rollups.collapse_events(rollups.classified_events(e, "doc", "kind", "ts"))
 
 
 @query(COLLAPSED)

@@ -108,7 +108,7 @@ def excluded_documents(spark, sf):
 @query("""WITH s AS (SELECT user_id AS reg, ts::DATE AS start, MAX(value) AS value FROM events WHERE event_type = 'signup' GROUP BY 1, 2),
     n AS (SELECT user_id AS reg, ts::DATE AS start, MAX(value) AS value FROM events WHERE event_type = 'view' GROUP BY 1, 2),
     m AS (SELECT * FROM s UNION ALL SELECT * FROM n ANTI JOIN s USING (reg, start))
-    SELECT reg, strftime(start, '%Y-%m-%d %H:%M:%S') AS start, strftime(lead(start) OVER (PARTITION BY reg ORDER BY start) - INTERVAL 1 SECOND, '%Y-%m-%d %H:%M:%S') AS stop, value FROM m""")
+    SELECT reg, strftime(start, '%Y-%m-%d %H:%M:%S.%f') AS start, strftime(lead(start) OVER (PARTITION BY reg ORDER BY start) - INTERVAL 1 SECOND, '%Y-%m-%d %H:%M:%S.%f') AS stop, value FROM m""")
 def close_versions(spark, sf):
     """Stored versions with new ones merged in, each closed by the next start."""
     e = R.table(spark, sf, "events")

@@ -102,4 +102,4 @@ def using(*names: str, then: str) -> str:
 
 
 def text(column: str) -> str:
-    return f"strftime({column}, '%Y-%m-%d %H:%M:%S')"
+    return f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f')"

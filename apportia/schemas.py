@@ -67,6 +67,8 @@ class Section:
     aliases: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
 
+#: Sections that hold the documents themselves, or the items their value is made of.
+MAIN_SECTIONS = ("goods_header", "goods_item", "transport_doc", "energy_doc", "ticket_doc", "ledger_document")
 SECTIONS = {
     "goods_header": Section(
         struct(

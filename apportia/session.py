@@ -1,13 +1,10 @@
-"""Session helpers: bounds for broadcasting and cutting lineage."""
+"""Session helpers: building a session and cutting lineage."""
 
 from __future__ import annotations
 
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-SMALL_ROWS = 200_000
 
 
 def build(app: str = "apportia", master: str | None = None) -> SparkSession:
@@ -21,17 +18,11 @@ def build(app: str = "apportia", master: str | None = None) -> SparkSession:
     return (b.master(master) if master else b).getOrCreate()
 
 
-def small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast hint for a reference of at most ``max_rows`` rows; otherwise an ordinary join side.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint into the shared folder the session names.
 
-    The check counts no further than the bound, and Spark picks a shuffle join beyond it.
+    Where it names none, a folder of this machine serves on a local master; on a cluster that is an error.
     """
-    within = df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if within else df
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the shared folder the session names; a temporary one only where unset."""
     sc = df.sparkSession.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir", None) or df.sparkSession.conf.get(
         "spark.checkpoint.dir", None
@@ -40,5 +31,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(folder)
     elif not sc.getCheckpointDir():
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="apportia-checkpoint-"))
     return df.checkpoint()

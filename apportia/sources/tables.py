@@ -44,14 +44,16 @@ def resolve(df: DataFrame, section: Section) -> DataFrame:
     return df.select(*cols)
 
 
-def usable(df: DataFrame, condition: str | None) -> Column | None:
-    """User predicate, or None where it names columns this section does not have."""
+def usable(df: DataFrame, condition: str | None, optional: bool = False) -> Column | None:
+    """User predicate; only where it is optional, None if it names columns this section does not have."""
     if not condition:
         return None
     try:
         df.where(condition).schema
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if optional and (e.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            return None
+        raise
     return F.expr(condition)
 
 
@@ -78,9 +80,15 @@ def read_section(
     key: str | None = None, where: str | None = None, fmt: str = "parquet",
 ) -> DataFrame:
     """A document section under its canonical names, filtered on the stored column so that the
-    window reaches the scan. A section the catalog does not list comes back empty."""
+    window reaches the scan.
+
+    A main section must be in the catalog and take the predicate; a section beside it that the catalog
+    does not list comes back empty, and a predicate on columns it lacks leaves it whole."""
     section = schemas.SECTIONS[name]
+    main = name in schemas.MAIN_SECTIONS
     if name not in catalog:
+        if main:
+            raise KeyError(f"section {name!r} is required")
         return spark.createDataFrame([], section.schema)
     raw = open_table(spark, catalog, name, fmt)
     if window and section.time:
@@ -96,7 +104,7 @@ def read_section(
         stored = first_present(raw, ("access_key", *section.aliases.get("access_key", ())))
         if stored:
             raw = raw.where(F.col(stored) == key)
-    extra = usable(raw, where)
+    extra = usable(raw, where, optional=not main)
     if extra is not None:
         raw = raw.where(extra)
     return resolve(raw, section)

@@ -5,6 +5,7 @@ from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from apportia import schemas, session
 from apportia.operators import sinks
@@ -89,8 +90,14 @@ def test_sources(spark):
     df = spark.createDataFrame([("k", 5)], "CHAVENFE string, VNF int")
     out = tables.resolve(df, schemas.SECTIONS["goods_total"])
     assert out.schema == schemas.SECTIONS["goods_total"].schema and out.first()["total"] == D(5)
-    assert tables.usable(df, "nope > 1") is None and tables.usable(df, "VNF > 1") is not None
+    assert tables.usable(df, "nope > 1", optional=True) is None and tables.usable(df, "VNF > 1") is not None
+    for wrong in ("nope > 1", "VNF >", "VNF > (1"):
+        with pytest.raises(AnalysisException):
+            tables.usable(df, wrong, optional=wrong != "nope > 1")
     assert tables.read_section(spark, {}, "ticket_trip").count() == 0
+    for main in schemas.MAIN_SECTIONS:
+        with pytest.raises(KeyError):
+            tables.read_section(spark, {}, main)
     assert tables.read_reference(spark, {}, "products").columns == ["code", "participates"]
     with pytest.raises(KeyError):
         tables.read_references(spark, {})
@@ -106,12 +113,6 @@ def test_sources(spark):
     assert tables.days(spark, "2024-01-30", "2024-02-02").count() == 4
 
 
-def test_broadcast_is_bounded(spark):
-    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(session.small(spark.range(10), 10))
-    assert "broadcast" not in plan(session.small(spark.range(11), 10))
-
-
 def test_checkpoint_cuts_lineage(spark):
     df = session.cut_lineage(spark.range(5).where("id > 1"))
     assert df.count() == 3 and "Filter" not in df._jdf.queryExecution().optimizedPlan().toString()
@@ -183,15 +184,37 @@ def test_load_a_window_twice(spark, rows, tmp_path):
     counts = load()
     first = rows(spark.read.parquet(docs), "access_key", "value_added", "appropriation")
     assert counts["documents"] == len(first) > 0 and counts["items"] == spark.read.parquet(items).count()
-    assert counts["left_over"] == 0
     assert load() == counts and rows(spark.read.parquet(docs), "access_key", "value_added", "appropriation") == first
 
 
+def test_part_month_loads_replace_their_window_only(spark, rows, tmp_path):
+    """Days 1-10 and days 11-31 leave what the month left; 12-hour slices do too; an empty reload empties its window."""
+    docs, items = str(tmp_path / "docs"), str(tmp_path / "items")
+    catalog, registry = goods_catalog(spark, SF), two_phase_registry(spark, SF)
+    load = lambda first, last, c=catalog: dispatch.load(spark, "goods", c, (first, last), 1, docs, items, registry, R.HOME)
+    held = lambda: (rows(spark.read.parquet(docs), "access_key", "value_added"), rows(spark.read.parquet(items), "access_key", "item_no"))
+    load("1996-02-01 00:00:00", "1996-03-31 23:59:59")
+    month = held()
+    assert month[0] and month[1]
+    load("1996-03-01 00:00:00", "1996-03-10 23:59:59")
+    load("1996-03-11 00:00:00", "1996-03-31 23:59:59")
+    assert held() == month
+    mark = [datetime(1996, 3, 29, 23, 59, 59)]
+    assert incremental.advance(lambda: mark[0], lambda m: mark.__setitem__(0, m), timedelta(hours=12), datetime(1996, 3, 31, 23, 59, 59), load) == 4
+    assert held() == month
+    none = catalog | {"goods_header": tables.open_table(spark, catalog, "goods_header").limit(0)}
+    assert load("1996-03-01 00:00:00", "1996-03-31 23:59:59", none) == {"documents": 0, "items": 0}
+    left = spark.read.parquet(docs)
+    assert left.count() > 0 and left.where("emitted_at >= '1996-03-01'").count() == 0
+    assert spark.read.parquet(items).join(left, "access_key", "left_anti").count() == 0
+
+
 @pytest.mark.parametrize("kind", ["consumer", "transport", "energy", "ticket", "ledger"])
 def test_dispatch_kinds(spark, kind):
     catalog = goods_catalog(spark, SF)
     catalog |= ticket_parts(spark, SF)
     catalog |= dict(zip(("ledger_document", "ledger_item", "ledger_period"), ledger_parts(spark, SF)))
+    catalog |= {n: spark.createDataFrame([], schemas.SECTIONS[n].schema) for n in ("transport_doc", "energy_doc")}
     registry = two_phase_registry(spark, SF)
     docs, items = dispatch.prepare(spark, kind, catalog, ("1995-01-01 00:00:00", "2002-01-01 00:00:00"), 1, registry, home=R.HOME)
     assert docs.schema.names == schemas.DOCUMENT.names
@@ -209,6 +232,14 @@ def test_stored_results(spark, tmp_path):
     window = ("1997-01-01", "1997-12-31")
     n = results.store_value_added(docs, reg, munis_, va, 1, window, R.HOME)
     assert n == results.store_value_added(docs, reg, munis_, va, 2, window, R.HOME) == spark.read.parquet(va).count() > 0
+    for part in (("1997-01-02", "1997-01-31"), ("1997-01-01", "1997-01-30"), ("1997-02-01", "1997-01-31")):
+        with pytest.raises(ValueError):
+            results.store_value_added(docs, reg, munis_, va, 2, part, R.HOME)
+    before = spark.read.parquet(va)
+    rest = before.where("period <> 199703").count()
+    assert results.store_value_added(docs.limit(0), reg, munis_, va, 3, ("1997-03-01", "1997-03-31"), R.HOME) == 0
+    assert spark.read.parquet(va).count() == rest < n
+    results.store_value_added(docs, reg, munis_, va, 1, ("1997-03-01", "1997-03-31"), R.HOME)
     m = results.store_index(spark, va, munis_, index, 3, 1997, home=R.HOME)
     out = spark.read.parquet(index)
     assert m == out.count() and out.schema["share"].dataType.simpleString() == "decimal(22,18)"
