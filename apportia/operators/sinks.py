@@ -72,9 +72,9 @@ def update_columns(
 ) -> DataFrame:
     """Take the listed columns from ``changes`` where the key is there, nulls included.
 
-    ``changes`` has one row per key.
+    Of several changes to a key the greatest counts.
     """
-    right = changes.select(
+    right = one_per_key(changes.select(*keys, *cols), keys).select(
         *keys, *[F.col(c).alias(f"__new_{c}") for c in cols], F.lit(True).alias("__hit")
     )
     out = target.join(right, keys, "left")

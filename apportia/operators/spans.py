@@ -30,6 +30,7 @@ class Measure:
 
 
 _SPAN = "__span"
+_GROUP = "__group"
 _CARRY = "__carry"
 
 
@@ -38,37 +39,38 @@ def running(
 ) -> DataFrame:
     """Add running measures.
 
-    ``order`` must be total and ``span`` must not decrease along it. Keys and span must not be
-    null: the carry join is a plain equality so that it keeps the partitioning of the window.
+    ``order`` must be total and ``span`` must not decrease along it, null before all others. Null keys are
+    a group like others: keys and span are held in structs, which compare by plain equality, nulls
+    included, so that the carry join keeps the partitioning of the window.
     """
     def along(cols: list[str], reverse: bool) -> list[Column]:
         return [F.col(c).desc_nulls_last() if reverse else F.col(c).asc_nulls_first() for c in cols]
 
-    cut = df.withColumn(_SPAN, span)
+    cut = df.withColumn(_SPAN, F.struct(span)).withColumn(_GROUP, F.struct(*keys))
     local = cut
     for name, m in measures.items():
         last_row = W.currentRow if m.inclusive else -1
-        in_span = W.partitionBy(*keys, _SPAN).orderBy(*along(order, m.reverse))
+        in_span = W.partitionBy(_GROUP, _SPAN).orderBy(*along(order, m.reverse))
         local = local.withColumn(name, _over(m, in_span.rowsBetween(W.unboundedPreceding, last_row)))
 
     place = F.struct(*[F.col(c) for c in order])
-    summary = cut.groupBy(*keys, _SPAN).agg(
+    summary = cut.groupBy(_GROUP, _SPAN).agg(
         *[_summary(m, place).alias(f"{_CARRY}_{name}") for name, m in measures.items()]
     )
 
     def before(reverse: bool):
-        w = W.partitionBy(*keys).orderBy(*along([_SPAN], reverse))
+        w = W.partitionBy(_GROUP).orderBy(*along([_SPAN], reverse))
         return w.rowsBetween(W.unboundedPreceding, -1)
 
     right = summary.select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys],
+        F.col(_GROUP).alias("__k_group"),
         F.col(_SPAN).alias("__k_span"),
         *[
             _over(Measure(F.col(f"{_CARRY}_{n}"), m.kind), before(m.reverse)).alias(f"{_CARRY}_{n}")
             for n, m in measures.items()
         ],
     )
-    on = [F.col(k) == F.col(f"__k_{k}") for k in keys] + [F.col(_SPAN) == F.col("__k_span")]
+    on = [F.col(_GROUP) == F.col("__k_group"), F.col(_SPAN) == F.col("__k_span")]
     joined = local.join(right, on, "left")
     return joined.select(
         *df.columns,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from apportia import constants as K
 from apportia.functions import codes, rules
 from apportia.operators import history, joins, pairs, rollups, sinks, spans, versions
+from apportia.session import cut_lineage
 
 DOC = ["access_key", "doc_type"]
 
@@ -34,18 +35,27 @@ def op_codes_changed(
     return new_docs, sinks.update_columns(items, item_changes, [*DOC, "item_no"], ["reason"])
 
 
+#: Reasons that the roll-up of the items gives; any other is kept with its value.
+ROLLED_UP = (K.OP_CODE_OUT, K.CANCELLED, K.PARTIES_OUT, K.NO_ITEM_LEFT)
+
+
 def registry_changed(
-    docs: DataFrame, registry: DataFrame, start: str = "valid_from", stop: str = "valid_to",
-    window: tuple[str, str] | None = None,
+    docs: DataFrame, items: DataFrame, op_codes: DataFrame, registry: DataFrame, start: str = "valid_from",
+    stop: str = "valid_to", window: tuple[str, str] | None = None, keys: list[str] = DOC, store=cut_lineage,
 ) -> DataFrame:
-    """Documents with registry row, appropriation and reason 11 taken again at emission time.
+    """Documents with registry rows, appropriation, value and reason taken again at emission time.
 
-    One as-of join per side for all days and types replaces a run per emission day. Cancelled
-    documents stay cancelled, reason 11 is set or lifted, a lifted document without value has
-    reason 12.
+    The items are rolled up again, since a document that was excluded for its parties has no value stored;
+    one whose parties are now excluded loses it. Cancelled documents stay cancelled; documents with a
+    reason that does not come from the roll-up keep it with their value, unless both parties are out.
+    One as-of join per side serves all days and types.
     """
-    live = joins.without_overlaps(registry, ["state", "reg"], start, stop, ["muni"])
-    out = docs
+    live = store(joins.without_overlaps(registry, ["state", "reg"], start, stop, ["muni"]))
+    flagged = joins.participation_flag(items, op_codes, "op_code", "code", "code_participates")
+    split = rollups.participation_split(flagged, keys)
+    out = docs.join(split, keys, "left").withColumns(
+        {v: F.coalesce(v, F.lit(0).cast("decimal(17,2)")) for v in ("value_in", "value_out")}
+    )
     for side in ("entry", "exit"):
         out = joins.as_of(
             out, live, {f"{side}_state": "state", f"{side}_reg": "reg"}, "emitted_at", start, stop,
@@ -56,17 +66,22 @@ def registry_changed(
             ["muni"], window, disjoint=True,
         )
     sides = [(f"{s}_status", f"{s}_regime", f"{s}_rural") for s in ("entry", "exit")]
-    both = rules.both_parties_out(sides[0][:2], sides[1][:2])
-    lifted = F.when(F.coalesce(F.col("value_added"), F.lit(0)) == 0, K.NO_ITEM_LEFT)
-    reason = (
-        F.when(both, K.PARTIES_OUT)
-        .when(F.col("reason") == K.CANCELLED, K.CANCELLED)
-        .when(F.coalesce(F.col("reason"), F.lit(K.PARTIES_OUT)) == K.PARTIES_OUT, lifted)
-        .otherwise(F.col("reason"))
+    both = F.coalesce(rules.both_parties_out(sides[0][:2], sides[1][:2]), F.lit(False))
+    marked = out.withColumns(
+        {
+            "appropriation": rules.appropriation(*sides), "__value": F.col("value_added"), "__old": F.col("reason"),
+            "__kept": ~both & F.col("reason").isNotNull() & ~F.col("reason").isin(*ROLLED_UP), "__both": both,
+        }
     )
-    return out.withColumns(
-        {"appropriation": rules.appropriation(*sides), "reason": reason.cast("int")}
+    settled = rollups.settle(
+        marked.drop("reason"), [(F.col("__old") == K.CANCELLED, K.CANCELLED), (F.col("__both"), K.PARTIES_OUT)]
     )
+    return settled.withColumns(
+        {
+            "value_added": F.when(F.col("__kept"), F.col("__value")).otherwise(F.col("value_in")).cast("decimal(17,2)"),
+            "reason": F.when(F.col("__kept"), F.col("__old")).otherwise(F.col("reason")).cast("int"),
+        }
+    ).drop("__value", "__old", "__kept", "__both", "value_in", "value_out")
 
 
 def cancel_invoices(docs: DataFrame, keys: DataFrame, home_code: str = "52") -> DataFrame:

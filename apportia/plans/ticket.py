@@ -25,12 +25,13 @@ def latest_trip(trips: DataFrame) -> DataFrame:
 
 
 def number_items(detail: DataFrame) -> DataFrame:
-    """Items numbered by trip, else by id."""
-    order = F.coalesce("trip_no", "id")
-    placed = detail.withColumns({"__order": order, "__tie": F.coalesce("id", F.lit(-1))})
+    """Items numbered by trip, else by id; rows alike in both follow a digest of the whole row."""
+    placed = detail.withColumns(
+        {"__order": F.coalesce("trip_no", "id"), "__tie": F.coalesce("id", F.lit(-1)), "__row": F.xxhash64(*detail.columns)}
+    )
     return spans.position(
-        placed, ["access_key"], ["__order", "__tie"], F.coalesce(spans.number_span("__order"), F.lit(-1)), "item_no"
-    ).drop("__order", "__tie")
+        placed, ["access_key"], ["__order", "__tie", "__row"], spans.number_span("__order"), "item_no"
+    ).drop("__order", "__tie", "__row")
 
 
 def prepare(parts: dict[str, DataFrame]) -> DataFrame:

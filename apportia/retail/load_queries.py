@@ -324,9 +324,12 @@ def correct_op_code_items(spark, sf):
     return out.select("access_key", "item_no", "reason")
 
 
-@query(using("versions", "purchases", then="""SELECT doc_id, entry_id, CASE WHEN e_ok AND x_ok THEN 'A' WHEN e_ok THEN 'E' WHEN x_ok THEN 'S' ELSE 'N' END AS appropriation,
-    CAST(CASE WHEN e_out AND x_out THEN 11 WHEN old = 10 THEN 10 WHEN COALESCE(old, 11) = 11 THEN CASE WHEN total < 10 THEN 12 END ELSE old END AS INTEGER) AS reason
-    FROM (SELECT p.doc_id, p.total, e.event_id AS entry_id, CASE WHEN total < 5 THEN 10 WHEN total < 20 THEN 11 WHEN total < 30 THEN 12 END AS old,
+@query(using("versions", "purchases", then="""SELECT doc_id, entry_id, exit_id, CASE WHEN e_ok AND x_ok THEN 'A' WHEN e_ok THEN 'E' WHEN x_ok THEN 'S' ELSE 'N' END AS appropriation,
+    CAST(CASE WHEN e_out AND x_out OR old = 10 THEN 0 WHEN old = 14 THEN total ELSE counted END AS DOUBLE) AS value_added,
+    CAST(CASE WHEN e_out AND x_out THEN 11 WHEN old = 10 THEN 10 WHEN old = 14 THEN 14 WHEN counted = 0 THEN 12 END AS INTEGER) AS reason
+    FROM (SELECT p.doc_id, p.total, e.event_id AS entry_id, x.event_id AS exit_id,
+        CASE WHEN total < 5 THEN 10 WHEN total < 20 THEN 11 WHEN total < 30 THEN 12 WHEN total < 35 THEN 14 END AS old,
+        CASE WHEN doc_id % 4 = 0 THEN 0 ELSE total - 1 END AS counted,
         COALESCE(e.status = '1' AND (e.regime = '2' OR e.rural), false) AS e_ok, COALESCE(x.status = '1' AND (x.regime = '2' OR x.rural), false) AS x_ok,
         COALESCE(e.status <> '1' OR e.regime = '4', true) AS e_out, COALESCE(x.status <> '1' OR x.regime = '4', true) AS x_out
         FROM purchases p LEFT JOIN LATERAL (SELECT * FROM versions v WHERE v.reg = p.entry_reg AND v.valid_from <= p.emitted_at AND (v.valid_to IS NULL OR p.emitted_at <= v.valid_to)
@@ -339,12 +342,17 @@ def correct_registry(spark, sf):
     docs = R.purchases(spark, sf).withColumns(
         {
             "exit_reg": F.col("entry_reg") + 1, "exit_state": F.col("entry_state"),
-            "reason": F.when(t < 5, 10).when(t < 20, 11).when(t < 30, 12),
-            "value_added": F.when(t < 10, F.lit(0).cast("decimal(17,2)")).otherwise(t),
+            "reason": F.when(t < 5, 10).when(t < 20, 11).when(t < 30, 12).when(t < 35, 14),
+            "value_added": F.when(t < 30, F.lit(0).cast("decimal(17,2)")).otherwise(t),
         }
     )
-    out = corrections.registry_changed(docs, R.versions(spark, sf).withColumnRenamed("event_id", "id"))
-    return out.select("doc_id", "entry_id", "appropriation", "reason")
+    items = docs.select("doc_id", F.explode(F.array(
+        F.struct(F.when(F.col("doc_id") % 4 == 0, "1999").otherwise("1101").alias("op_code"), (t - 1).cast("decimal(17,2)").alias("value_added")),
+        F.struct(F.lit("1999").alias("op_code"), F.lit(1).cast("decimal(17,2)").alias("value_added")),
+    )).alias("i")).select("doc_id", "i.*")
+    versions = R.versions(spark, sf).withColumnRenamed("event_id", "id")
+    out = corrections.registry_changed(docs, items, R.codes_frame(spark), versions, keys=["doc_id"])
+    return out.select("doc_id", "entry_id", "exit_id", "appropriation", "value_added", "reason")
 
 
 OPPOSITE = UNIQUE + """, mirror AS (SELECT * FROM (VALUES ('5101', '1101'), ('5102', '1102'), ('5116', '1116'), ('5201', '1201'), ('5410', '1410')) t(x, e)),
