@@ -143,18 +143,21 @@ def split_blocks(length: int, parent: int, size: int):
 def settled(blocks: DataFrame) -> DataFrame:
     """Blocks whose core is not unique, with ``done`` (repeated whole) and ``open`` (to be split further).
 
-    Of blocks that are the same whole, one goes on where others share only its core.
+    Of blocks that are the same whole, one goes on where others share only its core. Counts are stored
+    before they are joined, so that Spark can split the join where one string is very common.
     """
-    cores = blocks.groupBy("gram", "block", "core").agg(F.count("*").alias("n_core")).where("n_core > 1")
-    hulls = blocks.groupBy("gram", "block", "low", "high", "hull").agg(
+    same = ["gram", "block", "low", "high", "hull"]
+    cores = stored(blocks.groupBy("gram", "block", "core").agg(F.count("*").alias("n_core")).where("n_core > 1"))
+    shared = stored(blocks.join(cores, ["gram", "block", "core"]).drop("core"))
+    hulls = stored(shared.groupBy(*same).agg(
         F.count("*").alias("n_hull"), F.min(F.struct("row", "at")).alias("first")
-    )
+    ).where("n_hull > 1"))
     first = (F.col("first.row") == F.col("row")) & (F.col("first.at") == F.col("at"))
     return (
-        blocks.join(cores, ["gram", "block", "core"]).join(hulls, ["gram", "block", "low", "high", "hull"])
-        .withColumn("done", F.col("n_hull") > 1)
-        .withColumn("open", (F.col("n_core") > F.col("n_hull")) & (~F.col("done") | first))
-        .where("done or open").select("gram", "row", "at", "block", "low", "high", "done", "open")
+        shared.join(hulls, same, "left")
+        .withColumn("done", F.col("n_hull").isNotNull())
+        .withColumn("open", F.when(F.col("done"), (F.col("n_core") > F.col("n_hull")) & first).otherwise(True))
+        .select("gram", "row", "at", "block", "low", "high", "done", "open")
     )
 
 
@@ -170,10 +173,10 @@ def repeated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     parent = length
     for size in SPLITS:
         todo = state.where("open").groupBy("row", "at").agg(F.collect_set("block").alias("open"))
-        blocks = held.join(todo, ["row", "at"]).mapInPandas(
+        blocks = stored(held.join(todo, ["row", "at"]).mapInPandas(
             split_blocks(length, parent, size),
             "gram long, row long, at int, block int, low int, high int, core long, hull long",
-        )
+        ))
         state = stored(settled(blocks))
         covered.append(state)
         parent = size
