@@ -109,13 +109,14 @@ def repeated_blocks(docs: DataFrame, rare_words: int = RARE_WORDS) -> DataFrame:
     Each line of a document is matched with the first document, by id, that has the line: one link for a
     line, however many documents share it. The links to one earlier document are aligned by patience
     sorting; aligned lines that follow each other are a block, and blocks with a rare line are deleted. A
-    line that is deleted is still in the document it was matched with, which keeps it.
+    line that is deleted is still in the document it was matched with, which keeps it. First documents are
+    stored before they are joined, so that Spark can split the join where one line is very common.
     """
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("digest"), "text")
     keys = stored(texts.mapInPandas(
         keyed(rare_words), "key long, doc_id long, digest long, line int, place int, rare boolean"
     ))
-    lead = (
+    lead = stored(
         keys.groupBy("key").agg(F.min(F.struct("doc_id", "digest", "line")).alias("lead"), F.count("*").alias("n"))
         .where("n > 1").select("key", "lead")
     )
