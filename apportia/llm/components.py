@@ -12,7 +12,7 @@ def star(edges: DataFrame, large: bool) -> DataFrame:
     """Connect the larger (or the smaller) neighbours of each node to its least neighbour."""
     flipped = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
     around = edges.unionByName(flipped) if large else edges
-    least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = stored(around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
     joined = around.join(least, "a")
     if large:
         moved = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -181,7 +181,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
     Words are runs of letters and digits in lower case. Texts of fewer than five words are copies if their
     words are the same; texts without words if they are the same; null and blank texts are copies of none.
     Rows without doc_id have no row here; repeated rows count as copies, each with its row. An empty table
-    gives no rows; other columns are not read.
+    gives no rows; other columns are not read. Counts by key are stored before they are joined, so that
+    Spark can split the join where one key is very common.
     """
     docs = docs.select("doc_id", "text").where("doc_id is not null")
     sketches = stored(docs.mapInPandas(sketch, "doc_id long, node long, sig array<int>"))
@@ -195,12 +196,12 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
         F.xxhash64(F.lit(t), F.slice("sig", t * DEPTH + 1, depth)) for t in range(TREES)
     ]))
     tries = stored(sets.select("node", tree.alias("prefix")))
-    met = tries.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1")
+    met = stored(tries.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1"))
     members = tries.join(met, "prefix").join(sets.withColumnRenamed("sig", "body"), "node")
     near = cells(members, "prefix").mapInPandas(linked(alike, similarity - SLACK), "node long, root long, links long")
     groups = stored(components(near.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
-    sizes = groups.groupBy("class").agg(F.count("*").alias("n"))
+    sizes = stored(groups.groupBy("class").agg(F.count("*").alias("n")))
     inside = stored(groups.join(sizes, "class").join(copies.select("node", "first_id"), "node"))
     texts = docs.join(inside.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi")
     bodies = texts.mapInPandas(shingled, "node long, body array<long>")
@@ -208,9 +209,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
         linked(similar, similarity), "node long, root long, links long"
     ))
     final = stored(components(links.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    least = final.join(copies.select("node", "first_id"), "node").groupBy("class").agg(F.min("first_id").alias("class_id"))
+    least = stored(
+        final.join(copies.select("node", "first_id"), "node").groupBy("class").agg(F.min("first_id").alias("class_id"))
+    )
     counts = links.groupBy("node").agg(F.sum("links").alias("n_links"))
-    known = (
+    known = stored(
         copies.join(final.join(least, "class").select("node", "class_id"), "node", "left").join(counts, "node", "left")
         .select("node", F.coalesce("class_id", "first_id").alias("class_id"), "n_copies",
                 F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
