@@ -82,12 +82,12 @@ def run(
     """(documents, items) in the unified layout, participating documents only.
 
     Items are flagged and rolled up before the documents are joined. ``registry`` must have no
-    overlapping versions (``joins.without_overlaps``). The items are those of the documents, which
-    ``store`` may materialise so that they are not computed for each of the two results.
+    overlapping versions (``joins.without_overlaps``). ``store`` may materialise flagged items and
+    documents, which both results need, so that they are computed once.
     """
-    items = chain.apply_to_items(prepare_items(parts), ref).withColumn(
+    items = store(chain.apply_to_items(prepare_items(parts), ref).withColumn(
         "item_doc_type", F.lit(None).cast("int")
-    )
+    ))
     docs = chain.apply_to_documents(prepare_documents(parts, model, home), ref)
     docs = joins.fan_in(docs, [rollups.item_rollup(items, "access_key")], ["access_key"])
     docs = docs.withColumns(

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from calendar import monthrange
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from apportia.functions import rules
+from apportia.session import cut_lineage
 
 
 def scope(
@@ -65,12 +68,13 @@ def listing(df: DataFrame, within: Column, order: list[str]) -> DataFrame:
 
 def regime_study(
     docs: DataFrame, items: DataFrame, options: DataFrame, registry: DataFrame, munis: DataFrame,
-    side: str, op_codes: tuple[int, ...], periods: tuple[int, int], muni: int,
+    side: str, op_codes: tuple[int, ...], periods: tuple[int, int], muni: int, store=cut_lineage,
 ) -> DataFrame:
     """Item value of simplified-regime taxpayers of one municipality, exit or entry side.
 
     The option period and the registry row are those at emission; a party without registry row
-    counts as simplified, one in a normal regime does not. Items are summed per document first.
+    counts as simplified, one in a normal regime does not. Items are summed per document first, and the
+    registry is freed of overlaps once, stored, and met by month of the periods.
     """
     from apportia import constants as K
     from apportia.operators import joins
@@ -87,10 +91,15 @@ def regime_study(
     )
     out = joins.in_option_period(d, options, "base", "emitted_at", {"reg": "option_reg"})
     out = out.where(F.col("option_reg").isNotNull())
+    live = store(joins.without_overlaps(registry, ["state", "reg"], "valid_from", "valid_to", ["muni"]))
+    year, month = divmod(periods[1], 100)
+    window = (
+        f"{periods[0] // 100}-{periods[0] % 100:02d}-01 00:00:00", f"{year}-{month:02d}-{monthrange(year, month)[1]} 23:59:59.999999"
+    )
     out = joins.as_of(
-        out.withColumn("__state", F.lit(K.HOME_STATE)), registry, {"__state": "state", "party_reg": "reg"},
+        out.withColumn("__state", F.lit(K.HOME_STATE)), live, {"__state": "state", "party_reg": "reg"},
         "emitted_at", "valid_from", "valid_to",
-        {"reg": "known_reg", "muni": "known_muni", "regime": "regime"}, ["muni"],
+        {"reg": "known_reg", "muni": "known_muni", "regime": "regime"}, ["muni"], window, disjoint=True,
     ).drop("__state")
     m = munis.select(F.col("federal_code").alias("federal_code"), F.col("muni").alias("doc_muni"))
     out = out.join(m, "federal_code")

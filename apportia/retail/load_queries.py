@@ -10,6 +10,7 @@ from apportia.retail import frames as R
 from apportia.retail.function_queries import kinds
 from apportia.retail.registry import query
 from apportia.retail.sql import CODES, using
+from apportia.session import cut_lineage
 from apportia.sources import tables
 
 
@@ -295,15 +296,15 @@ UNIQUE = """, ui AS (SELECT order_key, supplier_key, item_no, MIN(op_code) AS op
 
 
 def stored(spark, sf):
-    """Settled documents, and their items made unique by line number."""
-    docs = R.keyed(R.documents(spark, sf))
+    """Settled documents, and their items made unique by line number, each computed once."""
+    docs = cut_lineage(R.keyed(R.documents(spark, sf)))
     items = R.net_items(spark, sf).groupBy(*R.DOC, "item_no").agg(
         F.min("op_code").alias("op_code"), F.sum("value_added").cast("decimal(17,2)").alias("value_added"),
         F.sum("gross").alias("gross"), F.min("product_code").alias("product_code"),
     )
     items = R.keyed(items).join(docs.select("access_key", "doc_type"), "access_key")
     reason = F.when(~F.col("op_code").isin(*R.COUNTED_CODES), 1)
-    return docs, items.withColumn("reason", reason)
+    return docs, cut_lineage(items.withColumn("reason", reason))
 
 
 @query(using("docs", then=UNIQUE + f""", n AS (SELECT order_key, supplier_key, SUM(CASE WHEN op_code IN {NEW_CODES} THEN value_added ELSE 0 END) AS v FROM ui GROUP BY 1, 2)
