@@ -67,6 +67,14 @@ def replace_keys(target: DataFrame, source: DataFrame, keys: DataFrame, on: list
     return target.join(keys.select(*on).distinct(), on, "left_anti").unionByName(source)
 
 
+def replace_window(
+    docs: DataFrame, items: DataFrame, new_docs: DataFrame, new_items: DataFrame, inside: Column, on: list[str],
+) -> tuple[DataFrame, DataFrame]:
+    """(documents, items) after a window is loaded again: its documents go with their items, also if none come."""
+    gone = docs.where(inside).select(*on).unionByName(new_docs.select(*on))
+    return replace_where(docs, new_docs, inside), replace_keys(items, new_items, gone, on)
+
+
 def update_columns(
     target: DataFrame, changes: DataFrame, keys: list[str], cols: list[str]
 ) -> DataFrame:

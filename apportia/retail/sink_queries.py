@@ -236,3 +236,31 @@ def load_declarations(spark, sf):
         F.lpad(F.col("c_custkey").cast("string"), 14, "0").alias("tax_no"), F.col("c_custkey").alias("reg")
     )
     return regimes.load_declarations(rows, 199501, 200112, munis, regs)
+
+
+RELOADED = "o_orderdate BETWEEN TIMESTAMP '1996-03-05 00:00:00' AND TIMESTAMP '1996-03-20 11:59:59'"
+
+
+def reloaded(spark, sf):
+    """Orders and their lines after half a month is loaded again: even customers only, one more piece in each line."""
+    orders = R.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", R.dec("o_totalprice").alias("total"), "o_custkey")
+    lines = R.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", R.dec("l_quantity").alias("quantity"))
+    new = orders.where(f"{RELOADED} AND o_custkey % 2 = 0")
+    docs, items = sinks.replace_window(
+        orders, lines, new.withColumn("total", (2 * F.col("total")).cast("decimal(17,2)")),
+        lines.join(new.select("o_orderkey"), "o_orderkey").withColumn("quantity", (F.col("quantity") + 1).cast("decimal(17,2)")),
+        F.expr(RELOADED), ["o_orderkey"],
+    )
+    return docs.drop("o_custkey"), items
+
+
+@query(f"""SELECT o_orderkey, {text('o_orderdate')} AS o_orderdate, CAST(CASE WHEN {RELOADED} THEN 2 ELSE 1 END * CAST(o_totalprice AS DECIMAL(17,2)) AS DOUBLE) AS total
+    FROM orders WHERE NOT ({RELOADED} AND o_custkey % 2 <> 0)""")
+def replace_window_documents(spark, sf):
+    return reloaded(spark, sf)[0]
+
+
+@query(f"""SELECT l_orderkey AS o_orderkey, l_linenumber, CAST(CAST(l_quantity AS DECIMAL(17,2)) + CASE WHEN {RELOADED} THEN 1 ELSE 0 END AS DOUBLE) AS quantity
+    FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey WHERE NOT COALESCE({RELOADED} AND o_custkey % 2 <> 0, false)""")
+def replace_window_items(spark, sf):
+    return reloaded(spark, sf)[1]
