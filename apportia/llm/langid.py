@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from apportia.llm.common import chunks
+from apportia.llm.common import chunks, stored
 
 #: Families of closely related languages. Any other language is a family of its own.
 FAMILIES = (
@@ -123,12 +123,14 @@ def trainer(table: np.ndarray):
 def model(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> list[tuple]:
     """Machines learnt from at most ``rows_per_language`` texts of each language, those of the least id digest.
 
-    docs: doc_id, text, lang; rows without a language or text are not learnt from.
+    docs: doc_id, text, lang; rows without a language or text are not learnt from. The chosen ids are stored,
+    so that Spark sees how few they are and does not shuffle the texts.
     """
     ids = docs.where("lang is not null and text is not null and doc_id is not null").select("doc_id", "lang")
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = ids.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= rows_per_language)
-    sample = docs.select("doc_id", "text", "lang").join(ids.select("doc_id", "lang"), ["doc_id", "lang"])
+    chosen = stored(ids.select("doc_id", "lang"))
+    sample = docs.select("doc_id", "text", "lang").join(chosen, ["doc_id", "lang"])
     found = sample.repartition(1).mapInPandas(
         trainer(letter_codes()), "kind string, first string, second string, weights array<float>"
     )
