@@ -16,7 +16,7 @@ from apportia.llm.toxicity import TOKENS, Words
 #: Words at 1 must be equal, words at 0 are ignored. Of any 13 aligned words with at most two unequal, the
 #: first two masks find one place or more; the third helps with items shorter than that.
 MASKS = ("111111", "11001010011", "1110111")
-WINDOW, SHARE, CHARS_AT_ONCE, FILTER_BITS = 13, 0.8, 3_000_000, 27
+WINDOW, SHARE, CHARS_AT_ONCE, FILTER_BITS = 13, 0.8, 1_000_000, 27
 REACH = WINDOW
 WIDTH = 2 * REACH + max(map(len, MASKS))
 ODD, MORE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)

@@ -15,7 +15,7 @@ from apportia.llm.components import components
 from apportia.llm.toxicity import TOKENS, Words
 
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.995
-TREES, DEPTH, BLOCK, CHARS_AT_ONCE = 16, 8, 128, 3_000_000
+TREES, DEPTH, BLOCK, CHARS_AT_ONCE = 16, 8, 128, 1_000_000
 #: How far below the similarity an estimate from all signature places may lie: over four standard deviations.
 SLACK = 0.15
 ODD = np.uint64(0x9E3779B97F4A7C15)

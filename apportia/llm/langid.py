@@ -24,7 +24,7 @@ FAMILIES = (
     ("ar", "he", "mt"),
     ("bn", "fa", "gu", "hi", "mr", "ne", "pa", "ur"),
 )
-DIMS, ROWS_PER_LANGUAGE, CHARS_AT_ONCE = 4096, 1500, 2_000_000
+DIMS, ROWS_PER_LANGUAGE, CHARS_AT_ONCE = 4096, 1500, 1_000_000
 STEPS, BATCH, DECAY = 1500, 64, 1e-4
 ODD = np.uint32(0x9E3779B1)
 

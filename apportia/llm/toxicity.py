@@ -17,7 +17,7 @@ BITS, SAMPLE_ROWS, EPOCHS, LEAST_TEXTS = 20, 30_000, 6, 3
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 5.0, 0.5
 GAPS = (0, 1, 2, 3)
 TOKENS = re.compile(r"[^\W_]+")
-CHARS_AT_ONCE, WORDS_KEPT = 4_000_000, 500_000
+CHARS_AT_ONCE, WORDS_KEPT = 1_000_000, 100_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,10 +59,11 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) ->
     Slots met in fewer than LEAST_TEXTS examples are not learnt from.
     """
     z, n = np.zeros(2**BITS + 1), np.zeros(2**BITS + 1)
-    texts = np.zeros(2**BITS + 1, dtype=np.int64)
+    texts = np.zeros(2**BITS + 1, dtype=np.int32)
     for slots in examples:
         texts[slots] += 1
-    examples = [slots[texts[slots] >= LEAST_TEXTS] for slots in examples]
+    for i, slots in enumerate(examples):
+        examples[i] = slots[texts[slots] >= LEAST_TEXTS]
 
     def weights(i):
         zi = z[i]
@@ -84,11 +85,11 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) ->
 def trained_on(rows: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One task over the bounded sample: weights by slot."""
     words, examples, labels, order = Words(), [], [], []
-    bias = np.array([2**BITS])
+    bias = np.array([2**BITS], dtype=np.int32)
     for rows_ in rows:
         for text, y, doc in zip(rows_["text"].fillna(""), rows_["label"], rows_["doc_id"]):
             parts = [s for s, _ in slots_of([text], words)]
-            examples.append(np.concatenate([np.unique(np.concatenate(parts)), bias]) if parts else bias)
+            examples.append(np.concatenate([np.unique(np.concatenate(parts)).astype(np.int32), bias]) if parts else bias)
             labels.append(float(y))
             order.append((zlib.crc32(b"%d" % doc), doc))
     turn = sorted(range(len(order)), key=order.__getitem__)
