@@ -9,7 +9,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from apportia.llm.common import chunks, stored
@@ -152,18 +152,22 @@ def decided(names: list[str], machines: list[tuple], x: np.ndarray) -> tuple[np.
     return best, 1 / (1 + np.exp(-np.clip(2 * sure, -35, 35)))
 
 
-def predictor(machines: list[tuple]):
+def prediction_of(text: str, machines: list[tuple]) -> Column:
+    """Struct of lang_pred and score of a text column, over whole texts.
+
+    A text that is null or has no letter is ``und`` with score 0, as is every text if no language was learnt.
+    """
     known = sorted(m[1] for m in machines if m[0] == "known")
     families = sorted({family_of(v) for v in known})
     table = letter_codes()
 
-    def predict(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         ready = [(k, a, b, np.array(w, dtype=np.float32)) for k, a, b, w in machines if k != "known"]
         top = [(a, b, w) for k, a, b, w in ready if k == "family"]
         members = {f: [v for v in known if family_of(v) == f] for f in families}
         within = {f: [(a, b, w) for k, a, b, w in ready if k == "language" and family_of(a) == f] for f in families}
-        for rows in batches:
-            texts = rows["text"].fillna("").tolist()
+        for batch in batches:
+            texts = batch.fillna("").tolist()
             lang, score = np.full(len(texts), "und", dtype=object), np.zeros(len(texts))
             for start, end in chunks(texts, CHARS_AT_ONCE) if known else ():
                 for s in range(start, end, 256):
@@ -171,19 +175,15 @@ def predictor(machines: list[tuple]):
                     x, letters = profiles(texts[s:e], table)
                     best, sure = decided(families, top, x)
                     for i, f in enumerate(families):
-                        rows_ = np.flatnonzero((best == i) & letters)
-                        own, also = decided(members[f], within[f], x[rows_])
-                        lang[s + rows_] = np.array(members[f], dtype=object)[own]
-                        score[s + rows_] = sure[rows_] * also
-            yield rows.drop(columns="text").assign(lang_pred=lang, score=score)
+                        rows = np.flatnonzero((best == i) & letters)
+                        own, also = decided(members[f], within[f], x[rows])
+                        lang[s + rows] = np.array(members[f], dtype=object)[own]
+                        score[s + rows] = sure[rows] * also
+            yield pd.DataFrame({"lang_pred": lang, "score": score})
 
-    return predict
+    return F.pandas_udf(predict, "lang_pred string, score double", F.PandasUDFType.SCALAR_ITER)(F.col(text))
 
 
 def predicted(docs: DataFrame, machines: list[tuple]) -> DataFrame:
-    """doc_id, lang_pred and score of each row, over its whole text.
-
-    A text that is null or has no letter is ``und`` with score 0, as is every text if no language was
-    learnt; repeated rows are each predicted; columns besides doc_id and text are not read.
-    """
-    return docs.select("doc_id", "text").mapInPandas(predictor(machines), "doc_id long, lang_pred string, score double")
+    """doc_id, lang_pred and score of each row; repeated rows are each predicted, other columns are not read."""
+    return docs.select("doc_id", prediction_of("text", machines).alias("p")).select("doc_id", "p.lang_pred", "p.score")

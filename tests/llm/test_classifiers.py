@@ -65,11 +65,13 @@ def test_language_odd_rows(spark):
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string, lang_pred string")
     machines = langid.model(docs)
     odd = spark.createDataFrame(
-        [(1, None), (2, ""), (3, "12 34 !"), (4, say["de"] * 20_000), (5, "der garten"), (5, "der garten"), (6, "\U00010330\U00010331 the house")],
+        [(1, None), (2, ""), (3, "12 34 !"), (4, say["de"] * 20_000), (5, "der garten"), (5, "der garten"), (6, "\U00010330\U00010331 the house"),
+         (None, say["fr"]), (2**60 + 1, say["fr"])],
         "doc_id long, text string",
     )
     got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predicted(odd, machines).collect()}
     assert [got[i][0] for i in (1, 2, 3, 4, 5, 6)] == ["und", "und", "und", "de", "de", "en"]
-    assert langid.predicted(odd, machines).count() == 7 and got[1][1] == 0
+    assert langid.predicted(odd, machines).count() == 9 and got[1][1] == 0
+    assert got[None][0] == got[2**60 + 1][0] == "fr"
     assert {r.lang_pred for r in langid.predicted(odd, langid.model(docs.limit(0))).collect()} == {"und"}
     assert langid.predicted(odd.limit(0), machines).collect() == []
