@@ -6,19 +6,21 @@ import hashlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from apportia.llm.common import stored
 
 RARE_WORDS = 8
-KEY_COLUMNS = "key,doc_id,digest,line,place,rare"
+KEY_COLUMNS = "key,doc_id,digest,line,place,words"
+DOC = ["doc_id", "digest"]
 
 
-def keys_of(text: str, rare_words: int) -> Iterator[tuple[int, int, int, bool]]:
-    """(key, line number, number among lines that are not blank, rare) of each line that is not blank.
+def keys_of(text: str, rare_words: int) -> Iterator[tuple[int, int, int, int]]:
+    """(key, line number, number among lines that are not blank, words) of each line that is not blank.
 
     A line of ``rare_words`` words or more is rare: it stands for itself, with its number among equal lines
     of the document. A shorter line says little alone; its key is that of all lines back to the last rare one.
@@ -37,16 +39,16 @@ def keys_of(text: str, rare_words: int) -> Iterator[tuple[int, int, int, bool]]:
         seen[digest] += 1
         chain = digest
         key = hashlib.blake2b(digest + seen[digest].to_bytes(4, "big"), digest_size=8).digest()
-        yield int.from_bytes(key, "big", signed=True), number, place, rare
+        yield int.from_bytes(key, "big", signed=True), number, place, len(words)
 
 
 def keyed(rare_words: int):
     def rows_of(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             out = [
-                (key, doc, digest, number, place, rare)
+                (key, doc, digest, number, place, words)
                 for doc, digest, text in zip(rows["doc_id"], rows["digest"], rows["text"]) if text
-                for key, number, place, rare in keys_of(text, rare_words)
+                for key, number, place, words in keys_of(text, rare_words)
             ]
             yield pd.DataFrame(out, columns=KEY_COLUMNS.split(","))
 
@@ -74,33 +76,107 @@ def patience(pairs: list[tuple[int, int]]) -> list[int]:
     return out[::-1]
 
 
-def blocks(matches: list[tuple]) -> list[tuple[int, int, int]]:
-    """Runs of lines to delete from a document: (first line, last line, lines that are not blank).
-
-    matches: (earlier document's id, its digest, its line, own line, own place, rare).
-    """
+def aligned(matches: Iterable[tuple]) -> set[int]:
+    """Own places that are aligned with one earlier document at least; matches as for ``blocks``."""
     partners: dict[tuple, list[tuple[int, int]]] = {}
-    about = {}
-    for doc, digest, theirs, line, place, rare in matches:
+    for doc, digest, theirs, _, place, _ in matches:
         partners.setdefault((doc, digest), []).append((theirs, place))
-        about[place] = line, rare
-    aligned = sorted({place for pairs in partners.values() for place in patience(pairs)})
+    return {place for pairs in partners.values() for place in patience(pairs)}
+
+
+def runs(lines: Iterable[tuple[int, int, int]], rare_words: int) -> list[tuple[int, int, int]]:
+    """Runs of aligned lines (place, line, words) with a rare line: (first line, last line, lines)."""
     out, run = [], []
-    for place in [*aligned, None]:
-        if run and place != run[-1] + 1:
-            if any(about[p][1] for p in run):
-                out.append((about[run[0]][0], about[run[-1]][0], len(run)))
+    for row in [*sorted(lines), None]:
+        if run and (row is None or row[0] != run[-1][0] + 1):
+            sizes = [words for _, _, words in run]
+            if max(sizes) >= rare_words:
+                out.append((run[0][1], run[-1][1], len(run)))
             run = []
-        run.append(place)
+        run.append(row)
     return out
 
 
-def deletions(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    fields = ("lead_id", "lead_digest", "lead_line", "line", "place", "rare")
+def blocks(matches: list[tuple], rare_words: int = RARE_WORDS) -> list[tuple[int, int, int]]:
+    """Runs of lines to delete from a document: (first line, last line, lines that are not blank).
+
+    matches: (earlier document's id, its digest, its line, own line, own place, own words).
+    """
+    about = {place: (place, line, words) for _, _, _, line, place, words in matches}
+    return runs([about[p] for p in aligned(matches)], rare_words)
+
+
+def first_aligned(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of each document its aligned lines, and the keys of lines that are left over."""
+    fields = ("lead_id", "lead_digest", "lead_line", "line", "place", "words")
+    for rows in batches:
+        found, left = [], []
+        for matches in rows["matches"]:
+            places = aligned([tuple(m[k] for k in fields) for m in matches])
+            about = {m["place"]: {k: m[k] for k in ("place", "line", "words")} for m in matches if m["place"] in places}
+            found.append(list(about.values()))
+            left.append([{k: m[k] for k in ("key", "place", "line", "words")} for m in matches if m["place"] not in places])
+        yield rows.drop(columns="matches").assign(found=found, left_over=left)
+
+
+def pair_aligned(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Aligned places of each pair of documents."""
     for rows in batches:
-        found = [blocks([tuple(m[k] for k in fields) for m in matches]) for matches in rows["matches"]]
-        out = rows.drop(columns="matches").assign(gone=[[{"first": a, "last": b, "lines": n} for a, b, n in x] for x in found])
-        yield out[[len(x) > 0 for x in found]]
+        found = [patience([(m["theirs"], m["place"]) for m in shared]) for shared in rows["shared"]]
+        yield rows[DOC].assign(places=found)
+
+
+def deletions(rare_words: int):
+    def rows_of(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            found = [
+                runs({(m["place"], m["line"], m["words"]) for part in (a, b) if part is not None for m in part}, rare_words)
+                for a, b in zip(rows["found"], rows["more"])
+            ]
+            out = rows[DOC].assign(gone=[[{"first": a, "last": b, "lines": n} for a, b, n in x] for x in found])
+            yield out[[len(x) > 0 for x in found]]
+
+    return rows_of
+
+
+def realigned(keys: DataFrame, left: DataFrame) -> DataFrame | None:
+    """Lines of ``left`` that an earlier document than their first holder is aligned with: doc_id, digest, more.
+
+    Round by round the next holders of each key that is left over, four times as many as the round before,
+    are aligned with the documents that have lines left, over all lines that the two share. Lines found go;
+    rounds end when no line is left or all earlier holders of what is left have been tried.
+    """
+    held = stored(keys.join(left.select("key").distinct(), "key", "left_semi").select("key", *DOC).distinct())
+    most = held.groupBy("key").count().agg(F.max("count")).first()[0] or 0
+    nth = F.row_number().over(Window.partitionBy("key").orderBy(*DOC))
+    tried, upto, parts = 1, 4, []
+    while tried < most:
+        some = held.withColumn("nth", nth).where(F.col("nth") <= upto).where(F.col("nth") > tried)
+        partner = some.select("key", F.col("doc_id").alias("their_id"), F.col("digest").alias("their_digest"))
+        pairs = stored(
+            left.join(partner, "key").where("their_id < doc_id or their_id = doc_id and their_digest < digest")
+            .select(*DOC, "their_id", "their_digest").distinct()
+        )
+        theirs = pairs.select("their_id", "their_digest").distinct().join(
+            keys.select("key", F.col("doc_id").alias("their_id"), F.col("digest").alias("their_digest"), F.col("line").alias("theirs")),
+            ["their_id", "their_digest"],
+        )
+        shared = (
+            pairs.join(keys.select("key", *DOC, "place"), DOC).join(theirs, ["their_id", "their_digest", "key"])
+            .groupBy(*DOC, "their_id", "their_digest").agg(F.collect_set(F.struct("theirs", "place")).alias("shared"))
+        )
+        found = stored(
+            shared.mapInPandas(pair_aligned, "doc_id long, digest long, places array<int>")
+            .select(*DOC, F.explode("places").alias("place")).distinct()
+        )
+        parts.append(left.join(found, [*DOC, "place"], "left_semi").select(*DOC, "place", "line", "words"))
+        left = stored(left.join(found, [*DOC, "place"], "left_anti"))
+        if left.isEmpty():
+            break
+        tried, upto = upto, 4 * upto
+    if not parts:
+        return None
+    return reduce(DataFrame.unionByName, parts).groupBy(*DOC).agg(F.collect_set(F.struct("place", "line", "words")).alias("more"))
 
 
 def repeated_blocks(docs: DataFrame, rare_words: int = RARE_WORDS) -> DataFrame:
@@ -108,13 +184,15 @@ def repeated_blocks(docs: DataFrame, rare_words: int = RARE_WORDS) -> DataFrame:
 
     Each line of a document is matched with the first document, by id, that has the line: one link for a
     line, however many documents share it. The links to one earlier document are aligned by patience
-    sorting; aligned lines that follow each other are a block, and blocks with a rare line are deleted. A
-    line that is deleted is still in the document it was matched with, which keeps it. First documents are
-    stored before they are joined, so that Spark can split the join where one line is very common.
+    sorting; lines that this leaves over are tried with the other earlier documents that have them (see
+    ``realigned``). Aligned lines that follow each other are a block; blocks with a rare line are
+    deleted. A line that is deleted is still in the first document that has it, which keeps it. First
+    documents are stored before they are joined, so that Spark can split the join where one line is very
+    common.
     """
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("digest"), "text")
     keys = stored(texts.mapInPandas(
-        keyed(rare_words), "key long, doc_id long, digest long, line int, place int, rare boolean"
+        keyed(rare_words), "key long, doc_id long, digest long, line int, place int, words int"
     ))
     lead = stored(
         keys.groupBy("key").agg(F.min(F.struct("doc_id", "digest", "line")).alias("lead"), F.count("*").alias("n"))
@@ -124,11 +202,22 @@ def repeated_blocks(docs: DataFrame, rare_words: int = RARE_WORDS) -> DataFrame:
         keys.join(lead, "key").where("lead.doc_id <> doc_id or lead.digest <> digest")
         .groupBy("doc_id", "digest").agg(F.collect_list(F.struct(
             F.col("lead.doc_id").alias("lead_id"), F.col("lead.digest").alias("lead_digest"),
-            F.col("lead.line").alias("lead_line"), "line", "place", "rare",
+            F.col("lead.line").alias("lead_line"), "key", "line", "place", "words",
         )).alias("matches"))
     )
-    return matches.mapInPandas(
-        deletions, "doc_id long, digest long, gone array<struct<first: int, last: int, lines: int>>"
+    first = stored(matches.mapInPandas(
+        first_aligned, "doc_id long, digest long, found array<struct<place: int, line: int, words: int>>, "
+        "left_over array<struct<key: long, place: int, line: int, words: int>>"
+    ))
+    left = stored(first.select(*DOC, F.explode("left_over").alias("x")).select(*DOC, "x.*"))
+    more = None if left.isEmpty() else realigned(keys, left)
+    found = first.select(*DOC, "found")
+    if more is None:
+        found = found.withColumn("more", F.lit(None).cast("array<struct<place:int,line:int,words:int>>"))
+    else:
+        found = found.join(stored(more), DOC, "left")
+    return found.mapInPandas(
+        deletions(rare_words), "doc_id long, digest long, gone array<struct<first: int, last: int, lines: int>>"
     )
 
 

@@ -104,6 +104,25 @@ def test_line_blocks(spark):
     assert {got[1], got[2], got[4], got[5], got[6]} == {rows[0][1], "new one\nend here", "yes.\nno.", rows[4][1], ""}
 
 
+def test_lines_left_over_are_aligned_with_later_partners(spark):
+    x = [f"line {i} with more than eight words in it, really" for i in range(6)]
+    copy, turned = "\n".join(x), "\n".join(x[::-1])
+    halves = "\n".join([*x[3:], *x[:3]])
+    rows = [(1, turned), *[(i, copy) for i in range(2, 9)], (9, "ahead\n" + copy), (10, halves), (11, "\n".join([x[5], x[1], x[4], x[0]])), (12, halves + "\nend")]
+    got = {r.row.doc_id: r.kept for r in lines.deduplicated(frame(spark, rows)).collect()}
+    assert got[1] == turned and len(got[2].split("\n")) == 5
+    assert [got[i] for i in range(3, 10)] == [""] * 6 + ["ahead"] and got[12] == "end"
+
+    pick = random.Random(3)
+    rows = [(i, "\n".join(pick.sample(x, pick.randint(2, 6)))) for i in range(60)]
+    keys = {d: {k: (n, p) for k, n, p, _ in lines.keys_of(t, lines.RARE_WORDS)} for d, t in rows}
+    for r in lines.deduplicated(frame(spark, rows)).collect():
+        d, gone = r.row.doc_id, {i for b in r.gone for i in range(b["first"], b["last"] + 1)}
+        for p in range(d):
+            pairs = [(keys[p][k][0], keys[d][k][1]) for k in keys[d] if k in keys[p]]
+            assert set(lines.patience(pairs)) <= gone, (d, p)
+
+
 def test_patience_is_longest_rise():
     assert lines.patience([(0, 5), (1, 1), (2, 2), (3, 9), (4, 3), (5, 4)]) == [1, 2, 3, 4]
     assert lines.patience([(0, 1), (0, 2), (1, 0)]) in ([1], [2], [0]) and lines.patience([]) == []
