@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -15,31 +16,60 @@ from pyspark.sql import functions as F
 from apportia.llm.common import stored
 
 RARE_WORDS = 8
+#: Aligned lines that follow each other go without a rare line among them where they have this many words together.
+BLOCK_WORDS = 50
+#: Consecutive short lines that are compared together; 50 words in lines of up to 7 are 8 lines, all in windows.
+WINDOW_LINES = 4
+#: Letters of scripts that leave no space between words.
+UNSPACED = re.compile("[\u0e00-\u0eff\u0f40-\u0fbc\u1000-\u109f\u1780-\u17d3\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003134f]")
 KEY_COLUMNS = "key,doc_id,digest,line,place,words"
 DOC = ["doc_id", "digest"]
 
 
+def words_of(line: str) -> int:
+    """Words between spaces; of scripts without spaces, two letters count as one."""
+    spaced = len(line.split())
+    return spaced if line.isascii() else max(spaced, len(UNSPACED.findall(line)) // 2)
+
+
 def keys_of(text: str, rare_words: int) -> Iterator[tuple[int, int, int, int]]:
     """(key, line number, number among lines that are not blank, words) of each line that is not blank.
 
     A line of ``rare_words`` words or more is rare: it stands for itself, with its number among equal lines
-    of the document. A shorter line says little alone; its key is that of all lines back to the last rare one.
+    of the document. A shorter line says little alone and has several keys: all lines back to the last rare
+    one, all lines on to the next rare one, and, among short lines, the windows that it begins and ends.
     """
     seen: Counter[bytes] = Counter()
-    chain, place = b"start", -1
-    for number, line in enumerate(text.split("\n")):
-        words = line.split()
-        if not words:
-            continue
-        place += 1
-        own = " ".join(words).encode("utf-8", "surrogatepass")
-        rare = len(words) >= rare_words
-        body = own if rare else chain + b"\n" + own
-        digest = hashlib.blake2b(body, digest_size=16).digest()
-        seen[digest] += 1
-        chain = digest
-        key = hashlib.blake2b(digest + seen[digest].to_bytes(4, "big"), digest_size=8).digest()
-        yield int.from_bytes(key, "big", signed=True), number, place, len(words)
+    rows = [(number, " ".join(words)) for number, line in enumerate(text.split("\n")) if (words := line.split())]
+    own = [x.encode("utf-8", "surrogatepass") for _, x in rows]
+    size = [words_of(x) for _, x in rows]
+
+    def chains(order: Iterable[int], mark: bytes) -> dict[int, bytes]:
+        found, chain = {}, None
+        for i in order:
+            if size[i] >= rare_words:
+                chain = hashlib.blake2b(own[i], digest_size=16).digest()
+            elif chain is not None:
+                chain = found[i] = hashlib.blake2b(mark + chain + b"\n" + own[i], digest_size=16).digest()
+        return found
+
+    back, on = chains(range(len(rows)), b""), chains(range(len(rows) - 1, -1, -1), b"on")
+    windows, run = {}, 0
+    for i in range(len(rows)):
+        run = run + 1 if size[i] < rare_words else 0
+        if run >= WINDOW_LINES:
+            windows[i] = hashlib.blake2b(b"\n".join(own[i + 1 - WINDOW_LINES : i + 1]), digest_size=16).digest()
+    for i, (number, _) in enumerate(rows):
+        if size[i] >= rare_words:
+            digests = [hashlib.blake2b(own[i], digest_size=16).digest()]
+        else:
+            first, last = windows.get(i + WINDOW_LINES - 1), windows.get(i)
+            digests = [back.get(i), on.get(i), first and b"first" + first, last and b"last" + last]
+        for digest in digests:
+            if digest is not None:
+                seen[digest] += 1
+                key = hashlib.blake2b(digest + seen[digest].to_bytes(4, "big"), digest_size=8).digest()
+                yield int.from_bytes(key, "big", signed=True), number, i, size[i]
 
 
 def keyed(rare_words: int):
@@ -85,12 +115,12 @@ def aligned(matches: Iterable[tuple]) -> set[int]:
 
 
 def runs(lines: Iterable[tuple[int, int, int]], rare_words: int) -> list[tuple[int, int, int]]:
-    """Runs of aligned lines (place, line, words) with a rare line: (first line, last line, lines)."""
+    """Runs of aligned lines (place, line, words) with a rare line or many words: (first line, last line, lines)."""
     out, run = [], []
     for row in [*sorted(lines), None]:
         if run and (row is None or row[0] != run[-1][0] + 1):
             sizes = [words for _, _, words in run]
-            if max(sizes) >= rare_words:
+            if max(sizes) >= rare_words or sum(sizes) >= BLOCK_WORDS:
                 out.append((run[0][1], run[-1][1], len(run)))
             run = []
         run.append(row)
@@ -185,8 +215,8 @@ def repeated_blocks(docs: DataFrame, rare_words: int = RARE_WORDS) -> DataFrame:
     Each line of a document is matched with the first document, by id, that has the line: one link for a
     line, however many documents share it. The links to one earlier document are aligned by patience
     sorting; lines that this leaves over are tried with the other earlier documents that have them (see
-    ``realigned``). Aligned lines that follow each other are a block; blocks with a rare line are
-    deleted. A line that is deleted is still in the first document that has it, which keeps it. First
+    ``realigned``). Aligned lines that follow each other are a block; blocks with a rare line or of 50 words
+    are deleted. A line that is deleted is still in the first document that has it, which keeps it. First
     documents are stored before they are joined, so that Spark can split the join where one line is very
     common.
     """

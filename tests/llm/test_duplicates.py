@@ -123,6 +123,17 @@ def test_lines_left_over_are_aligned_with_later_partners(spark):
             assert set(lines.patience(pairs)) <= gone, (d, p)
 
 
+def test_passages_of_short_lines(spark):
+    verse = "\n".join(f"verse {i} has only six words" for i in range(9))
+    few = "\n".join(f"few {i} has only six words" for i in range(8))
+    long = "a line of more than eight words that is rare"
+    han = "\n".join("".join(chr(0x4E00 + 31 * i + j) for j in range(20)) for i in range(2))
+    rows = [(1, "before\n" + verse), (2, "other\nlines\n" + verse + "\nafter"), (3, "one\n" + few), (4, few + "\ntwo"),
+            (5, "x\nyes.\nno.\n" + long), (6, "y\nyes.\nno.\n" + long), (7, "a\n" + han), (8, han + "\nb")]
+    got = {r.row.doc_id: r.kept for r in lines.deduplicated(frame(spark, rows)).collect()}
+    assert got == dict(rows) | {2: "other\nlines\nafter", 6: "y", 8: "b"}
+
+
 def test_patience_is_longest_rise():
     assert lines.patience([(0, 5), (1, 1), (2, 2), (3, 9), (4, 3), (5, 4)]) == [1, 2, 3, 4]
     assert lines.patience([(0, 1), (0, 2), (1, 0)]) in ([1], [2], [0]) and lines.patience([]) == []
