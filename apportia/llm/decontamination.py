@@ -14,27 +14,50 @@ from apportia.llm.common import chunks, stored
 from apportia.llm.toxicity import TOKENS, Words
 
 #: Words at 1 must be equal, words at 0 are ignored. Of any 13 aligned words with at most two unequal, the
-#: first two masks find one place or more; the third helps with items shorter than that.
+#: first two masks find one place or more.
 MASKS = ("111111", "11001010011", "1110111")
+#: More masks for items of fewer words: with MASKS they find one place of every pattern that 80 % equal words leave.
+SHORT_MASKS = {
+    1: ("1",),
+    2: ("11",),
+    3: ("111",),
+    4: ("1111",),
+    5: ("1111", "11011", "11101", "10111"),
+    6: ("1111", "11011"),
+    7: ("11111", "1101011"),
+    8: ("11111",),
+    10: ("11011011", "111000111", "1101001011"),
+    11: ("111001011",),
+    12: ("111100101",),
+}
+ALL_MASKS = (*MASKS, *sorted({m for masks in SHORT_MASKS.values() for m in masks}))
 WINDOW, SHARE, CHARS_AT_ONCE, FILTER_BITS = 13, 0.8, 1_000_000, 27
 REACH = WINDOW
-WIDTH = 2 * REACH + max(map(len, MASKS))
+WIDTH = 2 * REACH + max(map(len, ALL_MASKS))
 ODD, MORE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 SEED_ROWS = "id long, pos int, seed long, near array<int>, size int"
 
 
-def seeds_of(codes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(position, seed) of each place where a mask lies within one text."""
-    for number, mask in enumerate(MASKS):
+def seeds_of(codes: np.ndarray, owner: np.ndarray, sizes: np.ndarray, short: frozenset[int] | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(position, seed) of each place where a mask lies within one text.
+
+    Masks of items of fewer words are used where ``short`` has that number of words; where ``short`` is
+    None, each text is an item and takes those of its own number.
+    """
+    for number, mask in enumerate(ALL_MASKS):
         n = len(codes) - len(mask) + 1
-        if n <= 0:
+        takes = [k for k, masks in SHORT_MASKS.items() if mask in masks and (short is None or k in short)]
+        if n <= 0 or number >= len(MASKS) and not takes:
             continue
         value = np.full(n, number + 1, dtype=np.uint64)
         for at, bit in enumerate(mask):
             if bit == "1":
                 value = (value ^ codes[at : at + n]) * ODD
                 value ^= value >> np.uint64(31)
-        place = np.flatnonzero(owner[:n] == owner[len(mask) - 1 :])
+        within = owner[:n] == owner[len(mask) - 1 :]
+        if number >= len(MASKS) and short is None:
+            within &= np.isin(sizes[owner[:n]], takes)
+        place = np.flatnonzero(within)
         yield place, value[place]
 
 
@@ -43,10 +66,11 @@ def bits_of(seed: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (seed >> np.uint64(64 - bits)).astype(np.int64), ((seed * MORE) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def seeding(bits: int, filled: np.ndarray | None, outside: int):
+def seeding(bits: int, filled: np.ndarray | None, outside: int, short: frozenset[int] | None = None):
     """Seed rows of texts: id, pos, seed, the words around, and how many words the text has.
 
-    With a filter only the seeds that pass it are given. Words beyond a text's ends are ``outside``.
+    With a filter only the seeds that pass it are given. Words beyond a text's ends are ``outside``. short: the
+    numbers of words below 13 that items have; None where the texts are the items.
     """
 
     def rows_of(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -61,7 +85,7 @@ def seeding(bits: int, filled: np.ndarray | None, outside: int):
                 first = np.cumsum(sizes) - sizes
                 padded = np.concatenate([np.zeros(REACH, np.uint64), codes, np.zeros(WIDTH, np.uint64)]).astype(np.int64)
                 whose = np.concatenate([np.full(REACH, -1), owner, np.full(WIDTH, -1)])
-                for place, seed in seeds_of(codes, owner):
+                for place, seed in seeds_of(codes, owner, sizes, short):
                     if filled is not None:
                         a, b = bits_of(seed, bits)
                         hit = (filled[a >> 3] >> (a & 7)) & (filled[b >> 3] >> (b & 7)) & 1
@@ -116,10 +140,9 @@ def verified(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def overlaps(docs: DataFrame, benchmark: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
     """Benchmark items that documents repeat: doc_id, item_id, n_hits, matched, first_word, last_word.
 
-    An overlap is a run of 13 aligned words (of all words of a shorter item) of which 80 % are equal, with
-    a hit of a mask in or beside it, which every run of 13 has. Items of fewer than 13 words are found where
-    six equal words lie under a mask, items of fewer than six words never. Words are runs of letters and
-    digits in lower case. matched is the most equal words of a run.
+    An overlap is a run of 13 aligned words (of all words of a shorter item) of which 80 % are equal; the masks
+    have a hit in every such run. Words are runs of letters and digits in lower case. matched is the most
+    equal words of a run.
 
     Seeds of the benchmark set bits in a filter of fixed size, which every task gets; only seeds of
     documents that pass it are shuffled to the exact join. Null and empty texts overlap nothing, repeated
@@ -128,9 +151,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, filter_bits: int = FILTER_BI
     items = benchmark.select(F.col("item_id").alias("id"), "text").where("id is not null")
     known = stored(items.mapInPandas(seeding(filter_bits, None, -2), SEED_ROWS))
     filled = docs.sparkSession.sparkContext.broadcast(filter_of(known, filter_bits))
+    short = frozenset(r["size"] for r in known.where(F.col("size") < WINDOW).select("size").distinct().collect())
 
     def hits_of(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from seeding(filter_bits, filled.value, -1)(batches)
+        yield from seeding(filter_bits, filled.value, -1, short)(batches)
 
     hits = docs.select(F.col("doc_id").alias("id"), "text").where("id is not null").mapInPandas(hits_of, SEED_ROWS)
     item = known.select("seed", F.col("id").alias("item_id"), F.col("near").alias("item_near"), F.col("size").alias("item_size"))
@@ -154,7 +178,6 @@ def brute_overlaps(docs: list[tuple[int, str | None]], items: list[tuple[int, st
             a = words(text)
             for shift in range(-len(b), len(a)):
                 equal = [0 <= shift + j < len(a) and a[shift + j] == b[j] for j in range(len(b))]
-                hit = any(all(equal[s + k] for k, c in enumerate(m) if c == "1") for m in MASKS for s in range(len(b) - len(m) + 1))
-                if hit and any(sum(equal[s : s + WINDOW]) >= need for s in range(max(1, len(b) - WINDOW + 1))):
+                if b and any(sum(equal[s : s + WINDOW]) >= need for s in range(max(1, len(b) - WINDOW + 1))):
                     out.add((d, i))
     return out

@@ -171,6 +171,25 @@ def test_masks_find_every_run():
         )
 
 
+def test_short_items_are_found_by_every_allowed_pattern(spark):
+    pick, docs, items, want = random.Random(13), [], [], set()
+    for n in range(1, 13):
+        words = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        allowed = n - -(-4 * n // 5)
+        for spoilt in range(allowed + 2):
+            for unequal in combinations(range(n), spoilt):
+                changed = " ".join("swap" if i in unequal else x for i, x in enumerate(words))
+                docs.append((len(docs), changed if pick.random() < 0.5 else f"{sentence(pick, 3)} {changed} {sentence(pick, 3)}"))
+                want |= {(docs[-1][0], n)} if spoilt <= allowed else set()
+    cut = [(len(docs) + n, " ".join(items[n - 1][1].split()[1:])) for n in range(5, 13)]
+    want |= {(d, n) for n, (d, _) in zip(range(5, 13), cut)}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.overlaps(frame(spark, [*docs, *cut]), bench).collect()}
+    assert got == want
+    assert decontamination.brute_overlaps(cut, items) == {x for x in want if x[0] >= len(docs)}
+
+
 def brute_classes(rows, least=0.8):
     sets, keys = {}, {}
     for n, (d, t) in enumerate(rows):
