@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apportia.llm import decontamination, jaccard, langid, lines, mixing, pii, substrings, topk, toxicity, wrappers
+from apportia.llm import decontamination, jaccard, langid, lines, manifest, mixing, pii, substrings, topk, toxicity, wrappers
 from apportia.llm.common import remainder_of_id, table
-from apportia.llm.sql import MIX_SQL, TOP_SQL
+from apportia.llm.sql import MANIFEST_SQL, MIX_SQL, TOP_SQL
 
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,11 +90,23 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inclusion proof of every document, and whether it still holds where line ends were deleted since."""
+    docs = table(spark, sf_dir, "documents")
+    hit = F.coalesce(remainder_of_id("doc_id", 2) == 0, F.lit(False))
+    now = F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = manifest.manifest(manifest.leaves(docs, now)).withColumn("folded_root", manifest.folded("now", "path"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(manifest.proof("path").cast("binary"), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_main_text, op2_pii, op3_toxicity, op4_substring_dedup, op5_top_k, op6_language, op7_source_mix, op8_line_dedup, op9_decontamination,
-        op10_jaccard_join,
+        op10_jaccard_join, op11_manifest,
     )
 }
-ORACLE: dict[str, str] = {"op5_top_k": TOP_SQL, "op7_source_mix": MIX_SQL}
+ORACLE: dict[str, str] = {"op5_top_k": TOP_SQL, "op7_source_mix": MIX_SQL, "op11_manifest": MANIFEST_SQL}

@@ -61,3 +61,53 @@ SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target,
        CAST(least(size, greatest(quota - bef, 0)) + least(size, greatest(quota - shard_size - bef, 0)) AS BIGINT) AS taken
 FROM o
 """
+
+#: Trees node by node; crc32 bit by bit, as the id's digits have it.
+MANIFEST_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id) AS r,
+    list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+      string_split(CAST(doc_id AS VARCHAR), ''), lambda c: list_transform(range(8), lambda b: (ascii(c)::BIGINT >> b) & 1)
+    ))), lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))) AS crc
+  FROM documents
+), f AS (
+  SELECT *, CASE WHEN (crc & 1) = 1 THEN replace(text, chr(10), '') ELSE text END AS now,
+    concat_ws('',
+      coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+      coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head
+  FROM d
+), l AS (
+  SELECT r, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(now) || ':' || now, '-')) AS now,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n
+  FROM f
+), t AS (
+  SELECT source, 0 AS level, idx, n, leaf AS digest FROM l
+  UNION ALL
+  SELECT source, level + 1, idx // 3, any_value((n + 2) // 3), sha256(string_agg(digest, '' ORDER BY idx))
+  FROM t WHERE n > 1 GROUP BY source, level, idx // 3
+), s AS (
+  SELECT source, level AS top, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS n
+  FROM t WHERE n = 1
+), u AS (
+  SELECT 0 AS level, idx, n, subroot AS digest FROM s
+  UNION ALL
+  SELECT level + 1, idx // 3, any_value((n + 2) // 3), sha256(string_agg(digest, '' ORDER BY idx)) FROM u WHERE n > 1 GROUP BY level, idx // 3
+), runs AS (
+  SELECT source, level, idx // 3 AS up, list(digest ORDER BY idx) AS digests FROM t WHERE n > 1 GROUP BY source, level, idx // 3
+  UNION ALL
+  SELECT s.source, s.top + u.level, -1, list(u.digest ORDER BY u.idx) FROM s, u
+  WHERE u.n > 1 AND u.idx // 3 = s.idx // CAST(3 ** (u.level + 1) AS BIGINT) GROUP BY s.source, s.top, u.level
+), w AS (
+  SELECT l.r, l.source, 0 AS level, l.idx, s.idx AS place, s.top, '' AS proof, l.now AS cur FROM l JOIN s ON l.source IS NOT DISTINCT FROM s.source
+  UNION ALL
+  SELECT w.r, w.source, w.level + 1, w.idx // 3, CASE WHEN w.level >= w.top THEN w.place // 3 ELSE w.place END, w.top,
+    w.proof || array_to_string(digests[1:k], '') || array_to_string(digests[k + 2:], ''),
+    sha256(array_to_string(digests[1:k], '') || w.cur || array_to_string(digests[k + 2:], ''))
+  FROM (SELECT *, CAST(CASE WHEN level >= top THEN place % 3 ELSE idx % 3 END AS BIGINT) AS k FROM w) w
+  JOIN runs ON w.source IS NOT DISTINCT FROM runs.source AND w.level = runs.level AND CASE WHEN w.level >= w.top THEN -1 ELSE w.idx // 3 END = runs.up
+)
+SELECT l.doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
+FROM (SELECT r, arg_max(proof, level) AS proof, arg_max(cur, level) AS cur FROM w GROUP BY r) x
+JOIN l USING (r) JOIN s ON l.source IS NOT DISTINCT FROM s.source, (SELECT digest AS root FROM u WHERE n = 1)
+"""
