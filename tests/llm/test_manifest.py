@@ -94,7 +94,8 @@ def test_manifest_query(spark, tmp_path):
 
 def test_manifest_levels_share_one_shuffle(spark):
     nodes = spark.range(100).select(
-        F.lit("a").alias("key"), F.col("id").alias("rank"), F.lit(100).alias("n"), F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("digest"), F.lit(0).alias("row")
+        (F.col("id") % 2).cast("string").alias("key"), F.floor(F.col("id") / 2).alias("rank"), F.lit(50).cast("long").alias("n"),
+        F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("digest"), F.lit(0).alias("row"),
     )
     plan = manifest.nested(nodes, 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
