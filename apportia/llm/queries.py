@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apportia.llm import decontamination, jaccard, langid, lines, manifest, mixing, pii, substrings, topk, toxicity, wrappers
+from apportia.llm import decontamination, jaccard, langid, lines, manifest, mixing, pii, quality, substrings, topk, toxicity, wrappers
 from apportia.llm.common import remainder_of_id, table
 from apportia.llm.sql import MANIFEST_SQL, MIX_SQL, TOP_SQL
 
@@ -102,11 +102,22 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document, learnt from three quarters of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    learnt = quality.model(docs, labels.where(remainder_of_id("doc_id", 4) != 2))
+    return docs.select("doc_id", quality.score_of("text", learnt).alias("score")).select(
+        "doc_id", (remainder_of_id("doc_id", 4) == 2).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_main_text, op2_pii, op3_toxicity, op4_substring_dedup, op5_top_k, op6_language, op7_source_mix, op8_line_dedup, op9_decontamination,
-        op10_jaccard_join, op11_manifest,
+        op10_jaccard_join, op11_manifest, op12_quality,
     )
 }
 ORACLE: dict[str, str] = {"op5_top_k": TOP_SQL, "op7_source_mix": MIX_SQL, "op11_manifest": MANIFEST_SQL}
