@@ -67,12 +67,16 @@ def counted(text: str, words: Words) -> tuple[np.ndarray, np.ndarray]:
     return slots.astype(np.int32), (times / times.sum()).astype(np.float32)
 
 
-@F.pandas_udf("slots array<int>, shares array<float>")
-def slots_of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    words = Words(lambda w: (digest(w), np.array(word_slots(w), dtype=np.int64)))
-    for batch in texts:
-        found = [counted(t, words) for t in batch.fillna("")]
-        yield pd.DataFrame({"slots": [s for s, _ in found], "shares": [w for _, w in found]})
+def slots_of(text: str) -> Column:
+    """Struct of slots and shares of a text column."""
+
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        words = Words(lambda w: (digest(w), np.array(word_slots(w), dtype=np.int64)))
+        for batch in batches:
+            found = [counted(t, words) for t in batch.fillna("")]
+            yield pd.DataFrame({"slots": [s for s, _ in found], "shares": [w for _, w in found]})
+
+    return F.pandas_udf(count, "slots array<int>, shares array<float>", F.PandasUDFType.SCALAR_ITER)(F.col(text))
 
 
 def softmax(x: np.ndarray) -> np.ndarray:

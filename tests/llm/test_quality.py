@@ -87,5 +87,5 @@ def test_quality_takes_the_same_sample_again(spark):
     labels = spark.createDataFrame([(i, int(i % 4 < 2)) for i in range(80)], "doc_id long, label int")
     first, again = quality.model(docs, labels, 10), quality.model(docs.repartition(7), labels.repartition(5), 10)
     assert np.array_equal(first[0], again[0]) and np.array_equal(first[1], again[1])
-    assert not np.array_equal(first[0], quality.model(docs, labels, 30)[0])
+    assert not np.array_equal(first[1], quality.model(docs, labels, 30)[1])
     assert docs.where(F.col("doc_id") == 3).count() == 2
