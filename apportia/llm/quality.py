@@ -10,27 +10,53 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from apportia.llm.common import stored
+from apportia.llm.common import chunks, stored
 
 #: Slots of the vector table, numbers in a vector, and letters of a character n-gram.
 SLOTS, DIM, LETTERS = 2**17, 16, (3, 4)
 ROWS_PER_LABEL, EPOCHS, LEAST_TEXTS = 3000, 12, 2
 #: First rates of the output and of the mean vector of a document.
 RATE, MEAN_RATE = 1.0, 0.1
-WORDS_KEPT, LETTERS_KEPT = 200_000, 64
+WORDS_KEPT, LETTERS_KEPT, CHARS_AT_ONCE = 200_000, 64, 500_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 Model = tuple[np.ndarray, np.ndarray]
 
 
-def digest(text: str) -> int:
-    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
+def spaces() -> np.ndarray:
+    """Whether each code of the basic plane is white space; there is none beyond it."""
+    return np.array([chr(c).isspace() for c in range(2**16)])
 
 
-def word_slots(word: str) -> list[int]:
-    """Slots of a word as it is written and of its character n-grams, the marks of its ends included."""
-    marked = f"<{word}>"
-    grams = [marked[i : i + n] for n in LETTERS for i in range(len(marked) - n + 1)]
-    return [digest(f"w{word}") % SLOTS, *[digest(g) % SLOTS for g in grams]]
+def gram_slots(texts: list[str], space: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each size of n-gram: its slot at every place, and whether one begins there; and then where texts begin.
+
+    An n-gram lies within a word; the mark of a word's end counts as a letter, so that "a" has one of three.
+    """
+    codes = np.frombuffer("".join(["\n", *[x for t in texts for x in (t, "\n")]]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    near = codes < 2**16
+    x = np.where(near & space[np.where(near, codes, 0)], np.uint32(0), codes)
+    inner = x != 0
+    for n in LETTERS:
+        size = len(x) - n + 1
+        if size <= 0:
+            yield np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
+            continue
+        mixed, whole = np.full(size, n, dtype=np.uint32), np.ones(size, dtype=bool)
+        for i in range(n):
+            mixed = mixed * np.uint32(8191) + x[i : i + size]
+            mixed ^= mixed >> np.uint32(13)
+            if 0 < i < n - 1:
+                whole &= inner[i : i + size]
+        yield (mixed * np.uint32(0x9E3779B1) >> np.uint32(15)).astype(np.int64), whole
+
+
+def digest(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
+
+
+def word_slots(digests: np.ndarray) -> np.ndarray:
+    """Slots of words as they are written."""
+    return ((digests * ODD) >> np.uint64(47)).astype(np.int64)
 
 
 def pair_slots(digests: np.ndarray) -> np.ndarray:
@@ -42,14 +68,10 @@ def pair_slots(digests: np.ndarray) -> np.ndarray:
 
 
 class Words(dict):
-    """What ``of`` gives for each word met; emptied when it has grown large, and long words are not kept."""
+    """Digest of each word met; emptied when it has grown large, and long words are not kept."""
 
-    def __init__(self, of):
-        super().__init__()
-        self.of = of
-
-    def __missing__(self, word: str):
-        value = self.of(word)
+    def __missing__(self, word: str) -> int:
+        value = digest(word)
         if len(word) <= LETTERS_KEPT:
             if len(self) >= WORDS_KEPT:
                 self.clear()
@@ -57,13 +79,13 @@ class Words(dict):
         return value
 
 
-def counted(text: str, words: Words) -> tuple[np.ndarray, np.ndarray]:
+def counted(text: str, words: Words, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slots of a text, each once, and the share of the text's features that each has."""
-    found = [words[w] for w in text.split()]
-    if not found:
+    digests = np.array([words[w] for w in text.split()], dtype=np.uint64)
+    if not len(digests):
         return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.float32)
-    pairs = pair_slots(np.array([d for d, _ in found], dtype=np.uint64))
-    slots, times = np.unique(np.concatenate([pairs, *[s for _, s in found]]), return_counts=True)
+    grams = [s[m] for s, m in gram_slots([text], space)]
+    slots, times = np.unique(np.concatenate([word_slots(digests), pair_slots(digests), *grams]), return_counts=True)
     return slots.astype(np.int32), (times / times.sum()).astype(np.float32)
 
 
@@ -71,14 +93,35 @@ def slots_of(text: str) -> Column:
     """Struct of slots and shares of a text column."""
 
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        words = Words(lambda w: (digest(w), np.array(word_slots(w), dtype=np.int64)))
+        words, space = Words(), spaces()
         for batch in batches:
-            found = [counted(t, words) for t in batch.fillna("")]
+            found = [counted(t, words, space) for t in batch.fillna("")]
             yield pd.DataFrame({"slots": [s for s, _ in found], "shares": [w for _, w in found]})
 
     return F.pandas_udf(count, "slots array<int>, shares array<float>", F.PandasUDFType.SCALAR_ITER)(F.col(text))
 
 
+def mean_odds(texts: list[str], odds: np.ndarray, words: Words, space: np.ndarray) -> np.ndarray:
+    """Mean odds of the features of each text, 0 where it has none."""
+    found = [[words[w] for w in t.split()] for t in texts]
+    size = np.array([len(x) for x in found], dtype=np.int64)
+    digests = np.array([d for x in found for d in x], dtype=np.uint64)
+    owner = np.repeat(np.arange(len(texts)), size)
+    total = np.bincount(owner, odds[word_slots(digests)], minlength=len(texts))
+    number = size + np.maximum(size - 1, 0)
+    if len(digests) > 1:
+        same = owner[:-1] == owner[1:]
+        total += np.bincount(owner[1:][same], odds[pair_slots(digests)][same], minlength=len(texts))
+    starts = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+    for slots, whole in gram_slots(texts, space):
+        if len(slots):
+            at = np.minimum(starts, len(slots) - 1)
+            some = np.where(starts < len(slots), 1, 0)
+            total += np.add.reduceat(np.where(whole, odds[slots], 0.0), at) * some
+            number = number + np.add.reduceat(whole.astype(np.int64), at) * some
+    return total / np.maximum(number, 1)
+
+
 def softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max())
     return e / e.sum()
@@ -163,19 +206,11 @@ def score_of(text: str, learnt: Model) -> Column:
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         odds = np.zeros(SLOTS)
         odds[slots] = values
-
-        def summed(word: str) -> tuple[float, float, float]:
-            own = word_slots(word)
-            return float(digest(word)), float(odds[own].sum()), float(len(own))
-
-        words = Words(summed)
+        words, space = Words(), spaces()
         for batch in batches:
-            out = np.zeros(len(batch))
-            for i, t in enumerate(batch.fillna("")):
-                found = np.array([words[w] for w in t.split()])
-                if len(found):
-                    pairs = odds[pair_slots(found[:, 0].astype(np.uint64))]
-                    out[i] = (found[:, 1].sum() + pairs.sum()) / (found[:, 2].sum() + len(pairs))
+            texts, out = batch.fillna("").tolist(), np.zeros(len(batch))
+            for start, end in chunks(texts, CHARS_AT_ONCE):
+                out[start:end] = mean_odds(texts[start:end], odds, words, space)
             yield pd.Series(1 / (1 + np.exp(-np.clip(out, -35, 35))))
 
     return F.pandas_udf(score, "double", F.PandasUDFType.SCALAR_ITER)(F.col(text))

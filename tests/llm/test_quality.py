@@ -37,16 +37,22 @@ def test_quality_scores_again(spark):
     labels = spark.createDataFrame([(i, int(i % 4 < 2)) for i in range(80)], "doc_id long, label int")
     learnt = quality.model(docs, labels)
     odds = dict(zip(learnt[0].tolist(), learnt[1].tolist()))
-    crc = lambda s: zlib.crc32(s.encode())
+    odd, whole = int(quality.ODD), 2**64
 
     def brute(text):
         words, slots = (text or "").split(), []
-        for w in words:
-            m = f"<{w}>"
-            slots += [crc("w" + w)] + [crc(m[i : i + n]) for n in (3, 4) for i in range(len(m) - n + 1)]
-        slots = [s % quality.SLOTS for s in slots]
-        odd, whole = int(quality.ODD), 2**64
-        for a, b in zip(map(crc, words), map(crc, words[1:])):
+        digests = [zlib.crc32(w.encode()) for w in words]
+        for w, d in zip(words, digests):
+            slots.append((d * odd) % whole >> 47)
+            codes = [0, *map(ord, w), 0]
+            for n in (3, 4):
+                for i in range(len(codes) - n + 1):
+                    x = n
+                    for c in codes[i : i + n]:
+                        x = (x * 8191 + c) % 2**32
+                        x ^= x >> 13
+                    slots.append((x * 0x9E3779B1) % 2**32 >> 15)
+        for a, b in zip(digests, digests[1:]):
             x = (((a * odd) % whole ^ (a >> 7)) + b * 31) % whole
             x = ((x ^ (x >> 32)) * odd) % whole
             slots.append(0 if a == b else (x >> 20) % quality.SLOTS)
