@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apportia.llm import decontamination, jaccard, langid, lines, manifest, mixing, pii, quality, substrings, topk, toxicity, wrappers
+from apportia.llm import decontamination, jaccard, langid, lines, manifest, mixing, periods, pii, quality, substrings, topk, toxicity, wrappers
 from apportia.llm.common import remainder_of_id, table
 from apportia.llm.sql import MANIFEST_SQL, MIX_SQL, TOP_SQL
 
@@ -113,11 +113,28 @@ def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in each document; every tenth one is made to repeat from some word on."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    sized = docs.withColumn("g", F.floor(h / 10)).withColumn("n", F.when(h % 10 == 0, mixing.words_of("text")))
+    begun = sized.withColumn("start", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    period = 1 + F.floor((F.col("n") - F.col("start")) / (3 + F.col("g") % 8))
+    best = F.col("best")
+    return periods.periodic(begun.withColumn("period", period)).withColumn("best", periods.longest("runs")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))).cast("binary"), 256)
+        .alias("runs_sha256"),
+        "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_main_text, op2_pii, op3_toxicity, op4_substring_dedup, op5_top_k, op6_language, op7_source_mix, op8_line_dedup, op9_decontamination,
-        op10_jaccard_join, op11_manifest, op12_quality,
+        op10_jaccard_join, op11_manifest, op12_quality, op13_periodic_runs,
     )
 }
 ORACLE: dict[str, str] = {"op5_top_k": TOP_SQL, "op7_source_mix": MIX_SQL, "op11_manifest": MANIFEST_SQL}
