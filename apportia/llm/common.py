@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +38,21 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean(work: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """``work`` over batches, after which the worker gives back what it holds free: workers serve stage after stage."""
+
+    @functools.wraps(work)
+    def run(batches: Iterable) -> Iterator:
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run
+
+
 def row_digest(*cols: str | Column) -> Column:
     """Order-giving 64-bit digest of columns."""
     return F.xxhash64(*cols)

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from apportia.llm.common import chunks, stored
+from apportia.llm.common import chunks, lean, stored
 from apportia.llm.toxicity import TOKENS, Words
 
 #: Words at 1 must be equal, words at 0 are ignored. Of any 13 aligned words with at most two unequal, the
@@ -145,21 +145,22 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, filter_bits: int = FILTER_BI
     equal words of a run.
 
     Seeds of the benchmark set bits in a filter of fixed size, which every task gets; only seeds of
-    documents that pass it are shuffled to the exact join. Null and empty texts overlap nothing, repeated
-    rows of a document count once, empty tables give no rows, other columns are not read.
+    documents that pass it are shuffled to the exact join. Null and empty texts overlap nothing, rows without
+    an id are not looked at (give them one to have them compared), repeated rows of a document count once,
+    empty tables give no rows, other columns are not read.
     """
     items = benchmark.select(F.col("item_id").alias("id"), "text").where("id is not null")
-    known = stored(items.mapInPandas(seeding(filter_bits, None, -2), SEED_ROWS))
+    known = stored(items.mapInPandas(lean(seeding(filter_bits, None, -2)), SEED_ROWS))
     filled = docs.sparkSession.sparkContext.broadcast(filter_of(known, filter_bits))
     short = frozenset(r["size"] for r in known.where(F.col("size") < WINDOW).select("size").distinct().collect())
 
     def hits_of(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from seeding(filter_bits, filled.value, -1, short)(batches)
 
-    hits = docs.select(F.col("doc_id").alias("id"), "text").where("id is not null").mapInPandas(hits_of, SEED_ROWS)
+    hits = docs.select(F.col("doc_id").alias("id"), "text").where("id is not null").mapInPandas(lean(hits_of), SEED_ROWS)
     item = known.select("seed", F.col("id").alias("item_id"), F.col("near").alias("item_near"), F.col("size").alias("item_size"))
     checked = hits.drop("size").join(item, "seed").mapInPandas(
-        verified, "doc_id long, item_id long, pos int, matched int"
+        lean(verified), "doc_id long, item_id long, pos int, matched int"
     )
     return checked.groupBy("doc_id", "item_id").agg(
         F.count_distinct("pos").alias("n_hits"), F.max("matched").alias("matched"),

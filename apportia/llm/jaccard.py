@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from apportia.llm.common import chunks, stored
+from apportia.llm.common import chunks, lean, stored
 from apportia.llm.components import components
 from apportia.llm.toxicity import TOKENS, Words
 
@@ -185,7 +185,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
     Spark can split the join where one key is very common.
     """
     docs = docs.select("doc_id", "text").where("doc_id is not null")
-    sketches = stored(docs.mapInPandas(sketch, "doc_id long, node long, sig array<int>"))
+    sketches = stored(docs.mapInPandas(lean(sketch), "doc_id long, node long, sig array<int>"))
     copies = stored(sketches.groupBy("node").agg(
         F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"), F.first("sig").alias("sig")
     ))
@@ -198,15 +198,15 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = REC
     tries = stored(sets.select("node", tree.alias("prefix")))
     met = stored(tries.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1"))
     members = tries.join(met, "prefix").join(sets.withColumnRenamed("sig", "body"), "node")
-    near = cells(members, "prefix").mapInPandas(linked(alike, similarity - SLACK), "node long, root long, links long")
+    near = cells(members, "prefix").mapInPandas(lean(linked(alike, similarity - SLACK)), "node long, root long, links long")
     groups = stored(components(near.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
     sizes = stored(groups.groupBy("class").agg(F.count("*").alias("n")))
     inside = stored(groups.join(sizes, "class").join(copies.select("node", "first_id"), "node"))
     texts = docs.join(inside.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi")
-    bodies = texts.mapInPandas(shingled, "node long, body array<long>")
+    bodies = texts.mapInPandas(lean(shingled), "node long, body array<long>")
     links = stored(cells(inside.join(bodies, "node").dropDuplicates(["node"]), "class").mapInPandas(
-        linked(similar, similarity), "node long, root long, links long"
+        lean(linked(similar, similarity)), "node long, root long, links long"
     ))
     final = stored(components(links.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     least = stored(

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from apportia.llm.common import stored
+from apportia.llm.common import lean, stored
 
 RARE_WORDS = 8
 #: Aligned lines that follow each other go without a rare line among them where they have this many words together.
@@ -196,7 +196,7 @@ def realigned(keys: DataFrame, left: DataFrame) -> DataFrame | None:
             .groupBy(*DOC, "their_id", "their_digest").agg(F.collect_set(F.struct("theirs", "place")).alias("shared"))
         )
         found = stored(
-            shared.mapInPandas(pair_aligned, "doc_id long, digest long, places array<int>")
+            shared.mapInPandas(lean(pair_aligned), "doc_id long, digest long, places array<int>")
             .select(*DOC, F.explode("places").alias("place")).distinct()
         )
         parts.append(left.join(found, [*DOC, "place"], "left_semi").select(*DOC, "place", "line", "words"))
@@ -222,7 +222,7 @@ def repeated_blocks(docs: DataFrame, rare_words: int = RARE_WORDS) -> DataFrame:
     """
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("digest"), "text")
     keys = stored(texts.mapInPandas(
-        keyed(rare_words), "key long, doc_id long, digest long, line int, place int, words int"
+        lean(keyed(rare_words)), "key long, doc_id long, digest long, line int, place int, words int"
     ))
     lead = stored(
         keys.groupBy("key").agg(F.min(F.struct("doc_id", "digest", "line")).alias("lead"), F.count("*").alias("n"))
@@ -236,7 +236,7 @@ def repeated_blocks(docs: DataFrame, rare_words: int = RARE_WORDS) -> DataFrame:
         )).alias("matches"))
     )
     first = stored(matches.mapInPandas(
-        first_aligned, "doc_id long, digest long, found array<struct<place: int, line: int, words: int>>, "
+        lean(first_aligned), "doc_id long, digest long, found array<struct<place: int, line: int, words: int>>, "
         "left_over array<struct<key: long, place: int, line: int, words: int>>"
     ))
     left = stored(first.select(*DOC, F.explode("left_over").alias("x")).select(*DOC, "x.*"))
@@ -247,7 +247,7 @@ def repeated_blocks(docs: DataFrame, rare_words: int = RARE_WORDS) -> DataFrame:
     else:
         found = found.join(stored(more), DOC, "left")
     return found.mapInPandas(
-        deletions(rare_words), "doc_id long, digest long, gone array<struct<first: int, last: int, lines: int>>"
+        lean(deletions(rare_words)), "doc_id long, digest long, gone array<struct<first: int, last: int, lines: int>>"
     )
 
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from apportia.llm.common import chunks
+from apportia.llm.common import chunks, lean
 
 BITS, SAMPLE_ROWS, EPOCHS, LEAST_TEXTS = 20, 30_000, 6, 3
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 5.0, 0.5
@@ -82,18 +82,33 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) ->
     return kept, w[kept]
 
 
-def trained_on(rows: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def slots_in(text: str) -> Column:
+    """Slots of a text column, each once, in 32 bits."""
+
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        words = Words()
+        for batch in batches:
+            out = []
+            for t in batch.fillna(""):
+                parts = [s for s, _ in slots_of([t], words)]
+                out.append(np.unique(np.concatenate(parts)).astype(np.int32) if parts else np.zeros(0, dtype=np.int32))
+            yield pd.Series(out, dtype=object)
+
+    return F.pandas_udf(lean(find), "array<int>", F.PandasUDFType.SCALAR_ITER)(F.col(text))
+
+
+def trained_on(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One task over the bounded sample: weights by slot."""
-    words, examples, labels, order = Words(), [], [], []
+    examples, labels, order = [], [], []
     bias = np.array([2**BITS], dtype=np.int32)
-    for rows_ in rows:
-        for text, y, doc in zip(rows_["text"].fillna(""), rows_["label"], rows_["doc_id"]):
-            parts = [s for s, _ in slots_of([text], words)]
-            examples.append(np.concatenate([np.unique(np.concatenate(parts)).astype(np.int32), bias]) if parts else bias)
-            labels.append(float(y))
-            order.append((zlib.crc32(b"%d" % doc), doc))
+    for rows in batches:
+        examples += [np.concatenate([np.asarray(s, dtype=np.int32), bias]) for s in rows["slots"]]
+        labels += rows["label"].tolist()
+        order += zip(rows["place"].tolist(), rows["tie"].tolist())
     turn = sorted(range(len(order)), key=order.__getitem__)
-    kept, w = fit([examples[i] for i in turn], np.array([labels[i] for i in turn]))
+    placed = [examples[i] for i in turn]
+    del examples
+    kept, w = fit(placed, np.array([float(labels[i]) for i in turn]))
     yield pd.DataFrame({"slot": kept.astype(np.int64), "weight": w})
 
 
@@ -101,21 +116,27 @@ def model(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     """Weights learnt from at most ``sample_rows`` labelled documents, those of the least id digest.
 
     docs: doc_id, text. labels: doc_id, label (0 or 1; null labels are left out; the larger of several).
-    The weights are at most 2**BITS numbers, whatever the size of the input.
+    Slots are found where the texts are, so that the one task that learns gets numbers only: four bytes for each
+    distinct slot of a text, however long. Rows that repeat an id are each learnt from; other columns are not
+    read. The weights are at most 2**BITS numbers, whatever the size of the input.
     """
     ids = (
         labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     )
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    found = sample.repartition(1).mapInPandas(trained_on, "slot long, weight double").collect()
+    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(
+        F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("place"), F.xxhash64("doc_id", "text").alias("tie"), "label",
+        slots_in("text").alias("slots"),
+    )
+    found = sample.repartition(1).mapInPandas(lean(trained_on), "slot long, weight double").collect()
     return np.array([r[0] for r in found], dtype=np.int64), np.array([r[1] for r in found], dtype=np.float64)
 
 
 def score_of(text: str, weights: tuple[np.ndarray, np.ndarray]) -> Column:
     """Score of a text column, over whole texts.
 
-    Null and empty texts hold no word and get the score of the bias; without labels every score is 0.5.
+    Null and empty texts hold no word and get the score of the bias; without labels every score is 0.5. Repeated
+    rows score alike; texts of any length are scored whole, some at a time; an empty table gives no scores.
     """
     slots, values = weights
 
@@ -134,4 +155,4 @@ def score_of(text: str, weights: tuple[np.ndarray, np.ndarray]) -> Column:
                     total[start:end] += np.bincount(own, dense[pairs & (2**BITS - 1)], minlength=end - start)
             yield pd.Series(logistic(total))
 
-    return F.pandas_udf(score, "double", F.PandasUDFType.SCALAR_ITER)(F.col(text))
+    return F.pandas_udf(lean(score), "double", F.PandasUDFType.SCALAR_ITER)(F.col(text))

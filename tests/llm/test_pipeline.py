@@ -35,6 +35,7 @@ def tables(tmp_path_factory):
         elif kind == 5 and i > 12:
             text = docs[-12][1]
         docs.append((i, text))
+    docs += [(7, docs[8][1] + " and a text of its own under an id that others have"), (None, docs[9][1]), (None, bench[0][1]), (None, sentence(pick, 30))]
     docs += [(900, None), (901, ""), (902, " \n"), (903, "!!!"), (904, "!!!"), (7, docs[7][1]), (905, docs[0][1])]
     sources = ["hot"] * 8 + ["a", "b", None]
     rows = [(d, t, "en", sources[n % len(sources)], len(t or ""), "x") for n, (d, t) in enumerate(docs)]
@@ -72,14 +73,18 @@ def test_pipeline_brute(spark, tables):
             reduced.append((r[0], text, r[2], r[3], len(text), r[5]))
     assert len(reduced) < len(kept)
 
-    found = brute_classes([(r[0], r[1]) for r in reduced])
+    order = sorted({(r[0], r[1]) for r in reduced}, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    place = {r: i for i, r in enumerate(order)}
+    found = brute_classes([(i, t) for i, (_, t) in enumerate(order)])
     first, one = {d for d, c, _, _ in found if d == c}, {}
     for r in reduced:
-        if r[0] in first:
-            one.setdefault(r[0], r)
-    hit = {d for d, _ in decontamination.brute_overlaps([(r[0], r[1]) for r in one.values()], bench)}
-    want = [r for r in one.values() if r[0] not in hit]
-    assert len(hit) >= 15 and len(one) < len(reduced)
+        if place[r[0], r[1]] in first:
+            one.setdefault((r[0], r[1]), r)
+    hit = {d for d, _ in decontamination.brute_overlaps([(place[k], k[1]) for k in one], bench)}
+    want = [r for k, r in one.items() if place[k] not in hit]
+    assert len(hit) >= 16 and len(one) < len(reduced)
+    assert len([r for r in want if r[0] == 7]) >= 1 and len([r for r in want if r[0] is None]) >= 1
+    assert any(k[0] is None and place[k] in hit for k in one)
 
     stages = docs
     for (name, stage), expected in zip(corpus_pipeline.STAGES, (kept, reduced, list(one.values()), want)):
@@ -91,8 +96,11 @@ def test_pipeline_brute(spark, tables):
     con = duckdb.connect()
     import pandas as pd
 
-    documents = pd.DataFrame(want, columns=docs.columns)  # noqa: F841
-    mixed = {tuple(r) for r in con.execute(MIX_SQL).fetchall()}
+    documents = pd.DataFrame(want, columns=docs.columns).astype({"doc_id": "Int64"})  # noqa: F841
+    order_of = "md5('17:' || CAST(doc_id AS VARCHAR))"
+    assert order_of in MIX_SQL
+    null_safe = MIX_SQL.replace(order_of, "md5(concat_ws(':', '17', CAST(doc_id AS VARCHAR)))")
+    mixed = {tuple(r) for r in con.execute(null_safe).fetchall()}
     got = corpus_pipeline.run(spark, sf)
     assert got.columns == ["doc_id", "size", "source_size", "target", "taken"]
     assert {(a, b, c, round(d, 6), e) for a, b, c, d, e in map(tuple, got.collect())} == {(a, b, c, round(d, 6), e) for a, b, c, d, e in mixed}
