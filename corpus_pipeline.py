@@ -1,14 +1,15 @@
 """Documents to a training mix: each stage reads what the one before it has kept.
 
-Every stage but the last returns the columns of documents. No stage but the first two looks at or changes
-what a document is apart from the columns it names; rows with a null doc_id pass them.
+Every stage but the last returns the columns of documents; line dedup changes texts (and n_chars), the others
+rows only. Null and empty texts, rows without an id, repeated rows and columns of other names pass every stage
+but near-copy removal, which leaves one of equal rows. Texts are worked whole. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apportia.llm import decontamination, jaccard, lines, mixing, toxicity
@@ -37,22 +38,43 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     ])
 
 
+def keyed(docs: DataFrame) -> tuple[str, DataFrame]:
+    """A digest of id and text under a name that docs has not: one of each row that is not repeated, null ids included."""
+    name = "row_key"
+    while name in docs.columns:
+        name += "_"
+    return name, docs.withColumn(name, F.xxhash64("doc_id", "text"))
+
+
+def columns_of(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each class of near copies; of rows with one id, that of the least text."""
-    found = jaccard.classes(docs)
-    copies = stored(found.where("doc_id <> class_id").select("doc_id").distinct())
-    twice = stored(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
-    kept = docs.join(copies, "doc_id", "left_anti")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    one = kept.join(twice, "doc_id", "left_semi").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), nth.alias("nth"))
-    once = kept.join(twice, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return once.unionByName(one.where("nth = 1").select("row.*"))
+    """One document of each class of near copies: of least id, a null id last, and then of least text digest.
+
+    Documents of one id and different texts are different documents. Of rows that repeat id and text one stays,
+    the least by its other columns as JSON.
+    """
+    key, rows = keyed(docs)
+    ids = stored(rows.groupBy(key).agg(F.first("doc_id").alias("id"), F.count("*").alias("n")))
+    classes = jaccard.classes(rows.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias(key), "class_id").distinct()
+    placed = stored(classes.join(ids, key))
+    first = placed.groupBy("class_id").agg(F.min(F.struct(F.col("id").isNull(), "id", key))[key].alias(key))
+    gone = stored(placed.select(key).join(first, key, "left_anti"))
+    kept = rows.join(gone, key, "left_anti")
+    twice = stored(ids.where("n > 1").select(key))
+    row = F.struct(*columns_of(docs))
+    one = kept.join(twice, key, "left_semi").groupBy(key).agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
+    return kept.join(twice, key, "left_anti").select(*columns_of(docs)).unionByName(one)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that repeat no benchmark item."""
-    hit = decontamination.overlaps(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(stored(hit), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Documents that repeat no benchmark item, whether they have an id or not."""
+    key, rows = keyed(docs)
+    found = decontamination.overlaps(rows.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    hit = stored(found.select(F.col("doc_id").alias(key)).distinct())
+    return rows.join(hit, key, "left_anti").select(*columns_of(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
