@@ -11,6 +11,7 @@ from apportia import constants as K
 from apportia.functions.codes import col
 from apportia.operators import spans
 from apportia.operators.spans import Measure
+from apportia.session import cut_lineage
 
 
 def fan_in(base: DataFrame, parts: list[DataFrame], on: list[str]) -> DataFrame:
@@ -88,12 +89,13 @@ def _tick() -> Column:
 
 
 def without_overlaps(
-    registry: DataFrame, keys: list[str], start: str, stop: str, tie: list[str]
+    registry: DataFrame, keys: list[str], start: str, stop: str, tie: list[str], store=cut_lineage
 ) -> DataFrame:
     """Cut validity so that at any time at most one version of a key is in force: the one with
     the latest start, then open or latest end, then the highest ``tie``.
 
-    Versions that touch no other pass through; only the rest are split at each other's bounds.
+    Versions that touch no other pass through; only the rest are split at each other's bounds, see
+    ``in_force``. ``store`` materialises what both parts read.
     """
     t = registry.schema[start].dataType.simpleString()
     cols = registry.columns
@@ -113,23 +115,11 @@ def without_overlaps(
     alone = (F.col("__before").isNull() | (F.col("__before") < F.col(start))) & (
         after.isNull() | (F.col("__stop") < after)
     )
-    marked = seen.withColumn("__alone", alone)
+    marked = store(seen.withColumn("__alone", alone))
     clean = marked.where("__alone").select(*cols)
     mixed = marked.where(~F.col("__alone")).select(*cols, "__stop")
-
-    bounds = mixed.select(
-        *keys, F.explode(F.array(F.col(start), F.col("__stop") + _tick())).alias("__at")
-    ).distinct()
-    left = bounds.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__at")
-    on = [F.col(f"__k_{k}") == F.col(k) for k in keys]
-    on += [F.col(start) <= F.col("__at"), F.col("__at") <= F.col("__stop")]
-    live = left.join(mixed, on)
-    row = F.struct(*[F.col(c) for c in cols], F.col("__stop"))
-    place = F.struct(F.col(start), F.col("__stop"), *[F.col(c) for c in tie])
-    winner = live.groupBy(*keys, "__at").agg(F.max_by(row, place).alias("__row"))
-    pieces = spans.next_row(winner, keys, ["__at"], spans.month_span("__at"), ["__at"], "__after")
-    next_at = F.col("__after.__at") - _tick()
-    end = F.least(F.col("__row.__stop"), next_at)
+    pieces = in_force(mixed, keys, start, "__stop", tie, store)
+    end = F.least(F.col("__row.__stop"), F.col("__next") - _tick())
     rest = [c for c in cols if c not in (*keys, start, stop)]
     split = pieces.select(
         *keys,
@@ -140,6 +130,61 @@ def without_overlaps(
     return clean.unionByName(split)
 
 
+def in_force(
+    versions: DataFrame, keys: list[str], start: str, stop: str, tie: list[str], store=cut_lineage
+) -> DataFrame:
+    """(keys, __at, __next, __row): from each bound of a key to its next one, the version in force.
+
+    Starts and ends of a key's versions are numbered along time, so a version is a range of numbers. The range
+    is written as blocks whose sizes are powers of two, of which the best version is kept; a bound looks at
+    the blocks that hold its number, one of each size. With n versions of a key that is n log n rows meeting
+    on equality, however many are open at once, and no key is gathered anywhere.
+    """
+    row = F.struct(*[F.col(c) for c in versions.columns])
+    bound = lambda at, first: F.struct(at.alias("at"), F.lit(first).alias("first"))
+    events = versions.select(
+        *keys, row.alias("__row"),
+        F.explode(F.array(bound(F.col(start), True), bound(F.col(stop) + _tick(), False))).alias("__bound"),
+    ).select(*keys, "__row", F.col("__bound.at").alias("__at"), F.col("__bound.first").alias("__first"))
+    one = F.lit(1).cast("bigint")
+    numbered = store(
+        spans.running(
+            events, keys, ["__at", "__first", "__row"], spans.month_span("__at"),
+            {
+                "__number": Measure(one, "sum", inclusive=False), "__left": Measure(one, "sum", reverse=True),
+                "__after": spans.following(["__at"]),
+            },
+        ).withColumn("__number", F.coalesce("__number", F.lit(0)))
+    )
+    when = lambda first: F.max(F.when(F.col("__first") == first, F.col("__number")))
+    ranges = numbered.groupBy(*keys, "__row").agg(when(True).alias("__low"), when(False).alias("__high"))
+
+    def blocks(level: Column) -> Column:
+        size = F.call_function("shiftleft", one, level)
+        low = F.ceil(F.col("__low") / size)
+        high = F.floor(F.col("__high") / size)
+        block = lambda number, odd: F.when(
+            (low < high) & (odd % 2 == 1), F.struct(level.alias("level"), number.alias("block"))
+        )
+        return F.array(block(low, low), block(high - 1, high))
+
+    levels = lambda number: F.sequence(F.lit(0), F.floor(F.log2(F.greatest(number, F.lit(1)))).cast("int"))
+    place = F.struct(F.col(f"__row.{start}"), F.col(f"__row.{stop}"), *[F.col(f"__row.{c}") for c in tie])
+    best = ranges.select(
+        *keys, "__row", F.explode(F.array_compact(F.flatten(F.transform(levels(F.col("__high")), blocks)))).alias("__block")
+    ).groupBy(*keys, "__block").agg(F.max_by("__row", place).alias("__row"))
+    # Of bounds at the same time the last one counts: all that start or end then have done so.
+    last = numbered.where(F.col("__after").isNull() | (F.col("__after.__at") != F.col("__at")))
+    holding = lambda level: F.struct(
+        level.alias("level"), F.call_function("shiftright", F.col("__number"), level).alias("block")
+    )
+    asked = last.select(
+        *keys, "__at", F.col("__after.__at").alias("__next"),
+        F.explode(F.transform(levels(F.col("__number") + F.col("__left")), holding)).alias("__block"),
+    )
+    return asked.join(best, [*keys, "__block"]).groupBy(*keys, "__at", "__next").agg(F.max_by("__row", place).alias("__row"))
+
+
 def as_of(
     docs: DataFrame,
     registry: DataFrame,

@@ -1,6 +1,7 @@
 """Running measures, as-of joins, validity and replay."""
 
 import random
+import re
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Window as W
@@ -90,6 +91,29 @@ def test_without_overlaps_leaves_no_overlap(spark):
     assert all(a[1] < b[0] for a, b in zip(found, found[1:]))
 
 
+def test_many_open_versions_stay_linear(spark):
+    """20,000 versions of one party that all overlap: nested ones and ones that end in the order of their starts."""
+    n, base = 10_000, T(2024, 1, 1)
+    day = timedelta(minutes=1)
+    nested = [("GO", 1, base + i * day, base + (4 * n - i) * day, i) for i in range(n)]
+    rolling = [("GO", 2, base + i * day, base + (n + 2 * i) * day, i) for i in range(n)]
+    reg = registry(spark, nested + rolling)
+    out = joins.without_overlaps(reg, ["state", "reg"], "valid_from", "valid_to", ["muni"]).cache()
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and not re.search(r"Join[^\n]*[<>]=? ", plan)
+    got = sorted((r.reg, r.valid_from, r.valid_to, r.muni) for r in out.collect())
+    one = [r for r in got if r[0] == 1]
+    two = [r for r in got if r[0] == 2]
+    tick = timedelta(microseconds=1)
+    # Nested: each is in force until the next starts, and again from the end of the next on.
+    up = [(1, base + i * day, base + (i + 1) * day - tick, i) for i in range(n - 1)] + [(1, base + (n - 1) * day, base + (3 * n + 1) * day, n - 1)]
+    down = [(1, base + (4 * n - i - 1) * day + tick, base + (4 * n - i) * day, i) for i in range(n - 1)]
+    assert one == sorted(up + down)
+    # Rolling: from the start of the last on, it stays to the end; earlier ones end before it.
+    assert [r[3] for r in two if r[1] < base + n * day][: n] == list(range(n)) and {r[3] for r in two if r[1] >= base + n * day} <= {n - 1}
+    assert max(r[2] for r in two) == base + (n + 2 * (n - 1)) * day
+
+
 def test_daily_versions(spark, rows):
     data = [
         (1, T(2024, 1, 1, 8), "a"), (1, T(2024, 1, 1, 9), "b"), (1, T(2024, 1, 2, 9), "b"), (1, T(2024, 1, 3, 9), None), (1, T(2024, 1, 4, 9), None),
