@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from apportia import constants as K
 from apportia.functions import dates
-from apportia.operators import sinks
+from apportia.operators import commits, sinks
 from apportia.plans import energy, goods, ledger, references, ticket, transport
 from apportia.plans.store import PARTITIONS
 from apportia.session import cut_lineage
@@ -70,3 +70,35 @@ def load(
         rows = items.join(placed, "access_key")
         counts["items"] = sinks.replace_rows(spark, rows, items_path, PARTITIONS, touched, keys, ["access_key"])
     return counts
+
+
+def load_committed(
+    spark: SparkSession, kind: str, catalog: tables.Catalog, window: tuple[str, str], run_id: int, store: commits.Tables,
+    registry: DataFrame | None = None, home: str = K.HOME_STATE, base: commits.State | None = None,
+    marks: dict[str, str] | None = None,
+) -> dict[str, int]:
+    """``load`` as one commit: documents, items and marks change together, and a load that stops changes nothing.
+
+    ``store`` is partitioned like ``store.PARTITIONS``. Raises ``commits.Conflict`` if another load has
+    committed since ``base``, the state now by default.
+    """
+    base = base or store.state()
+    documents, items = prepare(spark, kind, catalog, window, run_id, registry, home=home, store=cut_lineage)
+    documents = cut_lineage(documents)
+    inside = dates.between("emitted_at", *window) & (F.col("doc_type") == DOC_TYPE[kind])
+    first, last = (int(w[:4]) * 100 + int(w[5:7]) for w in window)
+    touched = lambda values: values[0] == DOC_TYPE[kind] and first <= values[1] <= last
+    changes = {"documents": commits.replaced_rows(store, base, "documents", documents, touched, inside)}
+    counts = {"documents": documents.count()}
+    if items is not None:
+        placed = documents.select("access_key", *[c for c in PARTITIONS if c not in items.columns]).distinct()
+        rows = cut_lineage(items.join(placed, "access_key"))
+        keys = placed.select("access_key")
+        old = store.read("documents", base, touched)
+        if old is not None:
+            keys = keys.unionByName(old.where(inside).select("access_key")).distinct()
+        changes["items"] = commits.replaced_rows(store, base, "items", rows, touched, keys, ["access_key"])
+        counts["items"] = rows.count()
+    changes = {n: commits.Change(cut_lineage(c.rows), c.replaced) for n, c in changes.items()}
+    store.commit(base, changes, marks)
+    return counts

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from datetime import datetime, timedelta
+
 from pyspark.sql import functions as F
 
 from apportia import schemas
-from apportia.operators import sinks
+from apportia.operators import commits, sinks
 from apportia.plans import imports, regimes
 from apportia.plans.corrections import cancel_invoices as cancel
 from apportia.plans.corrections import refresh_consumption_class as refresh
@@ -13,6 +17,8 @@ from apportia.retail import frames as R
 from apportia.retail.registry import query
 from apportia.retail.scan_queries import OPTIONS, option_sources
 from apportia.retail.sql import text, using
+from apportia.session import cut_lineage, shared_folder
+from apportia.streaming import incremental
 
 
 def daily(spark, sf, kind):
@@ -264,3 +270,73 @@ def replace_window_documents(spark, sf):
     FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey WHERE NOT COALESCE({RELOADED} AND o_custkey % 2 <> 0, false)""")
 def replace_window_items(spark, sf):
     return reloaded(spark, sf)[1]
+
+
+def folder_of(spark, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def committed(spark, sf):
+    """Orders and their lines stored by year, then half a month loaded again in one commit; and the store."""
+    store = commits.Tables(spark, folder_of(spark, "orders"), ["year"])
+    orders = R.table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderdate", R.dec("o_totalprice").alias("total"), "o_custkey", F.year("o_orderdate").alias("year")
+    )
+    lines = R.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", R.dec("l_quantity").alias("quantity"))
+    lines = lines.join(orders.select("o_orderkey", "year"), "o_orderkey")
+    first = store.commit(store.state(), {"orders": commits.Change(orders), "lines": commits.Change(lines)})
+    new = cut_lineage(orders.where(f"{RELOADED} AND o_custkey % 2 = 0").withColumn("total", (2 * F.col("total")).cast("decimal(17,2)")))
+    more = cut_lineage(lines.join(new.select("o_orderkey"), "o_orderkey").withColumn("quantity", (F.col("quantity") + 1).cast("decimal(17,2)")))
+    gone = orders.where(RELOADED).select("o_orderkey")
+    years = {int(v) for p in store.partitions(orders.where(RELOADED)) for v in json.loads(p)}
+    touched = lambda values: values[0] in years
+    store.commit(first, {
+        "orders": commits.replaced_rows(store, first, "orders", new, touched, F.expr(RELOADED)),
+        "lines": commits.replaced_rows(store, first, "lines", more, touched, gone, ["o_orderkey"]),
+    })
+    return store
+
+
+@query(f"""SELECT o_orderkey, {text('o_orderdate')} AS o_orderdate, CAST(CASE WHEN {RELOADED} THEN 2 ELSE 1 END * CAST(o_totalprice AS DECIMAL(17,2)) AS DOUBLE) AS total
+    FROM orders WHERE NOT ({RELOADED} AND o_custkey % 2 <> 0)""")
+def committed_documents(spark, sf):
+    """Documents after a window was loaded again by one commit with its items."""
+    return committed(spark, sf).read("orders").select("o_orderkey", "o_orderdate", "total")
+
+
+@query(f"""SELECT l_orderkey AS o_orderkey, l_linenumber, CAST(CAST(l_quantity AS DECIMAL(17,2)) + CASE WHEN {RELOADED} THEN 1 ELSE 0 END AS DOUBLE) AS quantity
+    FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey WHERE NOT COALESCE({RELOADED} AND o_custkey % 2 <> 0, false)""")
+def committed_items(spark, sf):
+    return committed(spark, sf).read("lines").select("o_orderkey", "l_linenumber", "quantity")
+
+
+@query("""SELECT year(o_orderdate) AS year, CAST(SUM(CAST(o_totalprice AS DECIMAL(17,2))) AS DOUBLE) AS total, COUNT(*) AS orders,
+    '1998-12-31T23:59:59' AS mark FROM orders WHERE o_orderdate > TIMESTAMP '1992-12-31 23:59:59' AND o_orderdate <= TIMESTAMP '1998-12-31 23:59:59' GROUP BY 1""")
+def stored_mark(spark, sf):
+    """Slices of two years loaded from a stored mark; a second runner gets in between and takes one of them."""
+    store = commits.Tables(spark, folder_of(spark, "marks"), ["year"])
+    orders = R.table(spark, sf, "orders").select(R.dec("o_totalprice").alias("total"), "o_orderdate", F.year("o_orderdate").alias("year"))
+    begun = []
+
+    def load(first, last, state, marks, also=None):
+        if also:
+            also()
+        rows = cut_lineage(orders.where(F.col("o_orderdate").between(F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp"))))
+        inside = F.col("o_orderdate").between(F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp"))
+        store.commit(state, {"orders": commits.replaced_rows(store, state, "orders", rows, lambda v: False, inside)}, marks)
+
+    ends = [datetime(1994, 12, 31, 23, 59, 59), datetime(1998, 12, 31, 23, 59, 59)]
+    run = lambda limit, load: incremental.advance_stored(store, "orders", datetime(1992, 12, 31, 23, 59, 59), timedelta(days=730.5) - timedelta(hours=12), limit, load)
+
+    def meanwhile():
+        if not begun:
+            begun.append(run(ends[0], load))
+
+    run(ends[1] - timedelta(days=1), lambda *a: load(*a, also=meanwhile))
+    state = store.state()
+    last = datetime.fromisoformat(state.marks["orders"])
+    load(f"{last + timedelta(seconds=1):%Y-%m-%d %H:%M:%S}", f"{ends[1]:%Y-%m-%d %H:%M:%S}", state, {"orders": ends[1].isoformat()})
+    state = store.state()
+    return store.read("orders", state).groupBy("year").agg(
+        F.sum("total").alias("total"), F.count(F.lit(1)).alias("orders")
+    ).withColumn("mark", F.lit(state.marks["orders"]))

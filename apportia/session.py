@@ -18,6 +18,16 @@ def build(app: str = "apportia", master: str | None = None) -> SparkSession:
     return (b.master(master) if master else b).getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder spark.checkpoint.dir names; where it is unset, one of this machine, on a local master only."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return "file://" + tempfile.mkdtemp(prefix="apportia-tables-")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint into the shared folder the session names.
 

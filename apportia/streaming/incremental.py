@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from apportia.operators import sinks
+from apportia.operators import commits, sinks
 
 
 def next_window(mark: datetime, step: timedelta, limit: datetime) -> tuple[datetime, datetime] | None:
@@ -32,6 +32,29 @@ def advance(
     return done
 
 
+def advance_stored(
+    store: commits.Tables, name: str, start: datetime, step: timedelta, limit: datetime,
+    load: Callable[[str, str, commits.State, dict[str, str]], object],
+) -> int:
+    """Load window after window from the mark kept with the tables; returns the windows this runner loaded.
+
+    ``load`` gets the window, the state to commit on and the mark to commit with the rows, so rows and mark
+    move together. Of runners that take the same window one commits; the others meet a conflict and look again.
+    """
+    done = 0
+    while True:
+        state = store.state()
+        mark = datetime.fromisoformat(state.marks[name]) if name in state.marks else start
+        w = next_window(mark, step, limit)
+        if w is None:
+            return done
+        try:
+            load(f"{w[0]:%Y-%m-%d %H:%M:%S}", f"{w[1]:%Y-%m-%d %H:%M:%S}", state, {name: w[1].isoformat()})
+            done += 1
+        except commits.Conflict:
+            continue
+
+
 def load_arrivals(
     spark: SparkSession, source: str, schema: StructType, target: str, keys: list[str],
     partition_by: list[str], checkpoint: str, prepare: Callable[[DataFrame], DataFrame] | None = None,
