@@ -81,10 +81,10 @@ def municipality(
 
 # --- as-of registry -------------------------------------------------------------------------
 
-_FOREVER = "9999-12-31 00:00:00"
+FOREVER = "9999-12-31 00:00:00"
 
 
-def _tick() -> Column:
+def tick() -> Column:
     return F.expr("INTERVAL 0.000001 SECOND")
 
 
@@ -99,7 +99,7 @@ def without_overlaps(
     """
     t = registry.schema[start].dataType.simpleString()
     cols = registry.columns
-    open_end = F.coalesce(F.col(stop), F.lit(_FOREVER).cast(t))
+    open_end = F.coalesce(F.col(stop), F.lit(FOREVER).cast(t))
     base = registry.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     base = base.where(F.col(start).isNotNull()).withColumn("__stop", open_end)
     order = [start, "__stop", *tie]
@@ -119,12 +119,12 @@ def without_overlaps(
     clean = marked.where("__alone").select(*cols)
     mixed = marked.where(~F.col("__alone")).select(*cols, "__stop")
     pieces = in_force(mixed, keys, start, "__stop", tie, store)
-    end = F.least(F.col("__row.__stop"), F.col("__next") - _tick())
+    end = F.least(F.col("__row.__stop"), F.col("__next") - tick())
     rest = [c for c in cols if c not in (*keys, start, stop)]
     split = pieces.select(
         *keys,
         F.col("__at").alias(start),
-        F.when(end < F.lit(_FOREVER).cast(t), end).alias(stop),
+        F.when(end < F.lit(FOREVER).cast(t), end).alias(stop),
         *[F.col(f"__row.{c}").alias(c) for c in rest],
     ).select(*cols)
     return clean.unionByName(split)
@@ -144,7 +144,7 @@ def in_force(
     bound = lambda at, first: F.struct(at.alias("at"), F.lit(first).alias("first"))
     events = versions.select(
         *keys, row.alias("__row"),
-        F.explode(F.array(bound(F.col(start), True), bound(F.col(stop) + _tick(), False))).alias("__bound"),
+        F.explode(F.array(bound(F.col(start), True), bound(F.col(stop) + tick(), False))).alias("__bound"),
     ).select(*keys, "__row", F.col("__bound.at").alias("__at"), F.col("__bound.first").alias("__first"))
     one = F.lit(1).cast("bigint")
     numbered = store(

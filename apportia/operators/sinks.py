@@ -137,13 +137,13 @@ def assign_ids(
 
     Keys are numbered inside buckets and each bucket starts after the ones before it, so nothing
     is sorted in one task. The bucket is a hash of the key; a bucket that rises with the key
-    numbers them in key order and must be a number.
+    numbers them in key order and must be a number. New keys are stored once.
     """
     fresh = keys.select(key).where(F.col(key).isNotNull()).distinct()
     if key_map is not None:
         fresh = fresh.join(key_map.select(key), key, "left_anti")
     b = F.pmod(F.xxhash64(key), F.lit(4096)) if bucket is None else bucket
-    placed = fresh.withColumn("__bucket", b)
+    placed = cut_lineage(fresh.withColumn("__bucket", b))
     ranked = placed.withColumn(
         "__rank", F.row_number().over(W.partitionBy("__bucket").orderBy(key)).cast("bigint")
     )
@@ -168,6 +168,39 @@ def assign_ids(
     return new if key_map is None else key_map.select(key, "id").unionByName(new)
 
 
+def extend_map(
+    key_map: DataFrame | None, keys: DataFrame, cols: list[str], buckets: int, bucket: Column | None = None
+) -> DataFrame:
+    """Identity map (bucket, cols, id) of composite keys after the keys it lacks are added; null parts equal null.
+
+    Bucket b gives the ids b, b + buckets, b + 2 buckets and so on in key order, after the last it has given, so ids
+    need no offset from other buckets, and a bucket without new keys stays as it is. Choose ``buckets`` so
+    that one fits a task. The bucket is a hash of the key, or a number from 0 to buckets - 1.
+    """
+    b = F.pmod(F.xxhash64(*cols), F.lit(buckets)) if bucket is None else bucket
+    fresh = keys.select(*cols).distinct().select(b.cast("int").alias("bucket"), *cols, F.lit(None).cast("bigint").alias("id"))
+    both = fresh if key_map is None else key_map.select("bucket", *cols, "id").unionByName(fresh)
+    dealt = both.repartition("bucket").groupBy("bucket", *cols).agg(F.max("id").alias("id"))
+    mine = W.partitionBy("bucket")
+    nth = F.row_number().over(W.partitionBy("bucket", F.col("id").isNull()).orderBy(*cols)).cast("bigint")
+    first = F.coalesce(F.floor(F.max("id").over(mine) / buckets) + 1, F.lit(0))
+    new = (first + nth - 1) * buckets + F.col("bucket")
+    return dealt.select("bucket", *cols, F.coalesce("id", new).cast("bigint").alias("id"))
+
+
+def new_buckets(key_map: DataFrame, keys: DataFrame, cols: list[str], buckets: int, bucket: Column | None = None) -> list[int]:
+    """Buckets that get new keys; at most ``buckets`` numbers."""
+    b = F.pmod(F.xxhash64(*cols), F.lit(buckets)) if bucket is None else bucket
+    fresh = delete_null_safe(keys.select(*cols).distinct(), key_map, cols)
+    return sorted(r[0] for r in fresh.select(b.cast("int").alias("bucket")).distinct().collect())
+
+
+def delete_null_safe(rows: DataFrame, keys: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows whose key, null parts included, is not among the keys."""
+    right = keys.select(*[F.col(c).alias(f"__k_{c}") for c in cols])
+    return rows.join(right, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in cols]), "left_anti")
+
+
 # --- stored tables --------------------------------------------------------------------------
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from apportia.operators import spans
 from apportia.operators.history import one_second
+from apportia.operators.joins import FOREVER, tick
+from apportia.operators.spans import Measure
 
 
 def new_rows(stored: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
@@ -94,3 +96,38 @@ def merge_validity(
         )
     )
     return good.select(key, F.inline(rows)).distinct(), rejected
+
+
+def changed_spans(
+    old: DataFrame, new: DataFrame, keys: list[str], start: str, stop: str, attrs: list[str]
+) -> DataFrame:
+    """(keys, start, stop) of the spans in which the version in force differs in ``attrs``; null equals null.
+
+    Both registries are without overlaps, so each is a row of values along time. Their bounds are put in one
+    line per key, each side's value is carried along it, and where the two differ there is a span.
+    """
+    t = old.schema[start].dataType.simpleString()
+
+    def bounds(versions: DataFrame, side: str) -> DataFrame:
+        end = F.coalesce(F.col(stop), F.lit(FOREVER).cast(t)) + tick()
+        row = F.struct(*attrs)
+        point = lambda at, first, held: F.struct(at.alias("at"), F.lit(first).alias("first"), held.alias("held"))
+        both = F.array(point(F.col(start), True, row), point(end, False, F.when(F.lit(False), row)))
+        return versions.select(*keys, F.lit(side).alias("__side"), F.explode(both).alias("__b")).select(
+            *keys, "__side", F.col("__b.at").alias("__at"), F.col("__b.first").alias("__first"), F.struct("__b.held").alias("__held")
+        )
+
+    line = spans.running(
+        bounds(old, "old").unionByName(bounds(new, "new")), keys, ["__at", "__first", "__side"], spans.month_span("__at"),
+        {
+            "__old": Measure(F.when(F.col("__side") == "old", F.col("__held")), "last"),
+            "__new": Measure(F.when(F.col("__side") == "new", F.col("__held")), "last"),
+            "__after": spans.following(["__at"]),
+        },
+    )
+    # The last of bounds at one time has seen all of them; beyond the last time nothing is in force.
+    differs = ~F.col("__old.held").eqNullSafe(F.col("__new.held"))
+    end = F.col("__after.__at") - tick()
+    return line.where((F.col("__after.__at") > F.col("__at")) & differs).select(
+        *keys, F.col("__at").alias(start), F.when(end < F.lit(FOREVER).cast(t), end).alias(stop)
+    )

@@ -51,6 +51,11 @@ def registry_changed(
     One as-of join per side serves all days and types.
     """
     live = store(joins.without_overlaps(registry, ["state", "reg"], start, stop, ["muni"]))
+    return taken_again(docs, items, op_codes, live, start, stop, window, keys)
+
+
+def taken_again(docs, items, op_codes, live, start, stop, window=None, keys=DOC) -> DataFrame:
+    """``registry_changed`` with a registry that has no overlaps."""
     flagged = joins.participation_flag(items, op_codes, "op_code", "code", "code_participates")
     split = rollups.participation_split(flagged, keys)
     out = docs.join(split, keys, "left").withColumns(
@@ -84,6 +89,54 @@ def registry_changed(
     ).drop("__value", "__old", "__kept", "__both", "value_in", "value_out")
 
 
+#: What the registry gives to a stored document.
+TAKEN = tuple(f"{side}_{c}" for side in ("entry", "exit") for c in ("id", "status", "regime", "rural")) + ("appropriation",)
+
+
+def registry_reworked(
+    docs: DataFrame, items: DataFrame, op_codes: DataFrame, old: DataFrame, registry: DataFrame, start: str = "valid_from",
+    stop: str = "valid_to", window: tuple[str, str] | None = None, keys: list[str] = DOC, store=cut_lineage,
+) -> tuple[DataFrame, DataFrame]:
+    """(documents, keys of those taken again) after the registry changed from ``old``.
+
+    ``docs`` are stored with what ``old`` gave them (``TAKEN``). The two registries give for each party the spans
+    in which its version differs; only documents one of whose parties has such a span at their emission, and
+    only their items, go through ``registry_changed``. The result is what that gives for all.
+    """
+    before, live = (store(joins.without_overlaps(r, ["state", "reg"], start, stop, ["muni"])) for r in (old, registry))
+    changed = store(versions.changed_spans(before, live, ["state", "reg"], start, stop, ["id", "status", "regime", "rural"]))
+    marked = docs
+    for side in ("entry", "exit"):
+        marked = joins.as_of(
+            marked, changed.withColumn("hit", F.lit(True)), {f"{side}_state": "state", f"{side}_reg": "reg"}, "emitted_at", start, stop,
+            {"hit": f"__{side}_hit"}, [], window, disjoint=True,
+        )
+    marked = store(marked.withColumn("__hit", F.coalesce("__entry_hit", "__exit_hit", F.lit(False))))
+    touched = marked.where("__hit").select(*[c for c in docs.columns if c not in TAKEN])
+    again = taken_again(touched, joins.keep_matching(items, touched, keys), op_codes, live, start, stop, window, keys)
+    rest = marked.where("NOT __hit").select(*docs.columns)
+    return rest.unionByName(again.select(*docs.columns)), touched.select(*keys)
+
+
+def op_codes_reworked(
+    docs: DataFrame, items: DataFrame, old: DataFrame, op_codes: DataFrame, store=cut_lineage
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, items, keys of the documents taken again) after the list of operation codes changed from ``old``.
+
+    ``docs`` and ``items`` are stored as ``old`` settled them. A document without an item of a code that came or
+    went is settled already; the others go through ``op_codes_changed``, which gives the same for all.
+    """
+    one = lambda codes_, name: codes_.select("code").distinct().withColumn(name, F.lit(True))
+    moved = one(old, "was").join(one(op_codes, "is"), "code", "full").where("was IS NULL OR is IS NULL")
+    hit = store(joins.keep_matching(items, moved.select(F.col("code").alias("op_code")), ["op_code"]).select(*DOC).distinct())
+    new_docs, new_items = op_codes_changed(
+        joins.keep_matching(docs, hit, DOC), joins.keep_matching(items, hit, DOC), op_codes
+    )
+    return (
+        sinks.delete_keys(docs, hit, DOC).unionByName(new_docs), sinks.delete_keys(items, hit, DOC).unionByName(new_items), hit,
+    )
+
+
 def cancel_invoices(docs: DataFrame, keys: DataFrame, home_code: str = "52") -> DataFrame:
     """Listed invoices lose their value and get reason 10.
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apportia.operators import sinks
+from apportia.operators import commits, sinks
 from apportia.plans import rules as chain
+from apportia.session import cut_lineage
 
 PARTITIONS = ["doc_type", "period"]
 
@@ -39,3 +40,25 @@ def clear(spark: SparkSession, path: str, out: str, doc_type: int, periods: tupl
     if periods:
         gone = gone & F.col("period").between(*periods)
     sinks.clear_partitions(spark, path, out, ~gone, PARTITIONS)
+
+
+def extend_identity_map(
+    tables: commits.Tables, name: str, keys: DataFrame, cols: list[str], buckets: int, bucket: Column | None = None
+) -> list[int]:
+    """Add new composite keys to a stored map, partitioned by bucket; returns the buckets written again.
+
+    Other buckets are read for their keys only, and their files stay.
+    """
+    state = tables.state()
+    held = tables.read(name, state)
+    if held is None:
+        rows, touched = sinks.extend_map(None, keys, cols, buckets, bucket), list(range(buckets))
+    else:
+        touched = sinks.new_buckets(held, keys, cols, buckets, bucket)
+        here = (F.pmod(F.xxhash64(*cols), F.lit(buckets)) if bucket is None else bucket).isin(touched)
+        old = tables.read(name, state, lambda values: values[0] in touched)
+        rows = sinks.extend_map(old, keys.where(here), cols, buckets, bucket)
+    if touched:
+        rows = cut_lineage(rows)
+        tables.commit(state, {name: commits.Change(rows)})
+    return touched

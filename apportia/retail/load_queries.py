@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from apportia.plans import corrections, energy, goods, ledger, loose, references, reports, ticket, transport
 from apportia.retail import frames as R
 from apportia.retail.function_queries import kinds
-from apportia.retail.registry import query
+from apportia.retail.registry import ORACLE, query
 from apportia.retail.sql import CODES, using
 from apportia.session import cut_lineage
 from apportia.sources import tables
@@ -356,6 +356,55 @@ def correct_registry(spark, sf):
     return out.select("doc_id", "entry_id", "exit_id", "appropriation", "value_added", "reason")
 
 
+def registry_parts(spark, sf):
+    """(documents before any look-up, their items, registry before, registry now): each fifth version is new."""
+    t = F.col("total")
+    docs = R.purchases(spark, sf).withColumns({
+        "exit_reg": F.col("entry_reg") + 1, "exit_state": F.col("entry_state"), "reason": F.lit(None).cast("int"),
+        "value_added": t.cast("decimal(17,2)"),
+    })
+    items = docs.select("doc_id", F.explode(F.array(
+        F.struct(F.when(F.col("doc_id") % 4 == 0, "1999").otherwise("1101").alias("op_code"), (t - 1).cast("decimal(17,2)").alias("value_added")),
+        F.struct(F.lit("1999").alias("op_code"), F.lit(1).cast("decimal(17,2)").alias("value_added")),
+    )).alias("i")).select("doc_id", "i.*")
+    versions = R.versions(spark, sf).withColumnRenamed("event_id", "id")
+    return docs, items, versions.where("id % 5 <> 0"), versions
+
+
+def registry_reworked(spark, sf):
+    docs, items, before, now = registry_parts(spark, sf)
+    codes = R.codes_frame(spark)
+    held = cut_lineage(corrections.registry_changed(docs, items, codes, before, keys=["doc_id"]))
+    return held, *corrections.registry_reworked(held, items, codes, before, now, keys=["doc_id"])
+
+
+@query(ORACLE["correct_registry"].replace(
+    "CASE WHEN total < 5 THEN 10 WHEN total < 20 THEN 11 WHEN total < 30 THEN 12 WHEN total < 35 THEN 14 END AS old", "CAST(NULL AS INTEGER) AS old"
+))
+def correct_registry_changes(spark, sf):
+    """Stored documents after new versions came: only those in whose span of a party something changed are taken again."""
+    _, out, _ = registry_reworked(spark, sf)
+    return out.select("doc_id", "entry_id", "exit_id", "appropriation", "value_added", "reason")
+
+
+def settled_before(spark, sf):
+    """Documents and items as the former list of codes settled them."""
+    return tuple(cut_lineage(f) for f in corrections.op_codes_changed(*stored(spark, sf), R.codes_frame(spark)))
+
+
+MOVED_CODES = (*[c for c in R.COUNTED_CODES if c != "1101"], "1410")
+
+
+@query(using("docs", then=UNIQUE + f""", n AS (SELECT order_key, supplier_key, SUM(CASE WHEN op_code IN {MOVED_CODES} THEN value_added ELSE 0 END) AS v FROM ui GROUP BY 1, 2)
+    SELECT order_key || '-' || supplier_key AS access_key, CAST(CASE WHEN reason IN (10, 11) THEN value_added ELSE v END AS DOUBLE) AS value_added,
+    CAST(CASE WHEN reason IN (10, 11) THEN reason WHEN v = 0 THEN 12 END AS INTEGER) AS reason FROM docs JOIN n USING (order_key, supplier_key)"""))
+def correct_op_code_changes(spark, sf):
+    """One code came and one went: documents with neither are not touched."""
+    docs, items = settled_before(spark, sf)
+    out, _, _ = corrections.op_codes_reworked(docs, items, R.codes_frame(spark), R.codes_frame(spark, MOVED_CODES))
+    return out.select("access_key", "value_added", "reason")
+
+
 OPPOSITE = UNIQUE + """, mirror AS (SELECT * FROM (VALUES ('5101', '1101'), ('5102', '1102'), ('5116', '1116'), ('5201', '1201'), ('5410', '1410')) t(x, e)),
     both_ways AS (SELECT x AS code, e AS other FROM mirror UNION ALL SELECT e, x FROM mirror),
     ti AS (SELECT u.*, d.value_added AS doc_value, s_nationkey AS exit_reg, c_nationkey AS entry_reg, substr(product_code || '000000', 7, 2) AS product FROM ui u

@@ -9,8 +9,9 @@ from apportia.functions import rules
 from apportia.operators import joins, pairs, results, rollups
 from apportia.plans import energy, invoices, ledger, loose, telecom, transport
 from apportia.retail import frames as R
-from apportia.retail.registry import query
-from apportia.retail.sql import CODES, text, using
+from apportia.retail.registry import ORACLE, query
+from apportia.retail.sql import CODES, PARTS, text, using
+from apportia.session import cut_lineage
 
 DOC_COLUMNS = """order_key, supplier_key, doc_type, period, CAST(value_added AS DOUBLE) AS value_added,
     CAST(value_out AS DOUBLE) AS value_out, appropriation, CAST(reason AS INTEGER) AS reason"""
@@ -46,6 +47,41 @@ def municipal_index(spark, sf):
     return index.select("year", "muni", "va_muni", "va_state", units.alias("share_units"))
 
 
+def reloaded_month(spark, sf):
+    """(documents that go, those that come): a month is loaded again with every second order, at twice the value."""
+    docs = cut_lineage(R.documents(spark, sf))
+    gone = docs.where("period = 199703")
+    twice = (2 * F.col("value_added")).cast("decimal(17,2)")
+    return docs, gone, gone.where("order_key % 2 = 0").withColumn("value_added", twice)
+
+
+RELOADED_VA = """, changed AS (SELECT * REPLACE (CASE WHEN period = 199703 THEN 2 * value_added ELSE value_added END AS value_added) FROM docs
+    WHERE NOT (period = 199703 AND order_key % 2 = 1)), va AS (""" + PARTS["va"].replace("FROM docs d", "FROM changed d") + ")"
+
+
+def refreshed_totals(spark, sf):
+    docs, gone, come = reloaded_month(spark, sf)
+    registry, munis = R.registry(spark, sf), R.munis(spark, sf)
+    before = cut_lineage(results.value_counted(docs.withColumn("__sign", F.lit(1)), registry, munis, R.HOME))
+    change = cut_lineage(results.value_change(gone, come, registry, munis, R.HOME))
+    return before, change, results.merge_totals(before, change), munis
+
+
+@query(using("docs", "registry", then=RELOADED_VA + " SELECT doc_type, period, direction, reg, muni, CAST(value_added AS DOUBLE) AS value_added FROM va"))
+def value_added_refreshed(spark, sf):
+    """Stored totals after a reload, by what it takes away and adds."""
+    return refreshed_totals(spark, sf)[2].drop("documents")
+
+
+@query(using("docs", "registry", then=RELOADED_VA + ORACLE["municipal_index"].split("GROUP BY 1, 2, 3, 4, 5)", 1)[1].replace(" FROM total", " FROM total WHERE year = 1997")))
+def index_refreshed(spark, sf):
+    """The index of the year that a reload touched, from the municipalities that it touched."""
+    before, change, totals, munis = refreshed_totals(spark, sf)
+    index = results.refreshed_index(results.municipal_index(before, munis, R.HOME), totals, change, munis, R.HOME)
+    units = (F.col("share") * F.lit(10**16).cast("decimal(17,0)")).cast("bigint")
+    return index.select("year", "muni", "va_muni", "va_state", units.alias("share_units"))
+
+
 @query(using("items", then=f"""SELECT order_key, supplier_key, bool_or(op_code IN ({CODES})) AS code_participates,
     bool_or(substr(product_code, 7) IN ('1', '2', '3')) AS product_participates,
     CAST(SUM(CASE WHEN op_code IN ({CODES}) THEN value_added ELSE 0 END) AS DOUBLE) AS value_added,

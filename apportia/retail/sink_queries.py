@@ -340,3 +340,19 @@ def stored_mark(spark, sf):
     return store.read("orders", state).groupBy("year").agg(
         F.sum("total").alias("total"), F.count(F.lit(1)).alias("orders")
     ).withColumn("mark", F.lit(state.marks["orders"]))
+
+
+@query("""WITH k AS (SELECT DISTINCT l_orderkey, l_suppkey, l_orderkey % 16 AS bucket, o_orderstatus = 'O' AS old FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+    r AS (SELECT *, row_number() OVER (PARTITION BY bucket, old ORDER BY l_orderkey, l_suppkey) - 1 AS nth, COUNT(*) FILTER (old) OVER (PARTITION BY bucket) AS held FROM k)
+    SELECT CAST(bucket AS INTEGER) AS bucket, l_orderkey, l_suppkey, (CASE WHEN old THEN nth ELSE held + nth END) * 16 + bucket AS id FROM r""")
+def identity_map(spark, sf):
+    """Ids of (order, supplier) keys: those of open orders are stored first, all others are added to their buckets."""
+    from apportia.plans import store
+
+    tables = commits.Tables(spark, folder_of(spark, "ids"), ["bucket"])
+    lines = R.table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey")
+    known = lines.join(R.table(spark, sf, "orders").where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
+    cols, bucket = ["l_orderkey", "l_suppkey"], F.col("l_orderkey") % 16
+    store.extend_identity_map(tables, "ids", known, cols, 16, bucket)
+    store.extend_identity_map(tables, "ids", lines, cols, 16, bucket)
+    return tables.read("ids").select("bucket", *cols, "id")
