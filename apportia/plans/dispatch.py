@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apportia import constants as K
+from apportia import schemas
 from apportia.functions import dates
-from apportia.operators import commits, sinks
-from apportia.plans import energy, goods, ledger, references, ticket, transport
+from apportia.operators import commits, joins, sinks
+from apportia.plans import energy, goods, ledger, loose, references, telecom, ticket, transport
 from apportia.plans.store import PARTITIONS
 from apportia.session import cut_lineage
 from apportia.sources import tables
 
 DOC_TYPE = {
     "goods": K.ISSUED_INVOICE, "consumer": K.CONSUMER_INVOICE, "transport": K.TRANSPORT, "energy": K.ENERGY,
-    "ticket": K.TICKET, "ledger": K.LEDGER,
+    "ticket": K.TICKET, "ledger": K.LEDGER, "received": K.RECEIVED_INVOICE, "loose": K.LOOSE_INVOICE, "telecom": K.TELECOM,
 }
 
 
@@ -26,16 +27,21 @@ def prepare(
 ) -> tuple[DataFrame, DataFrame | None]:
     """(documents, items) of a kind for a whole window; a window of many days is one job."""
     read = lambda name: tables.read_section(spark, catalog, name, window, key, where)
-    if kind in ("goods", "consumer"):
+    if kind in ("goods", "consumer", "received"):
         ref = references.load(spark, catalog)
-        return goods.load(
-            spark, catalog, ref, registry, run_id, window, key, where, "55" if kind == "goods" else "65", home, store
-        )
+        model = "65" if kind == "consumer" else "55"
+        return goods.load(spark, catalog, ref, registry, run_id, window, key, where, model, home, store, kind == "received")
+    if kind == "loose":
+        live = store(joins.without_overlaps(registry, ["state", "reg"], "valid_from", "valid_to", ["muni"]))
+        return loose.load(read("loose_note"), read("loose_party"), live, run_id, window), None
+    if kind == "telecom":
+        return telecom.load(read("telecom_doc"), read("telecom_item"), references.load(spark, catalog), run_id)
     if kind == "transport":
         names = ("transport_doc", "transport_value", "transport_event")
         return transport.run({n: read(n) for n in names}, run_id, home), None
     if kind == "energy":
-        return energy.run(read("energy_doc"), [read("energy_total")], read("energy_event"), run_id, home), None
+        totals = [read(n) for n in schemas.ENERGY_TOTALS if n in catalog] or [read("energy_total")]
+        return energy.run(read("energy_doc"), totals, read("energy_event"), run_id, home), None
     if kind == "ticket":
         names = ("ticket_doc", "ticket_event", "ticket_detail", "ticket_trip", "ticket_payment", "ticket_component")
         return ticket.run({n: read(n) for n in names}, references.load(spark, catalog), run_id)

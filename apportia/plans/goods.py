@@ -77,9 +77,9 @@ SECTIONS = (
 
 def run(
     parts: dict[str, DataFrame], ref: References, registry: DataFrame, run_id: int, model: str = "55",
-    home: str = K.HOME_STATE, window: tuple[str, str] | None = None, store=lambda df: df,
+    home: str = K.HOME_STATE, window: tuple[str, str] | None = None, store=lambda df: df, received: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(documents, items) in the unified layout, participating documents only.
+    """(documents, items) in the unified layout, participating documents only; ``received``: those issued elsewhere.
 
     Items are flagged and rolled up before the documents are joined. ``registry`` must have no
     overlapping versions (``joins.without_overlaps``). ``store`` may materialise flagged items and
@@ -88,6 +88,8 @@ def run(
     items = store(chain.apply_to_items(prepare_items(parts), ref).withColumn(
         "item_doc_type", F.lit(None).cast("int")
     ))
+    if received:
+        parts = parts | {"goods_header": parts["goods_header"].where(~codes.issued_at_home("access_key"))}
     docs = chain.apply_to_documents(prepare_documents(parts, model, home), ref)
     docs = joins.fan_in(docs, [rollups.item_rollup(items, "access_key")], ["access_key"])
     docs = docs.withColumns(
@@ -108,7 +110,7 @@ def run(
     )
     docs = docs.withColumn("appropriation", side_appropriation())
     kept = docs.where(F.col("reason").isNull())
-    doc_type = K.ISSUED_INVOICE if model == "55" else K.CONSUMER_INVOICE
+    doc_type = K.RECEIVED_INVOICE if received else K.ISSUED_INVOICE if model == "55" else K.CONSUMER_INVOICE
     documents = store(chain.project_documents(kept, doc_type, run_id))
     items_kept = joins.keep_matching(items, documents, ["access_key"])
     return documents, chain.project_items(items_kept, doc_type, run_id)
@@ -134,8 +136,8 @@ def side_appropriation():
 def load(
     spark: SparkSession, catalog: tables.Catalog, ref: References, registry: DataFrame, run_id: int,
     window: tuple[str, str], key: str | None = None, where: str | None = None, model: str = "55",
-    home: str = K.HOME_STATE, store=lambda df: df,
+    home: str = K.HOME_STATE, store=lambda df: df, received: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     parts = {n: tables.read_section(spark, catalog, n, window, key, where) for n in SECTIONS}
     live = joins.without_overlaps(registry, ["state", "reg"], "valid_from", "valid_to", ["muni"])
-    return run(parts, ref, store(live), run_id, model, home, window, store)
+    return run(parts, ref, store(live), run_id, model, home, window, store, received)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from apportia import constants as K
-from apportia.functions import rules
+from apportia.functions import codes, rules
 
 ISSUER, RECIPIENT = 2, 3
 
@@ -59,3 +59,21 @@ def run(docs: DataFrame, run_id: int) -> DataFrame:
     settled = settle(docs.withColumn("appropriation", goods.side_appropriation()))
     return chain.project_documents(settled, K.LOOSE_INVOICE, run_id)
 
+
+def load(
+    notes: DataFrame, parties: DataFrame, registry: DataFrame, run_id: int, window: tuple[str, str] | None = None
+) -> DataFrame:
+    """Documents of notes and their party rows: the issuer is the exit side, the recipient the entry side.
+
+    ``registry`` has no overlapping versions.
+    """
+    from apportia.plans import goods
+
+    docs = notes.join(roles(parties), "note_id", "left").withColumn("emitted_at", F.col("emitted"))
+    for side, role in (("exit", "issuer"), ("entry", "recipient")):
+        docs = docs.withColumns({
+            f"{side}_reg": codes.registration(f"{role}_reg"), f"{side}_muni": codes.muni_number(f"{role}_muni", 7),
+            f"{side}_state": F.upper(F.trim(f"{role}_state")),
+        })
+        docs = goods.attach_registry(docs, registry, side, window)
+    return run(docs.withColumn("value_added", rules.amount("value")), run_id)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from apportia.plans import corrections, energy, goods, ledger, loose, references, reports, ticket, transport
+from apportia.plans import corrections, dispatch, energy, goods, ledger, loose, references, reports, ticket, transport
 from apportia.retail import frames as R
 from apportia.retail.function_queries import kinds
 from apportia.retail.registry import ORACLE, query
@@ -356,6 +356,88 @@ def correct_registry(spark, sf):
     return out.select("doc_id", "entry_id", "exit_id", "appropriation", "value_added", "reason")
 
 
+ALL_DAYS = ("1992-01-01 00:00:00", "2002-12-31 23:59:59")
+
+
+@query(ORACLE["goods_load"].replace("10 AS doc_type", "2 AS doc_type") + " WHERE CAST(k AS VARCHAR) NOT LIKE '52%'")
+def received_load(spark, sf):
+    """Invoices issued elsewhere, through the entry point of the loads."""
+    docs, _ = dispatch.prepare(
+        spark, "received", goods_catalog(spark, sf), ALL_DAYS, 1, two_phase_registry(spark, sf), home=R.HOME, store=cut_lineage
+    )
+    return docs.select("access_key", "doc_type", "entry_reg", "exit_reg", "period", "total", "value_added", "appropriation")
+
+
+def loose_catalog(spark, sf) -> dict:
+    """Notes from orders; the customer issues, one in a thousand receives, and some notes have a third role."""
+    h = order_heads(spark, sf)
+    to = F.when(F.col("o_orderpriority") == "2-HIGH", R.HOME.lower()).otherwise("X")
+    party = lambda role, reg, state: F.struct(F.lit(role).alias("role"), reg.cast("string").alias("reg"), F.lit(None).cast("string").alias("muni"), state.alias("state"))
+    return {
+        "loose_note": h.select(
+            F.col("o_orderkey").cast("string").alias("access_key"), F.col("o_orderkey").alias("note_id"), F.col("o_orderdate").cast("timestamp").alias("emitted"),
+            R.dec("o_totalprice").alias("total"), R.dec("o_totalprice").alias("value"), F.when(F.col("o_orderstatus") == "P", "VOID").otherwise("NORMAL").alias("note_status"),
+        ),
+        "loose_party": h.select(F.col("o_orderkey").alias("note_id"), F.explode(F.array(
+            party(2, F.col("o_custkey"), F.col("state")), party(3, F.col("o_orderkey") % 1000, to), party(4, F.col("o_orderkey"), F.lit("X")),
+        )).alias("p")).select("note_id", "p.*"),
+    }
+
+
+@query(using("customers", "munis", then=PHASES + f""", n AS (SELECT o_orderkey AS k, o_custkey AS exit_reg, m.state AS exit_state, o_orderkey % 1000 AS entry_reg,
+        CASE WHEN o_orderpriority = '2-HIGH' THEN '{R.HOME}' ELSE 'X' END AS entry_state, o_orderdate AS seen, o_orderstatus, CAST(o_totalprice AS DECIMAL(17,2)) AS v
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN munis m ON m.muni = c_nationkey),
+    s AS (SELECT n.*, COALESCE(x.status = '1' AND (x.regime = '2' OR x.rural), false) AS x_ok, COALESCE(e.status = '1' AND (e.regime = '2' OR e.rural), false) AS e_ok,
+        COALESCE(x.status <> '1' OR x.regime IN ('3', '4', '5'), true) AND COALESCE(e.status <> '1' OR e.regime IN ('3', '4', '5'), true) AS parties_out
+        FROM n LEFT JOIN phases x ON x.reg = exit_reg AND x.state = exit_state AND seen BETWEEN x.valid_from AND COALESCE(x.valid_to, seen)
+        LEFT JOIN phases e ON e.reg = entry_reg AND e.state = entry_state AND seen BETWEEN e.valid_from AND COALESCE(e.valid_to, seen))
+    SELECT CAST(k AS VARCHAR) AS access_key, 4 AS doc_type, CAST(entry_reg AS DOUBLE) AS entry_reg, CAST(exit_reg AS DOUBLE) AS exit_reg, CAST(v AS DOUBLE) AS value_added,
+        CASE WHEN x_ok AND e_ok THEN 'A' WHEN e_ok THEN 'E' WHEN x_ok THEN 'S' ELSE 'N' END AS appropriation,
+        CAST(CASE WHEN parties_out THEN 11 WHEN o_orderstatus = 'P' THEN 10 END AS INTEGER) AS reason FROM s"""))
+def loose_dispatch(spark, sf):
+    """Loose invoices from notes and party rows, through the entry point of the loads."""
+    docs, _ = dispatch.prepare(spark, "loose", loose_catalog(spark, sf), ALL_DAYS, 1, two_phase_registry(spark, sf), home=R.HOME)
+    return docs.select("access_key", "doc_type", "entry_reg", "exit_reg", "value_added", "appropriation", "reason")
+
+
+def telecom_catalog(spark, sf) -> dict:
+    h, line = order_heads(spark, sf), R.table(spark, sf, "lineitem")
+    gross = R.dec("l_extendedprice")
+    none = F.lit(None).cast("string")
+    return {n: f for n, f in goods_catalog(spark, sf).items() if not n.startswith("goods")} | {
+        "telecom_doc": h.select(
+            F.col("o_orderkey").cast("string").alias("access_key"), F.col("o_orderdate").cast("timestamp").alias("emitted"), R.dec("o_totalprice").alias("total"),
+            F.lit("77").alias("issuer_reg"), none.alias("issuer_muni"), F.lit("x").alias("issuer_state"), F.col("o_custkey").cast("string").alias("recipient_reg"),
+            F.col("c_nationkey").cast("string").alias("recipient_muni"), F.col("state").alias("recipient_state"),
+        ),
+        "telecom_item": line.select(
+            F.col("l_orderkey").cast("string").alias("access_key"), F.col("l_linenumber").cast("int").alias("item_no"),
+            F.when(F.col("l_linestatus") == "O", "5.101").otherwise("1949").alias("op_code"), F.col("l_tax").cast("decimal(9,4)").alias("rate"), gross.alias("base"),
+            R.part_of(gross, "l_tax").alias("exempt"), F.when(F.col("l_returnflag") == "R", "S").otherwise("N").alias("situation"),
+        ),
+    }
+
+
+TELECOM = """WITH f AS (SELECT l_orderkey AS k, l_linestatus = 'O' AND l_returnflag <> 'R' AS counted, CASE WHEN l_tax <> 0 THEN CAST(l_extendedprice AS DECIMAL(17,2))
+    + CAST(CAST(l_extendedprice AS DECIMAL(17,2)) * CAST(l_tax AS DECIMAL(5,2)) AS DECIMAL(17,2)) ELSE 0 END AS v, * FROM lineitem)"""
+
+
+@query(TELECOM + """, s AS (SELECT k, SUM(CASE WHEN counted THEN v ELSE 0 END) AS v FROM f GROUP BY 1)
+    SELECT CAST(o_orderkey AS VARCHAR) AS access_key, 6 AS doc_type, CAST(o_custkey AS DOUBLE) AS entry_reg, CAST(COALESCE(v, 0) AS DOUBLE) AS value_added, 'E' AS appropriation,
+        CAST(CASE WHEN COALESCE(v, 0) = 0 THEN 12 END AS INTEGER) AS reason FROM orders LEFT JOIN s ON k = o_orderkey""")
+def telecom_load(spark, sf):
+    """Telecom documents and items, through the entry point of the loads."""
+    docs, _ = dispatch.prepare(spark, "telecom", telecom_catalog(spark, sf), ALL_DAYS, 1)
+    return docs.select("access_key", "doc_type", "entry_reg", "value_added", "appropriation", "reason")
+
+
+@query(TELECOM + """ SELECT CAST(k AS VARCHAR) AS access_key, CAST(l_linenumber AS INTEGER) AS item_no, CAST(v AS DOUBLE) AS value_added,
+    CAST(CASE WHEN l_returnflag = 'R' THEN 10 WHEN l_linestatus <> 'O' THEN 1 END AS INTEGER) AS reason FROM f WHERE k IN (SELECT o_orderkey FROM orders)""")
+def telecom_load_items(spark, sf):
+    _, items = dispatch.prepare(spark, "telecom", telecom_catalog(spark, sf), ALL_DAYS, 1)
+    return items.select("access_key", "item_no", "value_added", "reason")
+
+
 def registry_parts(spark, sf):
     """(documents before any look-up, their items, registry before, registry now): each fifth version is new."""
     t = F.col("total")

@@ -68,7 +68,10 @@ class Section:
 
 
 #: Sections that hold the documents themselves, or the items their value is made of.
-MAIN_SECTIONS = ("goods_header", "goods_item", "transport_doc", "energy_doc", "ticket_doc", "ledger_document")
+MAIN_SECTIONS = (
+    "goods_header", "goods_item", "transport_doc", "energy_doc", "ticket_doc", "ledger_document", "loose_note",
+    "telecom_doc", "telecom_item",
+)
 SECTIONS = {
     "goods_header": Section(
         struct(
@@ -196,6 +199,23 @@ SECTIONS = {
         struct("access_key string, kind string, at timestamp"), None, "timestamp",
         {"access_key": ("chnf3e",), "kind": ("tpevento",), "at": ("dhevento",)},
     ),
+    "loose_note": Section(
+        struct("access_key string, note_id bigint, emitted timestamp, total decimal(17,2), value decimal(17,2), note_status string"),
+        "emitted", "timestamp",
+    ),
+    "loose_party": Section(struct("note_id bigint, role int, reg string, muni string, state string")),
+    "telecom_doc": Section(
+        struct(
+            "access_key string, emitted timestamp, total decimal(17,2), issuer_reg string, issuer_muni string, issuer_state string,"
+            "recipient_reg string, recipient_muni string, recipient_state string"
+        ),
+        "emitted", "timestamp",
+    ),
+    "telecom_item": Section(
+        struct(
+            "access_key string, item_no int, op_code string, rate decimal(9,4), base decimal(17,2), exempt decimal(17,2), situation string"
+        )
+    ),
     "energy_total": Section(
         struct("access_key string, total decimal(17,2), gross decimal(17,2)"), None, "timestamp",
         {"access_key": ("chnf3e",), "total": ("total_vnf", "vnf", "ggrandfat_vfat"), "gross": ("total_vprod", "vprod", "ggrandfat_vfat")},
@@ -262,3 +282,7 @@ SECTIONS = {
         struct("start date, stop date"), None, "timestamp", {"start": ("DT_INI",), "stop": ("DT_FIN",)}
     ),
 }
+
+#: Bills may have their totals in up to three tables of one layout; the first that knows a bill counts.
+ENERGY_TOTALS = ("energy_total", "energy_total_2", "energy_total_3")
+SECTIONS |= dict.fromkeys(ENERGY_TOTALS, SECTIONS["energy_total"])

@@ -11,7 +11,7 @@ from apportia import schemas, session
 from apportia.operators import sinks
 from apportia.plans import dispatch, imports, ledger, results
 from apportia.retail import frames as R
-from apportia.retail.load_queries import goods_catalog, ledger_parts, ticket_parts, two_phase_registry
+from apportia.retail.load_queries import goods_catalog, ledger_parts, loose_catalog, telecom_catalog, ticket_parts, two_phase_registry
 from apportia.sources import tables
 from apportia.streaming import incremental
 
@@ -209,22 +209,34 @@ def test_part_month_loads_replace_their_window_only(spark, rows, tmp_path):
     assert spark.read.parquet(items).join(left, "access_key", "left_anti").count() == 0
 
 
-@pytest.mark.parametrize("kind", ["consumer", "transport", "energy", "ticket", "ledger"])
+@pytest.mark.parametrize("kind", ["consumer", "transport", "energy", "ticket", "ledger", "received", "loose", "telecom"])
 def test_dispatch_kinds(spark, kind):
     catalog = goods_catalog(spark, SF)
     catalog |= ticket_parts(spark, SF)
     catalog |= dict(zip(("ledger_document", "ledger_item", "ledger_period"), ledger_parts(spark, SF)))
     catalog |= {n: spark.createDataFrame([], schemas.SECTIONS[n].schema) for n in ("transport_doc", "energy_doc")}
+    catalog |= loose_catalog(spark, SF) | telecom_catalog(spark, SF)
     registry = two_phase_registry(spark, SF)
     docs, items = dispatch.prepare(spark, kind, catalog, ("1995-01-01 00:00:00", "2002-01-01 00:00:00"), 1, registry, home=R.HOME)
     assert docs.schema.names == schemas.DOCUMENT.names
-    assert docs.count() >= (1 if kind in ("consumer", "ticket", "ledger") else 0)
+    assert docs.count() >= (0 if kind in ("transport", "energy") else 1)
     if items is not None:
         assert items.schema.names == schemas.ITEM.names
     with pytest.raises(ValueError):
         dispatch.prepare(spark, "other", catalog, ("a", "b"), 1)
 
 
+def test_energy_totals_come_from_up_to_three_tables(spark):
+    head = {"access_key": "k", "emitted": datetime(2024, 1, 5), "model": "66", "environment": "1", "issuer_state": "GO", "issuer_reg": "7"}
+    schema = schemas.SECTIONS["energy_doc"].schema
+    docs = spark.createDataFrame([tuple((head | {"access_key": k}).get(f.name) for f in schema.fields) for k in "abcd"], schema)
+    total = lambda *rows: spark.createDataFrame([(k, D(v), D(v)) for k, v in rows], "access_key string, total decimal(17,2), gross decimal(17,2)")
+    catalog = {"energy_doc": docs, "energy_total": total(("a", 1)), "energy_total_2": total(("a", 2), ("b", 2)), "energy_total_3": total(("b", 3), ("c", 3))}
+    out, _ = dispatch.prepare(spark, "energy", catalog, ("2024-01-01 00:00:00", "2024-01-31 23:59:59"), 1, home="GO")
+    got = {r.access_key: r.total for r in out.collect()}
+    assert (got["a"], got["b"], got["c"]) == (1, 2, 3) and not got["d"]
+
+
 def test_stored_results(spark, tmp_path):
     """Value added and index replace their own slice."""
     va, index = str(tmp_path / "va"), str(tmp_path / "index")
