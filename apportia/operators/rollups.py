@@ -154,6 +154,21 @@ def approximate_documents(df: DataFrame, key: str, rsd: float = 0.02) -> DataFra
     return df.agg(F.approx_count_distinct(key, rsd).alias("documents"))
 
 
+def count_sketches(df: DataFrame, by: list[str], key: str, precision: int = 14) -> DataFrame:
+    """(by, sketch, rows): a mergeable sketch of the distinct keys of each group, of bounded size.
+
+    The key is a whole number, a text or bytes. Stored by day and type, sketches answer for any window without
+    its rows; a day loaded again replaces its own. The standard error is about 1.04 / sqrt(2^precision).
+    """
+    return df.groupBy(*by).agg(F.hll_sketch_agg(key, F.lit(precision)).alias("sketch"), F.count(F.lit(1)).alias("rows"))
+
+
+def sketched_count(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """(by, documents, rows): estimated distinct keys of all sketches of a group, merged."""
+    merged = sketches.groupBy(*by).agg(F.hll_union_agg("sketch").alias("sketch"), F.sum("rows").alias("rows"))
+    return merged.select(*by, F.hll_sketch_estimate("sketch").alias("documents"), "rows")
+
+
 def parties_seen(
     docs: DataFrame, entry: tuple[str, str, str], exit_: tuple[str, str, str], home: str = K.HOME_STATE
 ) -> DataFrame:

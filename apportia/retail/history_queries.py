@@ -366,3 +366,18 @@ def registry_log(spark, sf):
     none = periods(spark, sf).where("false")
     regimes = history.regime_changes(none, "reg", "start", "stop", "option_no", drop_all=True)
     return history.log_rows(raw, held, rural, streets, regimes).drop("seq")
+
+
+@query("""SELECT event_type, COUNT(DISTINCT user_id) AS exact, COUNT(*) AS rows, true AS within FROM events
+    WHERE ts::DATE BETWEEN DATE '2024-01-05' AND DATE '2024-01-18' GROUP BY 1""")
+def sketched_window(spark, sf):
+    """Distinct users of two weeks from sketches kept by day and type: the exact count, and whether the estimate is near it."""
+    e = R.table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    inside = F.col("day").between("2024-01-05", "2024-01-18")
+    kept = rollups.count_sketches(e, ["event_type", "day"], "user_id")
+    merged = rollups.sketched_count(kept.where(inside), ["event_type"])
+    exact = e.where(inside).groupBy("event_type").agg(F.count_distinct("user_id").alias("exact"))
+    error = 5 * 1.04 / 2**7
+    return merged.join(exact, "event_type").select(
+        "event_type", "exact", "rows", (F.abs(F.col("documents") - F.col("exact")) <= F.lit(error) * F.col("exact")).alias("within")
+    )

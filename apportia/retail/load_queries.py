@@ -548,6 +548,30 @@ def listing_by_registration(spark, sf):
     return reports.listing(docs, within, ["access_key"]).select("access_key", "reason")
 
 
+def listed(spark, sf, within):
+    return reports.listing(R.keyed(R.documents(spark, sf)), within, ["access_key"]).select("access_key", "reason")
+
+
+LISTED = "SELECT order_key || '-' || supplier_key AS access_key, CAST(reason AS INTEGER) AS reason FROM docs WHERE "
+
+
+@query(using("docs", then=LISTED + "order_key % 1000 = 7 AND supplier_key = (SELECT MIN(l_suppkey) FROM lineitem WHERE l_orderkey = 7) AND order_key = 7"))
+def listing_by_key(spark, sf):
+    """One document by its access key."""
+    first = R.table(spark, sf, "lineitem").where("l_orderkey = 7").agg(F.min("l_suppkey").alias("s")).first()["s"]
+    return listed(spark, sf, reports.scope(access_key=f"7-{first}"))
+
+
+@query(using("docs", then=LISTED + "period BETWEEN 199702 AND 199704"))
+def listing_by_period(spark, sf):
+    return listed(spark, sf, reports.scope(periods=(199702, 199704)))
+
+
+@query(using("docs", then=LISTED + "doc_type = 2 AND period BETWEEN 199801 AND 199803"))
+def listing_by_type(spark, sf):
+    return listed(spark, sf, reports.scope(doc_type=2, periods=(199801, 199803)))
+
+
 @query(using("customers", "munis", "docs", then=PHASES + f""", v AS (SELECT order_key, supplier_key, SUM(value_added) AS value_added FROM items WHERE op_code IN ('5101', '5102', '5116') GROUP BY 1, 2)
     SELECT order_key || '-' || supplier_key AS access_key, d.period, CAST(COALESCE(p.muni, 0) AS INTEGER) AS known_muni, CAST(COALESCE(p.reg, 0) AS BIGINT) AS known_reg,
         d.entry_reg + 1 AS option_reg, CAST(v.value_added AS DOUBLE) AS value_added

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from apportia import constants as K
+from apportia import schemas
 from apportia.functions import codes, dates, rules
 from apportia.operators import joins, rollups
 from apportia.retail import frames as R
 from apportia.retail.registry import query
 from apportia.retail.sql import text, using
+from apportia.session import shared_folder
 from apportia.sources import extracts, tables
 
 WINDOW = ("1997-01-01 00:00:00", "1997-12-31 23:59:59")
@@ -238,17 +242,18 @@ def telecom_extract(spark, sf):
 
 
 @query("""SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'O' THEN 'E' ELSE 'S' END AS direction_code,
-    CAST(CASE WHEN o_orderstatus = 'O' THEN c_nationkey ELSE o_orderkey % 25 END AS INTEGER) AS entry_muni,
+    CAST(CASE WHEN o_orderstatus = 'O' THEN c.c_nationkey ELSE o_orderkey % 25 END AS INTEGER) AS entry_muni,
     CASE WHEN o_orderstatus = 'O' THEN r.r_name ELSE r2.r_name END AS entry_state,
-    CAST(CASE WHEN o_orderstatus = 'O' THEN (CASE WHEN c_acctbal < 0 THEN NULLIF(c_custkey, 0) ELSE c_custkey + 500 END) END AS BIGINT) AS entry_reg
-    FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation n ON n.n_nationkey = c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
+    CAST(CASE WHEN o_orderstatus = 'O' THEN (CASE WHEN c.c_acctbal < 0 THEN NULLIF(c.c_custkey, 0) ELSE c.c_custkey + 500 END)
+        ELSE CASE WHEN c2.c_acctbal < 0 THEN NULLIF(c2.c_custkey, 0) ELSE c2.c_custkey + 500 END END AS BIGINT) AS entry_reg
+    FROM orders JOIN customer c ON o_custkey = c.c_custkey LEFT JOIN customer c2 ON c2.c_custkey = o_orderkey % 2000 JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
     JOIN nation n2 ON n2.n_nationkey = o_orderkey % 25 JOIN region r2 ON r2.r_regionkey = n2.n_regionkey""")
 def loose_extract(spark, sf):
     """Star join with both roles; the sentinel party takes the registration it stated."""
     o, c = R.table(spark, sf, "orders"), R.table(spark, sf, "customer")
     facts = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").alias("id"), F.when(F.col("o_orderstatus") == "O", 3).otherwise(1).alias("operation"),
-        F.col("o_custkey").alias("sender_party"), F.lit(-1).cast("bigint").alias("receiver_party"),
+        F.col("o_custkey").alias("sender_party"), (F.col("o_orderkey") % 2000).alias("receiver_party"),
         F.col("c_nationkey").alias("sender_muni"), (F.col("o_orderkey") % 25).cast("int").alias("receiver_muni"),
         F.to_date("o_orderdate").alias("day_id"),
     )
@@ -335,3 +340,27 @@ def side_in_state(spark, sf):
 def ordered_report(spark, sf):
     n = R.table(spark, sf, "nation").join(R.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return n.groupBy(F.col("r_name").alias("name")).agg(F.count("*").alias("n")).orderBy("name")
+
+
+def delimited(spark, sf):
+    """Orders written as delimited lines: some have a field too few, one too many or a total that is no number."""
+    key, total = F.col("o_orderkey").cast("string"), R.dec("o_totalprice").cast("string")
+    line = F.when(F.col("o_orderkey") % 50 == 1, F.concat_ws("|", key, total)).when(
+        F.col("o_orderkey") % 50 == 2, F.concat_ws("|", key, F.concat(F.lit("R$"), total), "o_orderstatus")
+    ).when(F.col("o_orderkey") % 50 == 3, F.concat_ws("|", key, total, "o_orderstatus", F.lit("more"))).otherwise(F.concat_ws("|", key, total, "o_orderstatus"))
+    path = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
+    R.table(spark, sf, "orders").select(line.alias("order_key|total|status")).write.option("header", True).option("quote", "").option("sep", "\t").csv(path)
+    return tables.read_checked(spark, path, schemas.struct("order_key bigint, total decimal(17,2), status string"))
+
+
+@query("""SELECT o_orderkey AS order_key, CAST(CAST(o_totalprice AS DECIMAL(17,2)) AS DOUBLE) AS total, o_orderstatus AS status FROM orders WHERE o_orderkey % 50 NOT IN (1, 2, 3)""")
+def delimited_rows(spark, sf):
+    """Lines of a delimited file that fit its schema."""
+    return delimited(spark, sf)[0]
+
+
+@query("""SELECT concat_ws('|', CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderkey % 50 = 2 THEN 'R$' ELSE '' END || CAST(CAST(o_totalprice AS DECIMAL(17,2)) AS VARCHAR),
+    CASE WHEN o_orderkey % 50 <> 1 THEN o_orderstatus END, CASE WHEN o_orderkey % 50 = 3 THEN 'more' END) AS line FROM orders WHERE o_orderkey % 50 IN (1, 2, 3)""")
+def delimited_rejects(spark, sf):
+    """Lines of a delimited file that do not fit, as they stand there."""
+    return delimited(spark, sf)[1].select("line")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from apportia import schemas
 from apportia.functions import dates
 from apportia.schemas import Section
+from apportia.session import cut_lineage
 
 Catalog = dict[str, "str | DataFrame"]
 
@@ -171,6 +173,25 @@ def read_delimited(
     return df.toDF(*[c.strip() for c in df.columns])
 
 
+REJECTED = "__line"
+
+
+def read_checked(
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = "|", encoding: str = "ISO-8859-1", store=cut_lineage,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of delimited files with a header: lines that do not fit the schema are kept as text.
+
+    A line is rejected if it has too few or too many fields or one that its column's type cannot hold; rejects
+    have the line and its file. Each line is parsed once: ``store`` holds both, so the line of a row that was
+    read is not asked for again without its columns.
+    """
+    full = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    reader = spark.read.options(sep=sep, header=True, encoding=encoding, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED, enforceSchema=True)
+    parsed = store(reader.schema(full).csv(path).withColumn("__file", F.col("_metadata.file_name")))
+    bad = F.col(REJECTED).isNotNull()
+    return parsed.where(~bad).select(*schema.names), parsed.where(bad).select(F.col(REJECTED).alias("line"), F.col("__file").alias("file"))
+
+
 def tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}" if database else "SHOW TABLES")
 
