@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from apportia.functions import dates
 from apportia.operators import spans
 from apportia.operators.spans import Measure
+from apportia.session import cut_lineage
 
 def one_second() -> Column:
     return F.expr("INTERVAL 1 SECOND")
@@ -126,15 +127,16 @@ def unique_days(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def merge_timelines(
-    sources: list[DataFrame], key: str, at: str, fill: dict[str, object]
+    sources: list[DataFrame], key: str, at: str, fill: dict[str, object], store=cut_lineage
 ) -> DataFrame:
     """Changes of several registers on one timeline, each attribute carried forward.
 
     Stacking and grouping by (key, time) gives what a chain of full outer joins would, with one
-    shuffle. ``fill`` maps attribute to the value used before its first change.
+    shuffle. ``fill`` maps attribute to the value used before its first change. The line is stored, since
+    carrying reads it twice, so each source is read once.
     """
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)
-    one = stacked.groupBy(key, at).agg(*[F.max(c).alias(c) for c in fill])
+    one = store(stacked.groupBy(key, at).agg(*[F.max(c).alias(c) for c in fill]))
     line = spans.forward_fill(one, [key], [at], spans.month_span(at), list(fill))
     given = {c: F.coalesce(F.col(c), F.lit(v)) for c, v in fill.items() if v is not None}
     return line.withColumns(given)
