@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from apportia.plans import corrections, dispatch, energy, goods, ledger, loose, references, reports, ticket, transport
+from apportia.operators import commits
+from apportia.plans import corrections, dispatch, energy, goods, ledger, loose, references, reports, store, ticket, transport
 from apportia.retail import frames as R
 from apportia.retail.function_queries import kinds
 from apportia.retail.registry import ORACLE, query
 from apportia.retail.sql import CODES, using
-from apportia.session import cut_lineage
+from apportia.session import cut_lineage, shared_folder
 from apportia.sources import tables
 
 
@@ -368,6 +371,17 @@ def received_load(spark, sf):
     return docs.select("access_key", "doc_type", "entry_reg", "exit_reg", "period", "total", "value_added", "appropriation")
 
 
+@query(ORACLE["goods_load"] + " WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1996-06-30 23:59:59'")
+def goods_committed(spark, sf):
+    """Half a year loaded in one commit and two months of it again in another, then read back from the store."""
+    tables_ = commits.Tables(spark, f"{shared_folder(spark)}/goods-{uuid.uuid4().hex}", store.PARTITIONS)
+    catalog, registry = goods_catalog(spark, sf), two_phase_registry(spark, sf)
+    for window in (("1996-01-01 00:00:00", "1996-06-30 23:59:59"), ("1996-02-15 00:00:00", "1996-04-10 23:59:59")):
+        dispatch.load_committed(spark, "goods", catalog, window, 1, tables_, registry, R.HOME)
+    docs = tables_.read("documents")
+    return docs.select("access_key", "doc_type", "entry_reg", "exit_reg", "period", "total", "value_added", "appropriation")
+
+
 def loose_catalog(spark, sf) -> dict:
     """Notes from orders; the customer issues, one in a thousand receives, and some notes have a third role."""
     h = order_heads(spark, sf)

@@ -11,7 +11,7 @@ from apportia import schemas
 from apportia.functions import codes, dates, rules
 from apportia.operators import joins, rollups
 from apportia.retail import frames as R
-from apportia.retail.registry import query
+from apportia.retail.registry import ORACLE, query
 from apportia.retail.sql import text, using
 from apportia.session import shared_folder
 from apportia.sources import extracts, tables
@@ -364,3 +364,19 @@ def delimited_rows(spark, sf):
 def delimited_rejects(spark, sf):
     """Lines of a delimited file that do not fit, as they stand there."""
     return delimited(spark, sf)[1].select("line")
+
+
+@query(ORACLE["invoice_extract"].replace("o_orderpriority <> '5-LOW'", "o_orderpriority = '5-LOW'"))
+def consumer_extract(spark, sf):
+    """Consumer invoices (model 65), all of them outgoing here."""
+    headers, items = invoice_parts(spark, sf)
+    out = extracts.invoices(headers, items, "65", *WINDOW)
+    return out.select("id", "item_id", "part", "entry_reg", "entry_muni", "exit_state", "direction_code", "cancelled", "value_added")
+
+
+@query(ORACLE["invoice_extract"] + " WHERE is_entry")
+def received_extract(spark, sf):
+    """Received invoices: the party itself buys, so issuer and recipient change places."""
+    headers, items = invoice_parts(spark, sf)
+    out = extracts.invoices(headers.where("direction = 0"), items, "55", *WINDOW)
+    return out.select("id", "item_id", "part", "entry_reg", "entry_muni", "exit_state", "direction_code", "cancelled", "value_added")

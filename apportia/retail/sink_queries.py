@@ -18,6 +18,7 @@ from apportia.retail.registry import query
 from apportia.retail.scan_queries import OPTIONS, option_sources
 from apportia.retail.sql import text, using
 from apportia.session import cut_lineage, shared_folder
+from apportia.sources import tables
 from apportia.streaming import incremental
 
 
@@ -356,3 +357,71 @@ def identity_map(spark, sf):
     store.extend_identity_map(tables, "ids", known, cols, 16, bucket)
     store.extend_identity_map(tables, "ids", lines, cols, 16, bucket)
     return tables.read("ids").select("bucket", *cols, "id")
+
+
+STORED_DOCS = using("docs", then="""SELECT order_key || '-' || supplier_key AS access_key, doc_type, period, CAST(value_added AS DOUBLE) AS value_added,
+    CAST(reason AS INTEGER) AS reason, CAST(CASE WHEN period = 199703 THEN 78 ELSE 77 END AS BIGINT) AS run_id FROM docs WHERE period BETWEEN 199701 AND 199706""")
+DOC_FIELDS = ("access_key", "doc_type", "period", "value_added", "reason", "run_id")
+
+
+def stored_documents_path(spark, sf) -> str:
+    """Half a year of documents stored by type and period, its rows counted again; a month is stored twice."""
+    from apportia.plans import store
+
+    path = folder_of(spark, "documents")
+    docs = R.keyed(R.documents(spark, sf)).where("period BETWEEN 199701 AND 199706").withColumn("total", F.col("value_added"))
+    docs = cut_lineage(docs)
+    store.documents(spark, docs, path, 77)
+    store.documents(spark, docs.where("period = 199703"), path, 78)
+    return path
+
+
+@query(STORED_DOCS)
+def written_documents(spark, sf):
+    """Documents read back after they were stored and one of their periods was replaced by a later run."""
+    return spark.read.parquet(stored_documents_path(spark, sf)).select(*DOC_FIELDS)
+
+
+@query(STORED_DOCS + " AND NOT (doc_type = 10 AND period BETWEEN 199702 AND 199704)")
+def cleared_documents(spark, sf):
+    """The stored table without some periods of one type."""
+    from apportia.plans import store
+
+    out = folder_of(spark, "left")
+    store.clear(spark, stored_documents_path(spark, sf), out, 10, (199702, 199704))
+    return spark.read.parquet(out).select(*DOC_FIELDS)
+
+
+@query(STORED_DOCS + " AND reason IS NOT NULL")
+def written_exclusions(spark, sf):
+    """Documents that do not participate, in a table of their own."""
+    from apportia.plans import store
+
+    out = folder_of(spark, "excluded")
+    store.excluded(spark.read.parquet(stored_documents_path(spark, sf)), out)
+    return spark.read.parquet(out).select(*DOC_FIELDS)
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS key, c_name AS name, CAST(CAST(c_acctbal AS DECIMAL(17,2)) AS VARCHAR) AS balance FROM customer""")
+def exported_rows(spark, sf):
+    """A result exported as delimited text, and read again as text."""
+    path = folder_of(spark, "export")
+    rows = R.table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), R.dec("c_acctbal").alias("balance"))
+    sinks.export_csv(rows, path)
+    return tables.read_delimited(spark, path)
+
+
+@query("""WITH old AS (SELECT DISTINCT lpad(CAST(p_size * 100 AS VARCHAR), 4, '0') AS code FROM part WHERE p_size < 30),
+    new AS (SELECT DISTINCT lpad(CAST(p_size * 100 AS VARCHAR), 4, '0') AS code FROM part)
+    SELECT code, '2020-01-01' AS start, 10 AS doc_type FROM old UNION ALL
+    SELECT code, '2024-01-01', 10 FROM new WHERE code < '4500'""")
+def reference_codes(spark, sf):
+    """Operation codes of a file added to those stored, and those of one year and type dropped again where a file was wrong."""
+    from apportia.plans import reference_loads
+
+    p = R.table(spark, sf, "part").select((F.col("p_size") * 100).alias("size"), F.lpad((F.col("p_size") * 100).cast("string"), 4, "0").alias("code"))
+    none = spark.createDataFrame([], "code string, start date, stop date, doc_type int")
+    held = reference_loads.op_codes(none, p.where("size < 3000"), "2020-01-01", 10)
+    wrong = reference_loads.op_codes(held, p, "2023-01-01", 10)
+    right = reference_loads.op_codes(reference_loads.drop_op_codes(wrong, 2023, 10), p.where("code < '4500'"), "2024-01-01", 10)
+    return right.select("code", "start", "doc_type")
