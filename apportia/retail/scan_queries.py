@@ -14,7 +14,7 @@ from apportia.retail import frames as R
 from apportia.retail.registry import ORACLE, query
 from apportia.retail.sql import text, using
 from apportia.session import shared_folder
-from apportia.sources import extracts, tables
+from apportia.sources import extracts, ranges, tables
 
 WINDOW = ("1997-01-01 00:00:00", "1997-12-31 23:59:59")
 
@@ -29,6 +29,19 @@ def scan_window(spark, sf):
     )
 
 
+@query(f"""SELECT l_orderkey, l_linenumber, l_suppkey, {text('l_shipdate')} AS l_shipdate FROM lineitem
+    WHERE l_shipdate >= TIMESTAMP '{WINDOW[0]}' AND l_shipdate <= TIMESTAMP '{WINDOW[1]}' AND l_suppkey IN (1, 2, 3, 5, 8)""")
+def ranged_window(spark, sf):
+    """The window of an extract that is kept as files, read in ranges of its day by several tasks."""
+    path = f"{shared_folder(spark)}/extract-{uuid.uuid4().hex}"
+    items = R.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.col("l_shipdate").cast("timestamp_ntz").alias("l_shipdate"))
+    items.repartitionByRange("l_shipdate").sortWithinPartitions("l_shipdate").write.parquet(path)
+    read = ranges.read_ranges(spark, "l_shipdate", "1992-01-01", "1999-01-01", 16, path=path)
+    return read.where(
+        F.col("l_shipdate").between(*(F.lit(w).cast("timestamp_ntz") for w in WINDOW)) & F.col("l_suppkey").isin(1, 2, 3, 5, 8)
+    )
+
+
 @query(f"""SELECT o_orderkey, {text('o_orderdate')} AS o_orderdate FROM orders
     WHERE o_orderdate >= DATE '1996-02-10' AND o_orderdate < DATE '1996-03-02'""")
 def day_closed_window(spark, sf):
