@@ -23,18 +23,28 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": ".", "card": r"[0-9](?:[\x20-]?[0-9]){15}+", "phone": "+"}
 OCTETS = r"^(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])?(?:\.|$)){4}$"
 KINDS = tuple(PATTERNS)
-#: Generators of candidates: many more spans than are personal data, overlapping.
+#: Generators of candidates: many more spans than are personal data, overlapping. None starts or ends inside a
+#: longer run of its own signs, and none cuts a run off.
+AT, DOT = r"(?:@|\x20@\x20|\x20?[\[(]at[\])]\x20?)", r"(?:\.|\x20\.\x20|\x20?[\[(]dot[\])]\x20?)"
 GENERATORS = {
-    "email_like": r"[\p{L}0-9._%+-]{1,64}\x20?(?:@|[\[(]at[\])])\x20?[\p{L}0-9-]{1,63}(?:\x20?(?:\.|[\[(]dot[\])])\x20?[\p{L}0-9-]{1,63}){1,4}",
-    "number_like": r"[+(]?[0-9](?:[\x20()./-]{0,3}[0-9]){6,18}+",
-    "dotted_like": r"[0-9]{1,3}(?:\x20?\.\x20?[0-9]{1,3}){3}",
+    "email_like": rf"(?:(?<![\p{{L}}0-9._%+-])|\G)[\p{{L}}0-9._%+-]++{AT}[\p{{L}}0-9-]++(?:{DOT}[\p{{L}}0-9-]++)++",
+    "number_like": r"(?<![\p{L}0-9_])[+(]?[0-9](?:[\x20()./-]{0,3}[0-9]){6,}+(?![\p{L}0-9_])",
+    "dotted_like": r"(?<![\p{L}0-9_.])[0-9]{1,3}(?:\x20?\.\x20?[0-9]{1,3}){3}(?![\p{L}0-9_])",
+    "code_like": r"(?<![\p{L}0-9+/_=-])(?=[^\s0-9]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_-]{16,}+=*+(?![\p{L}0-9])",
+    "quoted_like": r"(?<=[=:]\x20{0,2}[\x22\x27])[^\s\x22\x27]{8,}+(?=[\x22\x27])",
+    "account_like": r"(?<![\p{L}0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,}+(?:\x20?[A-Z0-9]{1,3})?+(?![\p{L}0-9_])",
 }
 GENERATOR_HINTS = {
     "email_like": r"@|[\[(]at[\])]", "number_like": r"[0-9](?:[\x20()./-]{0,3}[0-9]){6}+", "dotted_like": r"[0-9]\x20?\.\x20?[0-9]",
+    "code_like": r"[A-Za-z0-9+/_-]{16}", "quoted_like": r"[=:]\x20{0,2}[\x22\x27]", "account_like": r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}",
 }
 DATE = r"^(?:[0-9]{4}[-./][0-9]{1,2}[-./][0-9]{1,2}|[0-9]{1,2}[-./][0-9]{1,2}[-./][0-9]{4})(?:[^0-9].*)?$"
-CONTEXT = {"mail": r"mail|contact|write", "call": r"phone|tel|call|fax|mobile", "pay": r"card|visa|account|pay", "net": r"\bip\b|host|server|addr"}
+CONTEXT = {"mail": r"mail|contact|write", "call": r"phone|tel|call|fax|mobile", "pay": r"card|visa|account|pay", "net": r"\bip\b|host|server|addr",
+    "secret": r"token|secret|passw|api.?key|access.?key|auth|credential|bearer", "bank": r"iban|account|bank",
+    "other": r"commit|sha|md5|hash|checksum|etag|order|invoice|item|version|release|isbn|href|class|page|sum|total|part|file",
+}
 BEFORE = 24
+PLANTED_PER_DOC, AROUND = 4, 40
 SAMPLE_DOCS, ROUNDS, TREE_DEPTH, PRECISION = 10_000, 10, 3, 0.98
 MATCH = "array<struct<kind: string, start: int, stop: int, text: string, fine: boolean>>"
 
@@ -97,6 +107,16 @@ def candidates(text: str) -> Column:
     ])
 
 
+def mod97(text: Column) -> Column:
+    """Remainder of the check of bank account numbers: the first four signs go last, letters count from ten."""
+    plain = F.regexp_replace(F.upper(text), "[^A-Z0-9]", "")
+    signs = F.split(F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4)), "")
+    value = lambda c: F.when(c.rlike("[0-9]"), c.try_cast("int")).otherwise(F.ascii(c) - 55)
+    return F.aggregate(
+        F.filter(signs, lambda c: c != ""), F.lit(0), lambda acc, c: ((acc * F.when(value(c) > 9, 100).otherwise(10) + value(c)) % 97).cast("int")
+    )
+
+
 def overlapping(spans: Column, c: Column) -> Column:
     return F.exists(spans, lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"]))
 
@@ -109,16 +129,109 @@ def features(text: str, c: Column) -> dict[str, Column]:
     count = lambda chars: F.length(body) - F.length(F.regexp_replace(body, chars, ""))
     yes = lambda x: F.when(x, 1).otherwise(0)
     n = F.length(digits(body))
-    out = {
-        "email_like": yes(c["kind"] == "email_like"), "dotted_like": yes(c["kind"] == "dotted_like"), "length": F.length(body),
-        "digits": n, "letters": count(r"\p{L}"), "dots": count(r"\."), "dashes": count("-"), "blanks": count(" "),
-        "slashes": count("/"), "brackets": count(r"[()\[\]]"),
+    out = {k: yes(c["kind"] == k) for k in GENERATORS if k != "number_like"} | {
+        "length": F.length(body), "digits": n, "letters": count(r"\p{L}"), "capitals": count(r"\p{Lu}"), "dots": count(r"\."), "dashes": count("-"),
+        "blanks": count(" "), "slashes": count("/"), "brackets": count(r"[()\[\]]"),
         "luhn": yes(n.between(16, 19) & luhn(body)), "octets": yes(F.regexp_replace(body, " ", "").rlike(OCTETS)),
+        "mod97": yes(body.rlike(r"^[A-Z]{2}[0-9]{2}") & F.length(body).between(12, 60) & (mod97(body) == 1)),
+        "distinct": F.size(F.array_distinct(F.split(F.lower(body), ""))), "switches": F.size(F.regexp_extract_all(body, F.lit(r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])"), F.lit(0))),
+        "hex": yes(body.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")), "date": yes(body.rlike(DATE)),
         "word_before": yes(near.rlike(r"[\p{L}0-9]$")), "word_after": yes(after.rlike(r"[\p{L}0-9]")),
+        "assigned": yes(near.rlike(r"[=:]\x20{0,2}[\x22\x27]?$")), "quote_before": yes(near.rlike(r"[\x22\x27]$")), "quote_after": yes(after.rlike(r"[\x22\x27]")),
     }
     return out | {f"near_{k}": yes(near.rlike(p)) for k, p in CONTEXT.items()}
 
 
+def one_of(seed: Column, *choices: str | Column) -> Column:
+    """One of the choices, by a digest."""
+    return F.element_at(F.array(*[F.lit(c) if isinstance(c, str) else c for c in choices]), (F.pmod(seed, F.lit(len(choices))) + 1).cast("int"))
+
+
+def planted(pick) -> list[tuple]:
+    """Made examples as (before, value, after, label). ``pick(n)`` are digests that choose forms.
+
+    Signs come from the columns hx (64 hexadecimal), dg (30 decimal), coded (40 of base 64), card (16 decimal that
+    pass the check sum), uncard (that fail it), bban and iban (without and with check digits).
+    """
+    cut = lambda *ends: F.concat(*[F.lit(e) if isinstance(e, str) else F.substring("dg", *e) for e in ends])
+    hexed = lambda n: F.substring("hx", 1, n)
+    secret = one_of(
+        pick(1), hexed(40), F.col("hx"), hexed(32), F.upper(hexed(40)), F.col("coded"), F.substring("coded", 3, 24),
+        F.concat(F.lit("k_"), F.regexp_replace(F.substring("coded", 1, 30), "[+/]", "x")),
+    )
+    name = one_of(pick(2), "token", "api_key", "secret", "password", "auth token", "access_key", "credential", "TOKEN", "Secret")
+    octets = [F.pmod(pick(30 + i), F.lit(256)).cast("string") for i in range(4)]
+    fours = lambda col, sep, n: F.concat_ws(sep, *[F.substring(col, 1 + 4 * i, 4) for i in range(n)])
+    user = F.concat(one_of(pick(4), "ana", "j.doe", "info", "maria_k"), cut((1, 2)))
+    day = F.date_add(F.lit("1990-01-01").cast("date"), F.pmod(pick(5), F.lit(14_000)).cast("int"))
+    blank = F.lit(" ")
+    good = [
+        (F.concat(name, one_of(pick(6), ' = "', ': "', '="', "='", ' : "')), secret, one_of(pick(6), '"', '"', '"', "'", '"')),
+        (F.concat(name, one_of(pick(7), ": ", " = ", "=", " ")), secret, blank),
+        (one_of(pick(8), "call ", "phone: ", "tel. ", "mobile ", "fax "), one_of(
+            pick(9), cut((1, 3), " ", (4, 3), " ", (7, 4)), cut("(", (1, 3), ") ", (4, 3), "-", (7, 4)), cut((1, 3), "-", (4, 3), "-", (7, 4)),
+        ), blank),
+        (one_of(pick(10), "write to ", "mail ", "contact "), F.concat(
+            user, one_of(pick(11), " [at] ", " (at) ", " @ ", "[at]"), F.lit("host"), one_of(pick(11), " [dot] ", " (dot) ", " . ", "[dot]"), one_of(pick(12), "com", "org", "net"),
+        ), blank),
+        (one_of(pick(13), "host ", "server ", "ip "), F.concat_ws(" . ", *octets), blank),
+        (one_of(pick(14), "account ", "IBAN ", "bank: "), one_of(pick(15), F.col("iban"), fours("iban", " ", 6)), blank),
+        (one_of(pick(16), "card ", "visa ", "pay with "), one_of(pick(17), fours("card", ".", 4), fours("card", "/", 4), fours("card", " - ", 4)), blank),
+    ]
+    bad = [
+        (one_of(pick(18), "commit ", "sha1 ", "md5: ", "checksum: ", "etag "), one_of(pick(19), hexed(40), hexed(32), F.col("hx")), blank),
+        (one_of(pick(20), 'sha256 = "', 'checksum: "', 'hash="'), F.col("hx"), F.lit('"')),
+        (one_of(pick(21), "order no. ", "invoice ", "item ", "total ", "isbn "), one_of(pick(22), cut((1, 8)), cut((1, 10)), cut((1, 3), "-", (4, 9)), cut((1, 7))), blank),
+        (one_of(pick(23), "on ", "since ", "at "), one_of(pick(24), F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "dd.MM.yyyy"), F.date_format(day, "yyyy-MM-dd HH")), blank),
+        (one_of(pick(25), "version ", "release "), cut((1, 1), ".", (2, 2), ".", (4, 1), ".", (5, 2)), blank),
+        (one_of(pick(26), 'href = "', 'class="', 'file: "', 'page = "'), F.concat(one_of(pick(27), "section-heading-", "archive/", "img_page_", "/docs/part-"), cut((1, 3), "-text")), F.lit('"')),
+        (one_of(pick(28), "see ", "in ", "file "), cut("/archive/", (1, 4), "/section-heading-", (5, 2)), blank),
+        (one_of(pick(34), "card ", "visa ", "number ", "and ", "see "), one_of(pick(35), F.col("uncard"), F.col("uncard"), fours("uncard", ".", 4), fours("uncard", " ", 4), F.col("dg")), blank),
+        (one_of(pick(29), "part ", "item "), fours(F.concat(F.lit("AB"), F.substring("dg", 1, 18)), " ", 5), blank),
+    ]
+    return [(*example, label) for label, made in ((1.0, good), (0.0, bad)) for example in made]
+
+
+def planted_candidates(sample: DataFrame) -> DataFrame:
+    """Labelled candidates of made examples, each put where a word ends in its document's text.
+
+    A document gets PLANTED_PER_DOC of the examples, with AROUND signs of its text on both sides. Candidates
+    that are the whole value of a positive example have label 1; those that are part of it or reach beyond it,
+    and all over a negative one, 0; others have none.
+    """
+    pick = lambda n: F.xxhash64("doc_id", "k", F.lit(n))
+    examples = planted(pick)
+    at = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.length("text") + 1).cast("int")
+    placed = sample.select(
+        "doc_id", F.regexp_replace(F.substring("text", F.greatest(at - AROUND + 1, F.lit(1)), F.least(at, F.lit(AROUND))), r"\S+$", "").alias("left"),
+        F.regexp_replace(F.substring("text", at + 1, F.lit(AROUND)), r"^\S+", "").alias("right"),
+        F.explode(F.transform(
+            F.sequence(F.lit(0), F.lit(PLANTED_PER_DOC - 1)), lambda j: F.pmod(F.xxhash64("doc_id", F.lit("kinds")) + 4 * j, F.lit(len(examples))).cast("int"),
+        )).alias("k"),
+    ).withColumn("hx", F.sha2(F.concat_ws("/", F.lit("planted"), "k", F.col("doc_id").cast("string")), 256))
+    signed = stored(placed.withColumn("dg", F.rpad(F.regexp_replace("hx", "[a-f]", ""), 30, "7203481956")).withColumn(
+        "coded", F.substring(F.base64(F.unhex("hx")), 1, 40)
+    ).withColumn("bban", F.concat(one_of(pick(3), "DE", "ES", "FR", "IT"), F.lit("00"), F.substring("dg", 1, 18))))
+    head = F.substring("dg", 1, 15)
+    check = F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: i.cast("string")), lambda i: luhn(F.concat(head, i)))
+    made = stored(signed.withColumn("check", F.element_at(check, 1).cast("int")).withColumn("card", F.concat(head, F.col("check").cast("string"))).withColumn(
+        "uncard", F.concat(head, ((F.col("check") + 1) % 10).cast("string"))
+    ).withColumn(
+        "iban", F.concat(F.substring("bban", 1, 2), F.lpad((98 - mod97(F.col("bban"))).cast("string"), 2, "0"), F.substring("bban", 5, 18))
+    ))
+    chosen = lambda i: F.coalesce(*[F.when(F.col("k") == k, e[i]) for k, e in enumerate(examples)])
+    texts = stored(made.select("doc_id", "left", "right", *[chosen(i).alias(n) for i, n in enumerate(("before", "value", "after"))], F.element_at(
+        F.array(*[F.lit(e[3]) for e in examples]), F.col("k") + 1
+    ).alias("sort")).select(
+        "doc_id", "sort", (F.length("left") + F.length("before")).alias("start"), F.length("value").alias("size"),
+        F.concat("left", "before", "value", "after", "right").alias("text"),
+    ))
+    found = texts.withColumn("c", F.explode(candidates("text")))
+    whole = (F.col("c.start") == F.col("start")) & (F.col("c.stop") == F.col("start") + F.col("size"))
+    touches = (F.col("c.start") < F.col("start") + F.col("size")) & (F.col("start") < F.col("c.stop"))
+    return found.where(touches).withColumn("label", F.when(whole, F.col("sort")).otherwise(0.0)).select("doc_id", "text", "c", "label")
+
+
 def weak_label(base: str, c: Column) -> Column:
     """1 over a base span, 0 over a match that failed its check and over dates; other candidates have no label."""
     ok = F.filter(base, lambda b: b["fine"])
@@ -157,19 +270,22 @@ def read_tree(node):
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, precision: float = PRECISION) -> Trees:
     """Boosted trees on the candidates of at most ``sample_docs`` documents, those of the least id digest.
 
-    Labels come from the base patterns (weak_label). Half of the documents are learnt from; on the others
-    the threshold is set, the least score from which the labels agree to ``precision``. Without labels of
+    Labels come from examples planted into their texts (planted_candidates) and from the base patterns
+    (weak_label). Half of the documents are learnt from; on the others
+    the threshold is set, the least score from which the labels agree to ``precision``, candidates over base
+    spans left out, since these are never added. Without labels of
     both sorts nothing is learnt and no candidate is taken.
     """
     ids = docs.where("doc_id is not null and text is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    found = (
+    seen = (
         sample.withColumn("base", base_matches("text")).withColumn("c", F.explode(candidates("text")))
-        .withColumn("label", weak_label("base", F.col("c"))).where("label is not null")
+        .withColumn("label", weak_label("base", F.col("c"))).where("label is not null").select("doc_id", "text", "c", "label")
     )
+    found = seen.withColumn("apart", F.col("label") == 0).unionByName(planted_candidates(sample).withColumn("apart", F.lit(True)))
     named = features("text", F.col("c"))
     rows = stored(found.select(
-        (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)) == 0).alias("learn"), "label", *[v.cast("double").alias(k) for k, v in named.items()]
+        (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)) == 0).alias("learn"), "apart", "label", *[v.cast("double").alias(k) for k, v in named.items()]
     ))
     if rows.where("learn").select("label").distinct().count() < 2:
         return Trees([])
@@ -179,7 +295,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, precision: float = PREC
         (w, read_tree(t._call_java("rootNode"))) for w, t in zip(fitted.treeWeights, fitted.trees)
     ]
     trees = Trees(parts)
-    scores = rows.where("not learn").select("label", F.floor(trees.score([F.col(k) for k in named]) * 100).alias("score"))
+    scores = rows.where("not learn and apart").select("label", F.floor(trees.score([F.col(k) for k in named]) * 100).alias("score"))
     kept = good = 0
     for row in scores.groupBy("score").agg(F.count("*").alias("n"), F.sum("label").alias("good")).orderBy(F.desc("score")).collect():
         kept, good = kept + row["n"], good + row["good"]
@@ -194,7 +310,9 @@ def selected(text: str, base: str, cands: str, trees: Trees) -> Column:
     if not trees.parts:
         return F.array().cast(MATCH)
     apart = F.filter(cands, lambda c: ~overlapping(F.filter(base, lambda b: b["fine"]), c))
-    enough = F.filter(apart, lambda c: trees.score(list(features(text, c).values())) >= trees.threshold)
+    known = F.transform(apart, lambda c: F.struct(c.alias("c"), F.array(*[v.cast("double") for v in features(text, c).values()]).alias("x")))
+    values = lambda k: [k["x"][i] for i in range(len(features(text, k["c"])))]
+    enough = F.transform(F.filter(known, lambda k: trees.score(values(k)) >= trees.threshold), lambda k: k["c"])
     rank = F.array_sort(enough, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["stop"] - a["stop"]))
     return F.aggregate(
         rank, F.array().cast(MATCH),

@@ -26,6 +26,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.size(pii.of_kind("base", k)).cast("long").alias(f"n_{k}") for k in pii.KINDS],
         F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
         pii.listed(F.concat(F.col("base"), *[pii.of_kind("added", k) for k in pii.GENERATORS])).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
     )
 
 

@@ -95,6 +95,49 @@ def test_trees_add_what_looks_alike(spark):
         assert not any(a.start < b.stop and b.start < a.stop for a in r.added for b in r.base)
 
 
+def test_secrets_are_whole_and_lookalikes_stay(spark):
+    """Forms of which the fit knows no text: what is added is the whole value, and nothing inside other runs."""
+    pick = random.Random(9)
+    hexed = lambda n: "".join(pick.choices("0123456789abcdef", k=n))
+    words = lambda: " ".join(pick.choices("ein weg the por calle enon rue house".split(), k=12))
+    def failing():
+        while luhn(n := "".join(pick.choices("0123456789", k=16))):
+            pass
+        return n
+    cases = [("secret", f'token = "{{}}"', hexed(40)) for _ in range(40)] + [("secret", 'PASSWORD="{}"', "Zq7x" + hexed(20)) for _ in range(40)]
+    cases += [("mail", "write to {} please", f"jo{i}[at]mailer[dot]org") for i in range(40)]
+    cases += [("none", "commit {} was", hexed(40)) for _ in range(40)] + [("none", "und {} ist", failing()) for _ in range(80)]
+    cases += [("none", "am {} kam", f"{pick.randint(1950, 2020)}-0{pick.randint(1, 9)}-1{pick.randint(0, 9)}") for _ in range(40)]
+    cases += [("none", "order no. {} came", str(pick.randint(10**8, 10**9))) for _ in range(40)]
+    texts = [f"{words()} {form.format(value)} {words()}" for _, form, value in cases]
+    trees = pii.fit(frame(spark, texts + [words() for _ in range(400)]))
+    rows = pii.found_in(frame(spark, texts), trees).collect()
+    added = {r.row.doc_id: [s.text for s in r.added] for r in rows}
+    wanted = [i for i, c in enumerate(cases) if c[0] != "none"]
+    assert all(set(added[i]) <= {cases[i][2]} for i in wanted)
+    assert sum(added[i] == [cases[i][2]] for i in wanted) >= 0.9 * len(wanted)
+    assert sum(bool(added[i]) for i, c in enumerate(cases) if c[0] == "none") <= 0.02 * len(cases)
+
+
+def test_account_check(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("DE89 3704 0044 0532 0130 00",), ("GB82WEST12345698765432",), ("DE88370400440532013000",), ("",)], "t string")
+    assert [r[0] == 1 for r in df.select(pii.mod97(F.col("t"))).collect()] == [True, True, False, False]
+
+
+def test_long_runs_of_every_generator(spark):
+    """Runs without end or that just miss a pattern take time in proportion and are never cut."""
+    texts = ["a1" * 100_000, "A1" * 100_000, "1-" * 100_000, 'x="' + "b" * 200_000, "é" * 200_000 + "@", "AB12" + " CD34" * 40_000, "=" * 100_000, "1." * 50_000]
+    df = frame(spark, texts)
+    from pyspark.sql import functions as F
+
+    found = df.select("doc_id", F.explode(pii.candidates("text")).alias("c")).select("doc_id", "c.kind", "c.start", "c.stop").collect()
+    whole = {(r.doc_id, r.kind): (r.start, r.stop) for r in found}
+    assert whole[0, "code_like"] == (0, 200_000) and whole[1, "code_like"] == (0, 200_000) and whole[2, "number_like"] == (0, 199_999)
+    assert whole[5, "account_like"] == (0, len(texts[5])) and not any(r.doc_id in (4, 6) for r in found)
+
+
 def test_listing(spark):
     from pyspark.sql import functions as F
 
