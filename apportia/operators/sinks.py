@@ -174,18 +174,28 @@ def extend_map(
     """Identity map (bucket, cols, id) of composite keys after the keys it lacks are added; null parts equal null.
 
     Bucket b gives the ids b, b + buckets, b + 2 buckets and so on in key order, after the last it has given, so ids
-    need no offset from other buckets, and a bucket without new keys stays as it is. Choose ``buckets`` so
-    that one fits a task. The bucket is a hash of the key, or a number from 0 to buckets - 1.
+    need no offset from other buckets, and a bucket without new keys stays as it is. Keys are numbered inside
+    ranges of the key order, which grow in number with the keys, and each starts after those before it in
+    its bucket, so no task holds a whole bucket. The bucket is a hash of the key, or a number from 0 to buckets - 1.
     """
     b = F.pmod(F.xxhash64(*cols), F.lit(buckets)) if bucket is None else bucket
     fresh = keys.select(*cols).distinct().select(b.cast("int").alias("bucket"), *cols, F.lit(None).cast("bigint").alias("id"))
     both = fresh if key_map is None else key_map.select("bucket", *cols, "id").unionByName(fresh)
-    dealt = both.repartition("bucket").groupBy("bucket", *cols).agg(F.max("id").alias("id"))
-    mine = W.partitionBy("bucket")
-    nth = F.row_number().over(W.partitionBy("bucket", F.col("id").isNull()).orderBy(*cols)).cast("bigint")
-    first = F.coalesce(F.floor(F.max("id").over(mine) / buckets) + 1, F.lit(0))
-    new = (first + nth - 1) * buckets + F.col("bucket")
-    return dealt.select("bucket", *cols, F.coalesce("id", new).cast("bigint").alias("id"))
+    dealt = both.groupBy("bucket", *cols).agg(F.max("id").alias("id"))
+    placed = cut_lineage(dealt.repartitionByRange("bucket", *cols).withColumn("__range", F.spark_partition_id()))
+    new = placed.where("id is null").drop("id")
+    top = placed.groupBy("bucket").agg(F.max("id").alias("__top"))
+    before = W.partitionBy("bucket").orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    counts = new.groupBy("bucket", "__range").agg(F.count(F.lit(1)).alias("__n"))
+    starts = counts.join(top, "bucket").select(
+        "bucket", "__range",
+        (F.coalesce(F.sum("__n").over(before), F.lit(0)) + F.coalesce(F.floor(F.col("__top") / buckets) + 1, F.lit(0))).alias("__start"),
+    )
+    nth = F.row_number().over(W.partitionBy("bucket", "__range").orderBy(*cols)).cast("bigint")
+    ranked = new.withColumn("__nth", nth).join(F.broadcast(starts), ["bucket", "__range"], "left")
+    id_ = (F.col("__start") + F.col("__nth") - 1) * buckets + F.col("bucket")
+    held = placed.where("id is not null").select("bucket", *cols, "id")
+    return held.unionByName(ranked.select("bucket", *cols, id_.cast("bigint").alias("id")))
 
 
 def new_buckets(key_map: DataFrame, keys: DataFrame, cols: list[str], buckets: int, bucket: Column | None = None) -> list[int]:

@@ -127,3 +127,18 @@ def test_as_of_after_rework_helpers(spark, window):
     docs = spark.createDataFrame([("GO", 1, T(2024, 2, 2))], "s string, r int, t timestamp")
     got = joins.as_of(docs, out, {"s": "state", "r": "reg"}, "t", "valid_from", "valid_to", {"muni": "m"}, [], window, disjoint=True)
     assert got.first().m == 2
+
+
+def test_no_task_numbers_a_whole_bucket_of_the_identity_map(spark):
+    keys = spark.range(20_000).select(F.when(F.col("id") > 9, F.col("id")).alias("k"), (F.col("id") % 2).alias("b"))
+    held = sinks.extend_map(None, keys.where("k % 3 = 0"), ["k", "b"], 1, F.lit(0))
+    found = sinks.extend_map(held, keys, ["k", "b"], 1, F.lit(0))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "__range" in plan and "Window [row_number()" in plan and "[bucket#" in plan
+    assert not [x for x in plan.splitlines() if "row_number()" in x and "__range" not in x]
+    rows = found.collect()
+    assert sorted(r.id for r in rows) == list(range(len(rows))) and len(rows) == 19_992
+    new = sorted((r.id, r.k is not None, r.k or 0, r.b) for r in rows if r.k is None or r.k % 3)
+    assert [r[1:] for r in new] == sorted(r[1:] for r in new)
+    by_key = {(r.k, r.b): r.id for r in rows}
+    assert all(by_key[r.k, r.b] == r.id for r in held.collect())
