@@ -27,9 +27,12 @@ def keep_matching(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
 def participation_flag(
     df: DataFrame, codes: DataFrame, on: str, code: str, flag: str
 ) -> DataFrame:
-    """True where the code is in the reference, false otherwise."""
+    """True where the code is in the reference, false otherwise.
+
+    The list of codes is sent to all tasks: few codes hold most rows, so the rows are not dealt by code.
+    """
     ref = codes.select(F.col(code).alias("__code")).distinct().withColumn("__hit", F.lit(True))
-    joined = df.join(ref, F.col(on) == F.col("__code"), "left")
+    joined = df.join(F.broadcast(ref), F.col(on) == F.col("__code"), "left")
     return joined.withColumn(flag, F.coalesce("__hit", F.lit(False))).drop("__code", "__hit")
 
 

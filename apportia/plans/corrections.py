@@ -128,7 +128,9 @@ def op_codes_reworked(
     """
     one = lambda codes_, name: codes_.select("code").distinct().withColumn(name, F.lit(True))
     moved = one(old, "was").join(one(op_codes, "is"), "code", "full").where("was IS NULL OR is IS NULL")
-    hit = store(joins.keep_matching(items, moved.select(F.col("code").alias("op_code")), ["op_code"]).select(*DOC).distinct())
+    # The codes that moved are sent to all tasks: dealt by code, the items of a frequent one would meet in one task.
+    moved = F.broadcast(moved.select(F.col("code").alias("op_code")).distinct())
+    hit = store(items.join(moved, "op_code", "left_semi").select(*DOC).distinct())
     new_docs, new_items = op_codes_changed(
         joins.keep_matching(docs, hit, DOC), joins.keep_matching(items, hit, DOC), op_codes
     )

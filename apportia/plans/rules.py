@@ -12,9 +12,13 @@ from apportia.plans.references import References
 
 
 def flag_codes(df: DataFrame, ref: DataFrame, code: str, flag: str) -> DataFrame:
-    """Participation flag from a normalised (code, participates) reference; unknown is false."""
+    """Participation flag from a normalised (code, participates) reference; unknown is false.
+
+    The reference, one row per code of a fixed width, is sent to all tasks: few codes hold most rows, so the
+    rows are not dealt by code.
+    """
     r = ref.select(F.col("code").alias("__code"), F.col("participates").alias("__part"))
-    out = df.join(r, F.col(code) == F.col("__code"), "left")
+    out = df.join(F.broadcast(r), F.col(code) == F.col("__code"), "left")
     return out.withColumn(flag, F.coalesce("__part", F.lit(False))).drop("__code", "__part")
 
 
