@@ -103,11 +103,10 @@ def exclude_opposite(
 def match_by_key(ledger: DataFrame, issued: DataFrame, received: DataFrame, key: str) -> DataFrame:
     """Invoice documents found in the ledger by access key; columns are united by name."""
     left = ledger.select(key, F.col("doc_id").alias("ledger_id"), F.col("doc_type").alias("ledger_type"))
-    sides = [
-        left.join(inv.select(key, F.col("doc_id").alias("invoice_id"), F.col("doc_type").alias("invoice_type")), key)
-        for inv in (issued, received)
-    ]
-    return sides[0].unionByName(sides[1]).distinct()
+    invoices = issued.select(key, "doc_id", "doc_type").unionByName(received.select(key, "doc_id", "doc_type"))
+    right = invoices.select(key, F.col("doc_id").alias("invoice_id"), F.col("doc_type").alias("invoice_type"))
+    # Each side is made distinct before the join, so the pairs are, and no task holds a table of them.
+    return left.distinct().join(right.distinct(), key)
 
 
 MATCH = ["invoice_id", "invoice_type", "ledger_id", "ledger_type"]

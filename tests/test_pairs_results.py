@@ -144,3 +144,30 @@ def test_registry_rebuild(spark):
     }
     again, _ = corrections.rebuild_registry(after, current, log, "2024-06-01 00:00:00")
     assert again.count() == 0
+
+
+def test_code_lists_are_sent_and_rows_are_not_dealt_by_code(spark):
+    from apportia.operators import joins
+    from apportia.plans import rules as chain
+
+    items = spark.createDataFrame([(i, "5101" if i % 9 else None) for i in range(50)] + [(50, "1949"), (51, "7")], "item_no int, op_code string")
+    codes_ = spark.createDataFrame([("5101",), ("5101",), (None,)], "code string")
+    flagged = joins.participation_flag(items, codes_, "op_code", "code", "ok")
+    known = spark.createDataFrame([("5101", True), ("1949", None)], "code string, participates boolean")
+    for out in (flagged, chain.flag_codes(items, known, "op_code", "ok")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning(op_code" not in plan
+        assert {r.item_no for r in out.where("ok").collect()} == {i for i in range(50) if i % 9} and out.count() == 52
+
+
+def test_ledger_pairs_of_repeated_rows_on_both_sides(spark):
+    ddl = "access_key int, doc_id int, doc_type int"
+    ledger = spark.createDataFrame([(1, 7, 5), (1, 7, 5), (1, 8, 5), (None, 9, 5), (3, None, 5)], ddl)
+    issued = spark.createDataFrame([(1, 70, 10), (1, 70, 10), (None, 71, 10), (3, 72, 10)], ddl)
+    received = spark.createDataFrame([(1, 70, 2), (1, None, 2), (4, 73, 2)], ddl)
+    found = pairs.match_by_key(ledger, issued, received, "access_key")
+    assert found.columns == ["access_key", "ledger_id", "ledger_type", "invoice_id", "invoice_type"]
+    want = [(1, x, 5, *i) for x in (7, 8) for i in ((70, 10), (70, 2), (None, 2))] + [(3, None, 5, 72, 10)]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and plan.index("Join") < plan.index("Aggregate")
