@@ -238,7 +238,8 @@ def telecom_extract(spark, sf):
         F.col("o_orderkey").alias("number"), F.explode(F.array(F.lit("O"), F.lit("F"))).alias("version"),
     )
     gross = R.dec("l_extendedprice")
-    joined = line.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
+    # Orders meet their customer before their lines do: the lines, the larger side, are dealt out once for both.
+    joined = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(line, F.col("l_orderkey") == F.col("o_orderkey"))
     items = joined.select(
         F.col("o_custkey").alias("issuer_company"), day.alias("day"), F.col("o_orderpriority").alias("series"),
         F.col("o_orderkey").alias("number"), F.col("l_linestatus").alias("version"),

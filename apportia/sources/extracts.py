@@ -94,13 +94,19 @@ TELECOM_RECIPIENT = [
 
 
 def telecom(docs: DataFrame, items: DataFrame, recipients: DataFrame, first: int, last: int) -> DataFrame:
-    """Telecom documents, items and recipients on their composite keys; zero bases go."""
-    return (
-        docs.where(F.col("day").between(first, last))
-        .join(items.where(F.col("base") != 0), TELECOM_KEYS)
-        .join(recipients, TELECOM_RECIPIENT)
-        .withColumn("value_added", rules.telecom_value("rate", "base", "exempt"))
-        .withColumn("period", F.floor(F.col("day") / 100).cast("int"))
+    """Telecom documents, items and recipients on their composite keys; zero bases go.
+
+    The value is worked out and the days are chosen on both sides before the items are dealt out by the keys, so
+    that the columns it comes from stay behind where they are not asked for.
+    """
+    inside = F.col("day").between(first, last)
+    valued = items.where(inside & (F.col("base") != 0)).withColumn("value_added", rules.telecom_value("rate", "base", "exempt"))
+    rest = [c for c in items.columns if c not in (*TELECOM_KEYS, *TELECOM_RECIPIENT)]
+    kept = [c for c in docs.columns if c not in (*TELECOM_KEYS, *TELECOM_RECIPIENT)]
+    more = [c for c in recipients.columns if c not in TELECOM_RECIPIENT]
+    joined = docs.where(inside).join(valued, TELECOM_KEYS).join(recipients, TELECOM_RECIPIENT)
+    return joined.withColumn("period", F.floor(F.col("day") / 100).cast("int")).select(
+        *TELECOM_RECIPIENT, *TELECOM_KEYS, *kept, *rest, *more, "value_added", "period"
     )
 
 
