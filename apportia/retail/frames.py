@@ -153,11 +153,11 @@ def with_headers(spark: SparkSession, sf: str, rolled: DataFrame) -> DataFrame:
     )
 
 
-def documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Settled documents: appropriation, value and exclusion reason."""
+def documents(spark: SparkSession, sf: str, lines: DataFrame | None = None) -> DataFrame:
+    """Settled documents: appropriation, value and exclusion reason; ``lines`` are the net items, if already stored."""
     from apportia.plans import invoices
 
-    rolled = invoices.roll_items(net_items(spark, sf), codes_frame(spark), DOC)
+    rolled = invoices.roll_items(net_items(spark, sf) if lines is None else lines, codes_frame(spark), DOC)
     return invoices.settle(with_headers(spark, sf, rolled)).withColumnRenamed("value_in", "value_added")
 
 

@@ -300,8 +300,9 @@ UNIQUE = """, ui AS (SELECT order_key, supplier_key, item_no, MIN(op_code) AS op
 
 def stored(spark, sf):
     """Settled documents, and their items made unique by line number, each computed once."""
-    docs = cut_lineage(R.keyed(R.documents(spark, sf)))
-    items = R.net_items(spark, sf).groupBy(*R.DOC, "item_no").agg(
+    lines = cut_lineage(R.net_items(spark, sf).select(*R.DOC, "item_no", "op_code", "value_added", "gross", "product_code"))
+    docs = cut_lineage(R.keyed(R.documents(spark, sf, lines)))
+    items = lines.groupBy(*R.DOC, "item_no").agg(
         F.min("op_code").alias("op_code"), F.sum("value_added").cast("decimal(17,2)").alias("value_added"),
         F.sum("gross").alias("gross"), F.min("product_code").alias("product_code"),
     )
