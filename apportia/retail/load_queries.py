@@ -33,25 +33,43 @@ PHASES = """, phases AS (SELECT c.id, c.reg, c.muni, m.state, '1' AS status, reg
     UNION ALL SELECT c.id, c.reg, c.muni, m.state, status, regime, rural, TIMESTAMP '1998-07-01 00:00:00', NULL FROM customers c JOIN munis m USING (muni))"""
 
 
+def reference_catalog(spark, sf) -> dict:
+    """Code lists, parameters, events and municipalities of the loads."""
+    e = R.table(spark, sf, "events")
+    pairs = lambda *p: spark.createDataFrame(list(p), "code string, participates string")
+    return {
+        "op_codes": pairs(("5101", "S"), ("5102", "sim"), ("1949", "N"), ("1949", "?")),
+        "products": pairs(("1", "S"), ("00000002", "TRUE"), ("3", "N")),
+        "params": spark.createDataFrame([("usar_x", "1"), ("use_municipalities", "nao")], "name string, value string"),
+        "events": e.select(F.floor(F.col("event_id") / 3).cast("string").alias("access_key"), kinds().alias("kind"), F.col("ts").cast("timestamp").alias("at")),
+        "municipalities": R.munis(spark, sf),
+    }
+
+
 def goods_catalog(spark, sf) -> dict:
-    """Section tables of the lake layout from orders, customers and line items."""
+    """Section tables of the lake layout from orders, customers and line items.
+
+    Four sections are columns of the same heads and three of the same rows: both are stored once.
+    """
     o, c = R.table(spark, sf, "orders"), R.table(spark, sf, "customer")
     m = R.munis(spark, sf)
-    head = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(m, F.col("c_nationkey") == F.col("muni"))
     key, at = F.col("o_orderkey").cast("string"), F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
+    head = cut_lineage(o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(m, F.col("c_nationkey") == F.col("muni")).select(
+        "o_orderkey", "o_orderdate", "o_orderpriority", "o_custkey", "o_totalprice", "c_nationkey", "state",
+    ))
     base = lambda *cols: head.select(key.alias("chavenfe"), at.alias("ide_dhemi_nums"), *cols)
     second = F.substring("o_orderpriority", 1, 1) == "2"
     line = R.table(spark, sf, "lineitem")
     gross = R.dec("l_extendedprice")
-    rows = line.groupBy(F.col("l_orderkey").cast("string").alias("chavenfe"), F.col("l_linenumber").alias("det_nitem")).agg(
+    # Whether the greatest text is this one, told by flags: a greatest text itself would have all rows sorted first.
+    greatest = lambda c, v: F.coalesce(F.bool_or(F.col(c) == v) & ~F.bool_or(F.col(c) > v), F.lit(False))
+    rows = cut_lineage(line.groupBy("l_orderkey", "l_linenumber").agg(
         F.sum(gross).alias("vprod"), F.sum(R.part_of(gross, "l_discount")).alias("vdesc"),
-        F.sum(R.dec("l_quantity")).alias("qcom"), F.max("l_linestatus").alias("s"), F.max("l_returnflag").alias("r"),
-        F.sum(R.part_of(gross, "l_tax")).alias("tax"),
-    )
-    when = o.select(key.alias("chavenfe"), at.alias("ide_dhemi_nums"))
-    e = R.table(spark, sf, "events")
-    pairs = lambda *p: spark.createDataFrame(list(p), "code string, participates string")
-    return {
+        F.sum(R.dec("l_quantity")).alias("qcom"), greatest("l_linestatus", "O").alias("open"),
+        greatest("l_returnflag", "R").alias("returned"), F.sum(R.part_of(gross, "l_tax")).alias("tax"),
+    )).withColumns({"chavenfe": F.col("l_orderkey").cast("string"), "det_nitem": F.col("l_linenumber")})
+    when = o.select("o_orderkey", at.alias("ide_dhemi_nums"))
+    return reference_catalog(spark, sf) | {
         "goods_header": base(
             F.when(F.col("o_orderpriority") == "5-LOW", "65").otherwise("55").alias("ide_mod"), F.lit("1").alias("ide_tpamb"),
             F.lit(52).alias("ide_cuf"), F.col("c_nationkey").alias("ide_cmunfg"), F.lit("12345678000195").alias("emit_cnpj"),
@@ -62,17 +80,12 @@ def goods_catalog(spark, sf) -> dict:
             F.concat(F.lit("IE "), F.col("o_orderkey") % 1000).alias("ie"),
         ),
         "goods_total": base(F.col("o_totalprice").alias("vnf")),
-        "goods_item": rows.join(when, "chavenfe").select(
-            "chavenfe", "ide_dhemi_nums", "det_nitem", F.when(F.col("s") == "O", "5.101").otherwise("1949").alias("cfop"),
+        "goods_item": rows.join(when, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            "chavenfe", "ide_dhemi_nums", "det_nitem", F.when(F.col("open"), "5.101").otherwise("1949").alias("cfop"),
             F.col("det_nitem").cast("string").alias("ncm"), "qcom", "vprod", "vdesc",
         ),
         "goods_item_tax": rows.select("chavenfe", "det_nitem", F.col("qcom").alias("icms10_vicmsst")),
-        "goods_item_ipi": rows.where("r = 'R'").select("chavenfe", "det_nitem", F.col("tax").alias("ipitrib_vipi")),
-        "op_codes": pairs(("5101", "S"), ("5102", "sim"), ("1949", "N"), ("1949", "?")),
-        "products": pairs(("1", "S"), ("00000002", "TRUE"), ("3", "N")),
-        "params": spark.createDataFrame([("usar_x", "1"), ("use_municipalities", "nao")], "name string, value string"),
-        "events": e.select(F.floor(F.col("event_id") / 3).cast("string").alias("access_key"), kinds().alias("kind"), F.col("ts").cast("timestamp").alias("at")),
-        "municipalities": R.munis(spark, sf),
+        "goods_item_ipi": rows.where("returned").select("chavenfe", "det_nitem", F.col("tax").alias("ipitrib_vipi")),
     }
 
 
@@ -117,7 +130,7 @@ def goods_load(spark, sf):
     FROM valued WHERE k IN (SELECT k FROM kept)"""))
 def goods_load_items(spark, sf):
     parts, ref = goods_parts(spark, sf)
-    _, items = goods.run(parts, ref, two_phase_registry(spark, sf), 1, "55", R.HOME, ("1995-01-01", "2001-12-31"))
+    _, items = goods.run(parts, ref, two_phase_registry(spark, sf), 1, "55", R.HOME, ("1995-01-01", "2001-12-31"), store=cut_lineage)
     return items.select("access_key", "item_no", "op_code", "product_code", "gross", "substituted_tax", "value_added", "reason")
 
 
@@ -210,7 +223,7 @@ def ticket_parts(spark, sf):
 @query(f"""WITH {TICKETS} SELECT CAST(o_orderkey AS VARCHAR) AS access_key, CAST(reason AS INTEGER) AS reason, CASE WHEN code AND reason IS NULL THEN 'S' ELSE 'N' END AS appropriation,
     CAST(CASE WHEN code AND reason IS NULL THEN v ELSE 0 END AS DOUBLE) AS value_added, CAST(CAST(o_totalprice AS DECIMAL(17,2)) AS DOUBLE) AS total FROM t""")
 def ticket_load(spark, sf):
-    _, ref = goods_parts(spark, sf)
+    ref = references.load(spark, reference_catalog(spark, sf))
     docs, _ = ticket.run(ticket_parts(spark, sf), ref, 1)
     return docs.select("access_key", "reason", "appropriation", "value_added", "total")
 
@@ -253,7 +266,7 @@ def ledger_parts(spark, sf):
     (SELECT l_orderkey, bool_or(l_linestatus = 'O') AS code, SUM(CASE WHEN l_linestatus = 'O' THEN CAST(l_extendedprice AS DECIMAL(17,2))
         - CAST(CAST(l_extendedprice AS DECIMAL(17,2)) * CAST(l_discount AS DECIMAL(5,2)) AS DECIMAL(17,2)) ELSE 0 END) AS v FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
 def ledger_load(spark, sf):
-    _, ref = goods_parts(spark, sf)
+    ref = references.load(spark, reference_catalog(spark, sf))
     docs, _ = ledger.run(*ledger_parts(spark, sf), ref, 1)
     # The unified layout keeps 44 characters of a key, which these fit.
     return docs.select("access_key", "value_added", "appropriation", "reason", "period")
@@ -419,7 +432,7 @@ def telecom_catalog(spark, sf) -> dict:
     h, line = order_heads(spark, sf), R.table(spark, sf, "lineitem")
     gross = R.dec("l_extendedprice")
     none = F.lit(None).cast("string")
-    return {n: f for n, f in goods_catalog(spark, sf).items() if not n.startswith("goods")} | {
+    return reference_catalog(spark, sf) | {
         "telecom_doc": h.select(
             F.col("o_orderkey").cast("string").alias("access_key"), F.col("o_orderdate").cast("timestamp").alias("emitted"), R.dec("o_totalprice").alias("total"),
             F.lit("77").alias("issuer_reg"), none.alias("issuer_muni"), F.lit("x").alias("issuer_state"), F.col("o_custkey").cast("string").alias("recipient_reg"),
