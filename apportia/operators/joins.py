@@ -207,9 +207,10 @@ def as_of(
     regrouped: it is shuffled once, or not at all when the registry is small enough to broadcast.
     ``disjoint`` says the registry has no overlaps already.
 
-    ``window`` gives the dates most documents fall in. Versions are then listed by month and the
-    month joins the key, which spreads a party holding many documents over the months. Months
-    outside the window are read as its first or last one, so any window gives the same rows.
+    ``window`` gives the dates most documents fall in. Versions are then listed by year and the
+    year joins the key, which spreads a party holding many documents over the years. Years
+    outside the window are read as its first or last one, so any window gives the same rows. The
+    list is longer than its size on disk tells, so it is shuffled, never gathered by the driver.
     """
     reg_keys = list(on.values())
     versions = registry.select(*dict.fromkeys([*reg_keys, start, stop, *take, *tie]))
@@ -223,15 +224,13 @@ def as_of(
     cond = [F.col(d) == F.col(f"__r{i}") for i, d in enumerate(on)]
     left = docs
     if window:
-        low, high = (int(w[:4]) * 12 + int(w[5:7]) for w in window)
-        month = lambda c: F.greatest(
-            F.least(F.year(c) * 12 + F.month(c), F.lit(high)), F.lit(low)
-        )
-        last = F.coalesce(month(F.col("__to")), F.lit(high))
-        months = F.sequence(month(F.col("__from")), F.greatest(last, month(F.col("__from"))))
-        right = right.withColumn("__month", F.explode(months))
-        left = docs.withColumn("__doc_month", month(F.col(at)))
-        cond.append(F.col("__doc_month") == F.col("__month"))
+        low, high = (int(w[:4]) for w in window)
+        year = lambda c: F.greatest(F.least(F.year(c), F.lit(high)), F.lit(low))
+        last = F.coalesce(year(F.col("__to")), F.lit(high))
+        years = F.sequence(year(F.col("__from")), F.greatest(last, year(F.col("__from"))))
+        right = right.withColumn("__year", F.explode(years)).hint("merge")
+        left = docs.withColumn("__doc_year", year(F.col(at)))
+        cond.append(F.col("__doc_year") == F.col("__year"))
     cond.append(F.col("__from") <= F.col(at))
     cond.append(F.col("__to").isNull() | (F.col(at) <= F.col("__to")))
     return left.join(right, cond, "left").select(

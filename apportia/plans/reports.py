@@ -74,7 +74,7 @@ def regime_study(
 
     The option period and the registry row are those at emission; a party without registry row
     counts as simplified, one in a normal regime does not. Items are summed per document first, and the
-    registry is freed of overlaps once, stored, and met by month of the periods.
+    registry is freed of overlaps once, stored, and met by year of the periods.
     """
     from apportia import constants as K
     from apportia.operators import joins

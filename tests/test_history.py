@@ -66,6 +66,19 @@ def test_as_of_boundaries(spark):
         assert at(docs, registry=reg, window=window) == want
 
 
+def test_as_of_sends_no_listed_registry_to_the_driver(spark, tmp_path):
+    """A registry that is small on disk, its versions open for years: listed along a window it is many times as long."""
+    rows_ = [("GO", i, T(1990, 1, 1), None, i % 7) for i in range(50)]
+    registry(spark, rows_).write.parquet(str(tmp_path / "registry"))
+    reg = spark.read.parquet(str(tmp_path / "registry"))
+    docs = spark.createDataFrame([(str(i), "GO", i, T(1992 + i % 11, 5, 1)) for i in range(55)], "d string, state string, reg bigint, t timestamp")
+    out = joins.as_of(
+        docs, reg, {"state": "state", "reg": "reg"}, "t", "valid_from", "valid_to", {"muni": "muni"}, [], ("1992-01-01", "2002-12-31"), disjoint=True
+    )
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r["d"]: r["muni"] for r in out.collect()} == {str(i): i % 7 if i < 50 else None for i in range(55)}
+
+
 def test_as_of_equals_brute_force(spark):
     rnd = random.Random(5)
     base = T(2024, 1, 1)
