@@ -15,8 +15,11 @@ from apportia.session import cut_lineage
 
 
 def fan_in(base: DataFrame, parts: list[DataFrame], on: list[str]) -> DataFrame:
-    """Left joins of document or item sections on the same key: one shuffle of the base."""
-    return reduce(lambda left, right: left.join(right, on, "left"), parts, base)
+    """Left joins of document or item sections on the same key: one shuffle of the base.
+
+    Sections have a row per document or item, whatever their size on disk, so none is gathered by the driver.
+    """
+    return reduce(lambda left, right: left.join(right.hint("merge"), on, "left"), parts, base)
 
 
 def keep_matching(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
@@ -319,11 +322,11 @@ def in_option_period(
 
 
 def mark_events(docs: DataFrame, events: DataFrame, key: str) -> DataFrame:
-    """Collapsed event flags onto documents, false where there was no event."""
+    """Collapsed event flags onto documents, false where there was no event; shuffled, as they grow with the documents."""
     flags = ["cancelled", "substituted", "corrected", "voided"]
     have = [f for f in flags if f in events.columns]
     times = [c for c in ("cancelled_at", "last_event_at") if c in events.columns]
-    out = docs.join(events.select(key, *have, *times), key, "left")
+    out = docs.join(events.select(key, *have, *times).hint("merge"), key, "left")
     out = out.withColumns({f: F.coalesce(F.col(f), F.lit(False)) for f in have})
     return out
 

@@ -68,7 +68,7 @@ def goods_catalog(spark, sf) -> dict:
         F.sum(R.dec("l_quantity")).alias("qcom"), greatest("l_linestatus", "O").alias("open"),
         greatest("l_returnflag", "R").alias("returned"), F.sum(R.part_of(gross, "l_tax")).alias("tax"),
     )).withColumns({"chavenfe": F.col("l_orderkey").cast("string"), "det_nitem": F.col("l_linenumber")})
-    when = o.select("o_orderkey", at.alias("ide_dhemi_nums"))
+    when = o.select("o_orderkey", at.alias("ide_dhemi_nums")).hint("merge")
     return reference_catalog(spark, sf) | {
         "goods_header": base(
             F.when(F.col("o_orderpriority") == "5-LOW", "65").otherwise("55").alias("ide_mod"), F.lit("1").alias("ide_tpamb"),

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from apportia.operators import joins
 from apportia.retail import load_queries
 
 
@@ -39,3 +40,21 @@ def test_goods_sections_share_stored_rows(spark, tmp_path):
     assert {(r["det_nitem"], r["cfop"]) for r in catalog["goods_item"].collect()} == {(1, "5.101"), (2, "1949"), (3, "5.101"), (4, "1949")}
     assert {(r["chavenfe"], r["det_nitem"]) for r in catalog["goods_item_ipi"].collect()} == {("1", 1), ("1", 3), ("2", 1)}
     assert catalog["goods_item_tax"].count() == 5
+
+
+def test_sections_of_documents_are_not_sent_to_the_driver(spark, tmp_path):
+    """Sections small on disk have as many rows as there are documents."""
+    put = lambda df, name: df.write.parquet(f"file://{tmp_path}/{name}") or spark.read.parquet(f"file://{tmp_path}/{name}")
+    base = put(spark.range(20).select(F.col("id").cast("string").alias("access_key")), "base")
+    part = put(spark.range(10).select(F.col("id").cast("string").alias("access_key"), (F.col("id") % 3).alias("total")), "part")
+    flags = put(spark.range(5).select(F.col("id").cast("string").alias("access_key"), F.lit(True).alias("cancelled")), "flags")
+    out = joins.mark_events(joins.fan_in(base, [part], ["access_key"]), flags, "access_key")
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    want = {(str(i), i % 3 if i < 10 else None, i < 5) for i in range(20)}
+    assert {tuple(r) for r in out.select("access_key", "total", "cancelled").collect()} == want
+
+
+def test_goods_items_are_dated_without_sending_orders_to_the_driver(spark, tmp_path):
+    small_tables(spark, f"file://{tmp_path}")
+    item = load_queries.goods_catalog(spark, f"file://{tmp_path}")["goods_item"]
+    assert "Broadcast" not in item._jdf.queryExecution().executedPlan().toString()
