@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from apportia import constants as K
@@ -14,15 +14,17 @@ DOC = ["access_key", "doc_type"]
 
 
 def op_codes_changed(
-    docs: DataFrame, items: DataFrame, op_codes: DataFrame
+    docs: DataFrame, items: DataFrame, op_codes: DataFrame, within: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, items) after the list of participating codes changed.
 
-    Documents excluded as cancelled or for both parties stay as they are; the others are rolled
-    up again. Earlier reasons 1 and 12 are recomputed, other item reasons stay.
+    Documents excluded as cancelled or for both parties stay as they are, and those that ``within``, if given,
+    does not list; the others are rolled up again. Earlier reasons 1 and 12 are recomputed, other item reasons stay.
     """
     fixed = F.col("reason").isin(K.CANCELLED, K.PARTIES_OUT)
     open_docs = docs.where(~F.coalesce(fixed, F.lit(False)))
+    if within is not None:
+        open_docs = joins.keep_matching(open_docs.select(*DOC), within, DOC)
     mine = joins.keep_matching(items, open_docs, DOC)
     flagged = joins.participation_flag(mine, op_codes, "op_code", "code", "code_participates")
     settled = rollups.settle(rollups.participation_split(flagged, DOC), [])
@@ -31,8 +33,13 @@ def op_codes_changed(
     reason = F.when(~F.col("code_participates"), K.OP_CODE_OUT).when(
         F.col("reason") != K.OP_CODE_OUT, F.col("reason")
     )
-    item_changes = flagged.select(*DOC, "item_no", reason.cast("int").alias("reason"))
-    return new_docs, sinks.update_columns(items, item_changes, [*DOC, "item_no"], ["reason"])
+    # Items are dealt once, by document; rows of one line number take the greatest reason, those without one stay.
+    keys = open_docs.select(*DOC).distinct().withColumn("__open", F.lit(True))
+    marked = items.join(keys.hint("merge"), DOC, "left")
+    marked = joins.participation_flag(marked, op_codes, "op_code", "code", "code_participates")
+    greatest = F.max(F.struct(reason.cast("int").alias("reason"))).over(Window.partitionBy(*DOC, "item_no"))
+    again = F.when(F.col("__open") & F.col("item_no").isNotNull(), greatest["reason"]).otherwise(F.col("reason"))
+    return new_docs, marked.select(*[again.alias(c) if c == "reason" else F.col(c) for c in items.columns])
 
 
 #: Reasons that the roll-up of the items gives; any other is kept with its value.
@@ -131,12 +138,7 @@ def op_codes_reworked(
     # The codes that moved are sent to all tasks: dealt by code, the items of a frequent one would meet in one task.
     moved = F.broadcast(moved.select(F.col("code").alias("op_code")).distinct())
     hit = store(items.join(moved, "op_code", "left_semi").select(*DOC).distinct())
-    new_docs, new_items = op_codes_changed(
-        joins.keep_matching(docs, hit, DOC), joins.keep_matching(items, hit, DOC), op_codes
-    )
-    return (
-        sinks.delete_keys(docs, hit, DOC).unionByName(new_docs), sinks.delete_keys(items, hit, DOC).unionByName(new_items), hit,
-    )
+    return *op_codes_changed(docs, items, op_codes, hit), hit
 
 
 def cancel_invoices(docs: DataFrame, keys: DataFrame, home_code: str = "52") -> DataFrame:

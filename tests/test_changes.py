@@ -142,3 +142,29 @@ def test_no_task_numbers_a_whole_bucket_of_the_identity_map(spark):
     assert [r[1:] for r in new] == sorted(r[1:] for r in new)
     by_key = {(r.k, r.b): r.id for r in rows}
     assert all(by_key[r.k, r.b] == r.id for r in held.collect())
+
+
+def exchanges(df):
+    return [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+
+
+def test_code_change_deals_items_by_document_only(spark, tmp_path):
+    """Rows of one line number take the greatest new reason; rows without number or document and closed documents stay."""
+    put = lambda name, rows, ddl: spark.createDataFrame(rows, ddl).write.parquet(f"{tmp_path}/{name}") or spark.read.parquet(f"{tmp_path}/{name}")
+    docs = put("docs", [("a", 10, D(1), None), ("b", 10, D(0), 12), ("c", 10, D(0), 10), ("e", 10, D(3), None), (None, 10, D(3), None)],
+               "access_key string, doc_type int, value_added decimal(17,2), reason int")
+    items = put("items", [
+        ("a", 10, 1, "x", D(4), None), ("a", 10, 2, "x", D(2), 5), ("a", 10, 2, "y", D(2), None), ("a", 10, None, "y", D(1), 7), ("b", 10, 1, "x", D(6), 1),
+        ("c", 10, 1, "x", D(6), 3), ("d", 10, 1, "x", D(6), 4), (None, 10, 1, "y", D(6), 2),
+    ], "access_key string, doc_type int, item_no int, op_code string, value_added decimal(17,2), reason int")
+    codes = spark.createDataFrame([("x",)], "code string")
+    new_docs, new_items = corrections.op_codes_changed(docs, items, codes)
+    assert not [x for x in exchanges(new_items) if "item_no" in x]
+    assert {(r["access_key"], r["value_added"], r["reason"]) for r in new_docs.collect()} == {
+        ("a", D(6), None), ("b", D(6), None), ("c", D(0), 10), ("e", D(3), None), (None, D(3), None)}
+    assert sorted(((r["access_key"], r["item_no"], r["op_code"], r["reason"]) for r in new_items.collect()), key=str) == sorted([
+        ("a", 1, "x", None), ("a", 2, "x", 5), ("a", 2, "y", 5), ("a", None, "y", 7), ("b", 1, "x", None), ("c", 1, "x", 3), ("d", 1, "x", 4), (None, 1, "y", 2)], key=str)
+    some = spark.createDataFrame([("b", 10)], "access_key string, doc_type int")
+    new_docs, new_items = corrections.op_codes_changed(docs, items, codes, some)
+    assert {r["access_key"]: r["reason"] for r in new_docs.collect()} == {"a": None, "b": None, "c": 10, "e": None, None: None}
+    assert sorted((r["reason"] or 0) for r in new_items.collect()) == [0, 0, 0, 2, 3, 4, 5, 7]
