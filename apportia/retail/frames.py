@@ -135,14 +135,13 @@ def net_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def with_headers(spark: SparkSession, sf: str, rolled: DataFrame) -> DataFrame:
-    """Order, customer and supplier of each rolled-up document."""
+    """Order, customer and supplier of each rolled-up document; orders get their customer first, as they are fewer."""
     orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("entry_id"),
         F.col("o_orderdate").alias("emitted_at"), (F.col("o_orderstatus") == "P").alias("cancelled"),
     )
     return (
-        rolled.join(orders, "order_key")
-        .join(side(customers(spark, sf), "entry"), "entry_id")
+        rolled.join(orders.join(side(customers(spark, sf), "entry"), "entry_id"), "order_key")
         .join(side(suppliers(spark, sf), "exit"), "supplier_key")
         .withColumns(
             {
@@ -154,10 +153,14 @@ def with_headers(spark: SparkSession, sf: str, rolled: DataFrame) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str, lines: DataFrame | None = None) -> DataFrame:
-    """Settled documents: appropriation, value and exclusion reason; ``lines`` are the net items, if already stored."""
+    """Settled documents: appropriation, value and exclusion reason; ``lines`` are the net items, if already stored.
+
+    Lines are dealt by order, which serves both their roll-up and the join of orders.
+    """
     from apportia.plans import invoices
 
-    rolled = invoices.roll_items(net_items(spark, sf) if lines is None else lines, codes_frame(spark), DOC)
+    lines = (net_items(spark, sf) if lines is None else lines).select(*DOC, "op_code", "value_added").repartition("order_key")
+    rolled = invoices.roll_items(lines, codes_frame(spark), DOC)
     return invoices.settle(with_headers(spark, sf, rolled)).withColumnRenamed("value_in", "value_added")
 
 

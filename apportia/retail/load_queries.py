@@ -311,17 +311,20 @@ UNIQUE = """, ui AS (SELECT order_key, supplier_key, item_no, MIN(op_code) AS op
     MIN(product_code) AS product_code FROM items GROUP BY 1, 2, 3)"""
 
 
-def stored(spark, sf):
-    """Settled documents, and their items made unique by line number, each computed once."""
+def stored(spark, sf, *columns):
+    """Settled documents with ``columns`` besides value and reason, and their items made unique by line number, each computed once.
+
+    Lines are dealt by document, which serves both the items and the join of their documents.
+    """
     lines = cut_lineage(R.net_items(spark, sf).select(*R.DOC, "item_no", "op_code", "value_added", "gross", "product_code"))
-    docs = cut_lineage(R.keyed(R.documents(spark, sf, lines)))
-    items = lines.groupBy(*R.DOC, "item_no").agg(
+    docs = cut_lineage(R.documents(spark, sf, lines).select(*R.DOC, "doc_type", "value_added", "reason", *columns))
+    items = lines.repartition(*R.DOC).groupBy(*R.DOC, "item_no").agg(
         F.min("op_code").alias("op_code"), F.sum("value_added").cast("decimal(17,2)").alias("value_added"),
         F.sum("gross").alias("gross"), F.min("product_code").alias("product_code"),
     )
-    items = R.keyed(items).join(docs.select("access_key", "doc_type"), "access_key")
+    items = R.keyed(items.join(docs.select(*R.DOC, "doc_type").hint("merge"), R.DOC))
     reason = F.when(~F.col("op_code").isin(*R.COUNTED_CODES), 1)
-    return docs, cut_lineage(items.withColumn("reason", reason))
+    return R.keyed(docs), cut_lineage(items.withColumn("reason", reason))
 
 
 @query(using("docs", then=UNIQUE + f""", n AS (SELECT order_key, supplier_key, SUM(CASE WHEN op_code IN {NEW_CODES} THEN value_added ELSE 0 END) AS v FROM ui GROUP BY 1, 2)
@@ -498,8 +501,10 @@ def correct_registry_changes(spark, sf):
 
 
 def settled_before(spark, sf):
-    """Documents and items as the former list of codes settled them."""
-    return tuple(cut_lineage(f) for f in corrections.op_codes_changed(*stored(spark, sf), R.codes_frame(spark)))
+    """Documents and items as the former list of codes settled them, with the columns that a new list takes."""
+    docs, items = stored(spark, sf)
+    items = items.select(*corrections.DOC, "item_no", "op_code", "value_added", "reason")
+    return tuple(cut_lineage(f) for f in corrections.op_codes_changed(docs, items, R.codes_frame(spark)))
 
 
 MOVED_CODES = (*[c for c in R.COUNTED_CODES if c != "1101"], "1410")
@@ -535,7 +540,7 @@ def duplicate_operations(spark, sf):
 
     At this size every pair of municipalities trades both ways, so the pair search drops only trade inside one.
     """
-    docs, items = stored(spark, sf)
+    docs, items = stored(spark, sf, "entry_muni", "exit_muni")
     docs = docs.withColumns(
         {"entry_reg": F.col("entry_muni"), "exit_reg": F.col("exit_muni"), "entry_state": F.lit("X"), "exit_state": F.lit("X")}
     )
@@ -563,7 +568,7 @@ def report_participating(spark, sf):
 @query(using("docs", then=UNIQUE + f""" SELECT order_key || '-' || supplier_key AS access_key, item_no, 1 AS reason, 'operation code not participating' AS reason_text, period
     FROM ui JOIN docs USING (order_key, supplier_key) WHERE op_code NOT IN ({CODES}) AND period BETWEEN 199701 AND 199706"""))
 def report_excluded_items(spark, sf):
-    docs, items = stored(spark, sf)
+    docs, items = stored(spark, sf, "period", "entry_reg", "exit_reg")
     out = reports.excluded_items(docs, items, reports.scope(periods=(199701, 199706)))
     return out.select("access_key", "item_no", "reason", "reason_text", "period")
 

@@ -168,3 +168,24 @@ def test_code_change_deals_items_by_document_only(spark, tmp_path):
     new_docs, new_items = corrections.op_codes_changed(docs, items, codes, some)
     assert {r["access_key"]: r["reason"] for r in new_docs.collect()} == {"a": None, "b": None, "c": 10, "e": None, None: None}
     assert sorted((r["reason"] or 0) for r in new_items.collect()) == [0, 0, 0, 2, 3, 4, 5, 7]
+
+
+def test_documents_deal_lines_by_order_once(spark, tmp_path):
+    put = lambda name, rows, ddl: spark.createDataFrame(rows, ddl).write.parquet(f"{tmp_path}/{name}.parquet")
+    put("dated", [(1, 7, "F", "1996-01-01"), (2, 8, "P", "1999-01-01")], "o_orderkey bigint, o_custkey bigint, o_orderstatus string, day string")
+    dated = spark.read.parquet(f"{tmp_path}/dated.parquet")
+    dated.withColumn("o_orderdate", F.col("day").cast("timestamp_ntz")).drop("day").write.parquet(f"{tmp_path}/orders.parquet")
+    put("customer", [(7, 3, 1.0, "AUTO")], "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string")
+    put("supplier", [(5, 4, 1.0), (6, 4, 1.0)], "s_suppkey bigint, s_nationkey int, s_acctbal double")
+    put("part", [(9, "ECONOMY", "b"), (10, "LARGE", "b")], "p_partkey bigint, p_type string, p_brand string")
+    put("lines", [(1, 9, 5, 1, 10.0, 0.1), (1, 9, 5, 2, 10.0, 0.0), (1, 10, 5, 3, 7.0, 0.0), (1, 10, 6, 4, 7.0, 0.0), (2, 9, 5, 1, 1.0, 0.0), (1, 9, 99, 1, 1.0, 0.0)],
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double, l_discount double")
+    spark.read.parquet(f"{tmp_path}/lines.parquet").selectExpr(
+        "*", "1.0D AS l_quantity", "0.0D AS l_tax", "'N' AS l_returnflag", "'O' AS l_linestatus", "TIMESTAMP_NTZ '1996-02-01' AS l_shipdate"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = R.documents(spark, str(tmp_path))
+    assert not [x for x in exchanges(out) if "supplier_key" in x and "order_key" in x]
+    assert {(r["order_key"], r["supplier_key"], r["value_added"], r["reason"], r["entry_id"]) for r in out.collect()} == {(1, 5, D(19), None, 7), (1, 6, D(0), 12, 7)}
+    docs, items = L.stored(spark, str(tmp_path), "period")
+    assert sorted(docs.columns) == ["access_key", "doc_type", "period", "reason", "value_added"]
+    assert {(r["access_key"], r["item_no"], r["reason"]) for r in items.collect()} == {("1-5", 1, None), ("1-5", 2, None), ("1-5", 3, 1), ("1-6", 4, 1)}
